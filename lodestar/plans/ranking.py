@@ -22,7 +22,12 @@ def _range_layout(df: DataFrame, order: list[Column], n_parts: int | None):
     laid = (df.repartitionByRange(n_parts, *order)
               .sortWithinPartitions(*order)
               .withColumn(_PID, F.spark_partition_id()))
-    return laid
+    # Range bounds are sampled from the input; if the input order is not
+    # deterministic (it follows a shuffle) two evaluations can cut the rows
+    # differently. The layout is checkpointed once so the per-partition
+    # totals and the rows come from the same cut (and survive executor loss).
+    from lodestar.plans.iterate import materialize
+    return materialize(laid)
 
 
 def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
@@ -34,8 +39,9 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
     index in the lower 33) gives the local position with no further shuffle.
     """
     laid = _range_layout(df, order, n_parts)
+    # the checkpointed layout keeps one file per partition, in order
     laid = laid.withColumn(_LOCAL, F.monotonically_increasing_id()
-                           - F.shiftleft(F.col(_PID).cast("long"), 33) + 1)
+                           - F.shiftleft(F.spark_partition_id().cast("long"), 33) + 1)
     totals = laid.groupBy(_PID).agg(F.count(F.lit(1)).alias("__tot"))
     w_off = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(w_off), F.lit(0))) \
@@ -53,6 +59,8 @@ def global_prefix_sum(df: DataFrame, order: list[Column], value: Column | None,
     laid = laid.withColumn("__v", v)
     # Within a partition the rows are in order; a partition-local window on
     # the partition id keeps each partition's rows in their own task.
+    # partition-local running sum; the layout is already one partition per
+    # _PID, so this window adds one exchange on a small key set at most
     w_local = Window.partitionBy(_PID).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     laid = laid.withColumn(_LOCAL, F.sum("__v").over(w_local))
     totals = laid.groupBy(_PID).agg(F.sum("__v").alias("__tot"))

@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ["lodestar.plans.q_graph"]
+MODULES = ["lodestar.plans.q_graph", "lodestar.plans.q_text"]
 
 
 def load_all() -> None:
