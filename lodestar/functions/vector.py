@@ -7,8 +7,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def _d(c: Column) -> Column:
-    return c.cast("array<double>")
+def _d(c: Column | str) -> Column:
+    return (F.col(c) if isinstance(c, str) else c).cast("array<double>")
 
 
 def dot(a: Column, b: Column) -> Column:
@@ -36,20 +36,20 @@ def l2_normalize(a: Column) -> Column:
 
 
 def mean_center(a: Column) -> Column:
-    n = F.size(a)
+    n = F.size(_d(a))
     m = F.aggregate(_d(a), F.lit(0.0), lambda acc, x: acc + x) / n
     return F.transform(_d(a), lambda x: x - m)
 
 
 def sample_sd(a: Column) -> Column:
-    n = F.size(a)
+    n = F.size(_d(a))
     c = mean_center(a)
     return F.sqrt(F.aggregate(F.transform(c, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x) / (n - 1))
 
 
 def pattern_similarity(a: Column, b: Column) -> Column:
     """sum((a-mean a)(b-mean b)) / (n * sd(a) * sd(b)), sample sd."""
-    return dot(mean_center(a), mean_center(b)) / (F.size(a) * sample_sd(a) * sample_sd(b))
+    return dot(mean_center(a), mean_center(b)) / (F.size(_d(a)) * sample_sd(a) * sample_sd(b))
 
 
 def nan_to_zero(a: Column) -> Column:

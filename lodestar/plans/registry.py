@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ["lodestar.plans.q_graph", "lodestar.plans.q_text"]
+MODULES = ["lodestar.plans.q_graph", "lodestar.plans.q_text", "lodestar.plans.q_vectors", "lodestar.plans.q_kernel"]
 
 
 def load_all() -> None:
