@@ -21,8 +21,7 @@ def norm(a: Column) -> Column:
 
 def cosine(a: Column, b: Column) -> Column:
     """Cosine similarity; null when either vector is zero."""
-    den = norm(a) * norm(b)
-    return F.when(den != 0, dot(a, b) / den)
+    return F.try_divide(dot(a, b), norm(a) * norm(b))
 
 
 def scale(a: Column, s: Column) -> Column:
@@ -32,24 +31,24 @@ def scale(a: Column, s: Column) -> Column:
 def l2_normalize(a: Column) -> Column:
     """Unit vector; a zero vector stays zero."""
     n = norm(a)
-    return F.when(n == 0, _d(a)).otherwise(F.transform(_d(a), lambda x: x / n))
+    return F.when(n == 0, _d(a)).otherwise(F.transform(_d(a), lambda x: F.try_divide(x, n)))
 
 
 def mean_center(a: Column) -> Column:
     n = F.size(_d(a))
-    m = F.aggregate(_d(a), F.lit(0.0), lambda acc, x: acc + x) / n
+    m = F.try_divide(F.aggregate(_d(a), F.lit(0.0), lambda acc, x: acc + x), n)
     return F.transform(_d(a), lambda x: x - m)
 
 
 def sample_sd(a: Column) -> Column:
     n = F.size(_d(a))
     c = mean_center(a)
-    return F.sqrt(F.aggregate(F.transform(c, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x) / (n - 1))
+    return F.sqrt(F.try_divide(F.aggregate(F.transform(c, lambda x: x * x), F.lit(0.0), lambda acc, x: acc + x), n - 1))
 
 
 def pattern_similarity(a: Column, b: Column) -> Column:
     """sum((a-mean a)(b-mean b)) / (n * sd(a) * sd(b)), sample sd."""
-    return dot(mean_center(a), mean_center(b)) / (F.size(_d(a)) * sample_sd(a) * sample_sd(b))
+    return F.try_divide(dot(mean_center(a), mean_center(b)), F.size(_d(a)) * sample_sd(a) * sample_sd(b))
 
 
 def nan_to_zero(a: Column) -> Column:

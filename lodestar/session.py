@@ -14,6 +14,12 @@ _DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # iterative operators run many small queries; keep the driver's record
+    # of finished executions and their plan text bounded
+    "spark.sql.ui.retainedExecutions": "50",
+    "spark.ui.retainedJobs": "200",
+    "spark.ui.retainedStages": "200",
+    "spark.sql.maxPlanStringLength": "200000",
 }
 
 

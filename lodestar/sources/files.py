@@ -170,18 +170,18 @@ def read_vectors(spark: SparkSession, path: str, vocab_path: str | None = None)
     """word2vec text format -> ``(word, vec array<float>, count)``.
 
     The ``n d`` header is line 1; every row must have ``d`` values (rows that
-    do not are dropped and can be found with :func:`bad_vector_rows`).
+    do not are dropped).
     Counts come from ``vocab_path`` (``word count``) or fall back to
     ``n - line index`` (most frequent first)."""
     lines = _numbered_lines(spark, path)
     header = lines.where(F.col("line_no") == 1).select(
         F.split(F.trim("value"), r"\s+").alias("h")).select(
-        F.col("h")[0].cast("long").alias("n"), F.col("h")[1].cast("int").alias("d"))
+        F.col("h")[0].try_cast("long").alias("n"), F.col("h")[1].try_cast("int").alias("d"))
     body = lines.where(F.col("line_no") > 1).select("line_no", tokens(F.col("value")).alias("t"))
     body = body.crossJoin(F.broadcast(header))  # one-row header
     body = body.where(F.size("t") == F.col("d") + 1)
     out = body.select(F.col("t")[0].alias("word"),
-                      F.transform(F.slice("t", 2, F.col("d")), lambda x: x.cast("float")).alias("vec"),
+                      F.transform(F.slice("t", 2, F.col("d")), lambda x: x.try_cast("float")).alias("vec"),
                       (F.col("n") - (F.col("line_no") - 2)).alias("count"))
     if vocab_path:
         vc = _lines(spark, vocab_path).select(tokens(F.col("value")).alias("t")) \
