@@ -8,6 +8,7 @@ loss must not lose state).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark import StorageLevel
@@ -21,17 +22,24 @@ class NotConverged(RuntimeError):
 
 
 def materialize(df: DataFrame, checkpoint: bool = True) -> DataFrame:
-    """Materialise ``df`` and cut its lineage with a reliable checkpoint.
+    """Materialise ``df`` as a table in the shared checkpoint folder and
+    return a fresh scan of it.
 
     A round that reads the previous state k times builds a plan k times the
-    size of the last one, so iterative state is checkpointed every round by
-    default; the files in the shared checkpoint folder also survive the loss
-    of the executors that computed them. ``checkpoint=False`` only persists.
+    size of the last one, and a checkpointed Dataset still keeps its origin
+    plan for statistics, so long loops are cut by writing the state as
+    parquet under the session's ``spark.checkpoint.dir`` and reading it back:
+    the next round starts from a file scan (with real size statistics for
+    AQE), and the files survive the loss of the executors that wrote them.
+    ``checkpoint=False`` only persists.
     """
-    if checkpoint:
-        checkpoint_dir(df.sparkSession)
-        return df.checkpoint(eager=True)
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    if not checkpoint:
+        return df.persist(StorageLevel.MEMORY_AND_DISK)
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/lodestar-state/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def fixpoint(state: DataFrame,

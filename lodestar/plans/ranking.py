@@ -19,13 +19,18 @@ def _range_layout(df: DataFrame, order: list[Column], n_parts: int | None):
     spark = df.sparkSession
     if n_parts is None:
         n_parts = int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    # _LOCAL: 1-based position inside the range partition, taken while the
+    # rows are still laid out one partition per _PID in sorted order
     laid = (df.repartitionByRange(n_parts, *order)
               .sortWithinPartitions(*order)
-              .withColumn(_PID, F.spark_partition_id()))
+              .withColumn(_PID, F.spark_partition_id())
+              .withColumn(_LOCAL, F.monotonically_increasing_id()
+                          - F.shiftleft(F.spark_partition_id().cast("long"), 33) + 1))
     # Range bounds are sampled from the input; if the input order is not
     # deterministic (it follows a shuffle) two evaluations can cut the rows
-    # differently. The layout is checkpointed once so the per-partition
-    # totals and the rows come from the same cut (and survive executor loss).
+    # differently. The layout is written once to the checkpoint folder so the
+    # per-partition totals and the rows come from the same cut (and survive
+    # executor loss).
     from lodestar.plans.iterate import materialize
     return materialize(laid)
 
@@ -39,9 +44,6 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
     index in the lower 33) gives the local position with no further shuffle.
     """
     laid = _range_layout(df, order, n_parts)
-    # the checkpointed layout keeps one file per partition, in order
-    laid = laid.withColumn(_LOCAL, F.monotonically_increasing_id()
-                           - F.shiftleft(F.spark_partition_id().cast("long"), 33) + 1)
     totals = laid.groupBy(_PID).agg(F.count(F.lit(1)).alias("__tot"))
     w_off = Window.orderBy(_PID).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.withColumn("__off", F.coalesce(F.sum("__tot").over(w_off), F.lit(0))) \
@@ -54,9 +56,8 @@ def global_row_number(df: DataFrame, order: list[Column], name: str = "rn",
 def global_prefix_sum(df: DataFrame, order: list[Column], value: Column | None,
                       name: str, n_parts: int | None = None) -> DataFrame:
     """Inclusive running sum of ``value`` (row count when None) in ``order``."""
-    laid = _range_layout(df, order, n_parts)
     v = F.lit(1).cast("long") if value is None else value
-    laid = laid.withColumn("__v", v)
+    laid = _range_layout(df.withColumn("__v", v), order, n_parts).drop(_LOCAL)
     # Within a partition the rows are in order; a partition-local window on
     # the partition id keeps each partition's rows in their own task.
     # partition-local running sum; the layout is already one partition per
