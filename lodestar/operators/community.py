@@ -87,9 +87,9 @@ def local_moving(vertices: DataFrame, edges: DataFrame, alpha: float, max_rounds
     dQ_newman for moving x from A to B (k = degree of x, m = total weight,
     d_C = community degree with x counted in A):
     ``(k_xB - k_xA\\x) / m - k * (d_B - d_A + k) / (2 m^2)``;
-    dQ_attr = affinity of x to B. Each round every vertex scores the
-    communities of its neighbours and the half of the vertices picked by a
-    round-salted hash moves to its best strictly positive target (moving
+    dQ_attr = affinity of x to B. Each round the half of the vertices picked
+    by a round-salted hash moves to its best strictly positive target among
+    the communities of its neighbours that keep a non-moving member (moving
     everyone at once lets neighbours swap forever). Stops when nothing moves
     or after ``max_rounds``. Returns (membership, rounds)."""
     mem = vertices.select("id", F.col("id").alias("community")) if membership is None else membership
@@ -119,8 +119,13 @@ def local_moving(vertices: DataFrame, edges: DataFrame, alpha: float, max_rounds
                    .join(cen, "community").join(unit, "id"))
         dq = (F.col("kxc") - F.col("kxa")) / m - F.col("k") * (F.col("dB") - F.col("dA") + F.col("k")) / (2 * m * m)
         gain = F.lit(alpha) * dq + F.lit(1 - alpha) * dot("u", "centroid")
-        mover = F.pmod(F.xxhash64("id", F.lit(seed), F.lit(r)), F.lit(2)) == 0
-        best = (cand.withColumn("gain", gain).where((F.col("gain") > 0) & mover)
+        def moving(c):
+            return F.pmod(F.xxhash64(c, F.lit(seed), F.lit(r)), F.lit(2)) == 0
+        # a target must keep a member this round: some neighbour that stays
+        stable = (both.join(mem.select(F.col("id").alias("dst"), "community"), "dst")
+                      .where(~moving(F.col("dst"))).select(F.col("src").alias("id"), "community").distinct())
+        cand = cand.join(stable, ["id", "community"], "left_semi")
+        best = (cand.withColumn("gain", gain).where((F.col("gain") > 0) & moving(F.col("id")))
                     .groupBy("id").agg(F.max_by("community", F.struct(F.col("gain"), -F.col("community"))).alias("B")))
         new = materialize(mem.join(best, "id", "left")
                           .select("id", F.coalesce("B", "community").alias("community"),
