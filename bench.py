@@ -39,6 +39,7 @@ def main() -> None:
         try:
             registry.QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
             times[n] = round(time.time() - t0, 3)
+            print(f"{n}: {times[n]}s", file=sys.stderr, flush=True)
         except Exception as e:  # keep the line valid; report the failure
             times[n] = None
             print(f"{n} failed: {e}", file=sys.stderr)

@@ -103,7 +103,11 @@ def _window_loop(strategy: str, trial: str):
     import pandas as pd
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["seq", "advertiser"], kind="stable")
+        if strategy == "greedy":
+            # static preference: the first affordable bidder in (-bid, id) order wins
+            pdf = pdf.assign(__nb=-pdf["bid"].astype(float)).sort_values(["seq", "__nb", "advertiser"], kind="stable")
+        else:
+            pdf = pdf.sort_values(["seq", "advertiser"], kind="stable")
         remaining = {}
         init = {}
         for adv, bud, spent in zip(pdf["advertiser"], pdf["budget"], pdf["spent"]):
@@ -133,6 +137,8 @@ def _window_loop(strategy: str, trial: str):
                     key = (-(b * (1 - math.exp((init[a] - rem) / init[a] - 1))), a)
                 if best is None or key < best[0]:
                     best = (key, a, b)
+                if strategy == "greedy":
+                    break
             if best is not None:
                 remaining[best[1]] -= best[2]
                 out_seq.append(seqs[i]); out_adv.append(best[1]); out_bid.append(best[2])
@@ -158,7 +164,10 @@ def allocate_windows(queries: DataFrame, bids: DataFrame, budgets: DataFrame, st
     cands = candidate_bids(q, bids).join(budgets, "advertiser") \
         .select(trial, "seq", "advertiser", F.col("bid").cast("double").alias("bid"),
                 F.col("budget").cast("double").alias("budget"))
-    cands = materialize(cands.withColumn("win", F.floor(F.col("seq") / window)))
+    # written once, partitioned by window: each window's job reads only its
+    # own folder (partition pruning), not the whole candidate table
+    from lodestar.plans.iterate import materialize_partitioned
+    cands = materialize_partitioned(cands.withColumn("win", F.floor(F.col("seq") / window).cast("long")), "win")
     wins = [r[0] for r in cands.select("win").distinct().orderBy("win").collect()]  # window ids: N / window values
     tdt = cands.schema[trial].dataType.simpleString()
     adt = cands.schema["advertiser"].dataType.simpleString()

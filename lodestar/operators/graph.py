@@ -19,16 +19,22 @@ def flip(edges: DataFrame) -> DataFrame:
     return edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
 
 
+def _both_ways(edges: DataFrame) -> DataFrame:
+    # one pass over the input emits each edge in both orientations (a union
+    # of the table with its flip would scan the input twice)
+    pair = F.explode(F.array(F.struct(F.col("src").alias("a"), F.col("dst").alias("b")),
+                             F.struct(F.col("dst").alias("a"), F.col("src").alias("b")))).alias("p")
+    return edges.select(pair).select(F.col("p.a").alias("src"), F.col("p.b").alias("dst"))
+
+
 def symmetrize(edges: DataFrame) -> DataFrame:
     """edges plus flipped edges, distinct."""
-    e = edges.select("src", "dst")
-    return e.unionByName(flip(e)).distinct()
+    return _both_ways(edges).distinct()
 
 
 def simple(edges: DataFrame) -> DataFrame:
     """G1: both directions, distinct, no self-loops."""
-    e = edges.select("src", "dst")
-    return e.unionByName(flip(e)).where(F.col("src") != F.col("dst")).distinct()
+    return _both_ways(edges.where(F.col("src") != F.col("dst"))).distinct()
 
 
 def vertices_of(edges: DataFrame) -> DataFrame:

@@ -42,6 +42,16 @@ def materialize(df: DataFrame, checkpoint: bool = True) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def materialize_partitioned(df: DataFrame, col: str) -> DataFrame:
+    """As :func:`materialize`, with the table partitioned by ``col`` so later
+    filters on it read only the matching folders."""
+    spark = df.sparkSession
+    base = checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/lodestar-state/{uuid.uuid4().hex}"
+    df.write.mode("overwrite").partitionBy(col).parquet(path)
+    return spark.read.parquet(path)
+
+
 def fixpoint(state: DataFrame,
              step: Callable[[DataFrame, int], DataFrame],
              changes: Callable[[DataFrame], int],
