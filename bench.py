@@ -17,7 +17,7 @@ HEADLINE = [
     "word_count", "build_vocab", "select_features", "bernoulli_nb", "gaussian_nb",
     "most_similar", "mean_vector", "kernel_regress", "ridge_closed_form",
     "canonical_plays", "user_totals", "top_x_per_user", "overlap_at_x", "als_overlap",
-    "rank_bids_greedy", "allocate_greedy", "sentiment_windows", "polarity_counts",
+    "candidate_bids", "rank_bids_greedy", "sentiment_windows", "polarity_counts",
     "modularity", "attribute_affinity",
 ]
 

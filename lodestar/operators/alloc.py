@@ -43,6 +43,27 @@ def rank_bids(cands: DataFrame, strategy: str, keys: list[str]) -> DataFrame:
     return c.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*_order(strategy))))
 
 
+def best_static_bid(queries: DataFrame, bids: DataFrame) -> DataFrame:
+    """E3 (greedy, budgets ignored): the winner of every query.
+
+    The greedy key (bid desc, advertiser) does not depend on the query, so
+    bidders are ranked once per keyword on the bids table (salted top-1 for
+    hot keywords) and the winners joined to the query stream: no
+    query x bidder intermediate."""
+    from lodestar.plans.ranking import top_k_per_group
+    top = top_k_per_group(bids.select("keyword", "advertiser", "bid"), ["keyword"],
+                          [F.col("bid").desc(), F.col("advertiser")], 1, salt_key=["advertiser"])
+    return queries.join(top.drop("rank"), "keyword")
+
+
+def bids_per_query(queries: DataFrame, bids: DataFrame) -> DataFrame:
+    """C4 summary: number of bidders and top bid of every query, aggregated
+    per keyword before the join (pre-aggregation instead of expanding the
+    query x bidder product)."""
+    per_kw = bids.groupBy("keyword").agg(F.count(F.lit(1)).alias("n_bidders"), F.max("bid").alias("max_bid"))
+    return queries.join(per_kw, "keyword")
+
+
 def _spent_before(cands: DataFrame, assigned: DataFrame, keys: list[str]) -> DataFrame:
     """Budget spent by each candidate's advertiser on queries strictly
     before the candidate's query, in two levels so no window holds a hot

@@ -22,8 +22,7 @@ def _parts(spark, d):
 SELECT q.seq, count(*) AS n_bidders, CAST(max(b.bid) AS DOUBLE) AS max_bid FROM q JOIN b ON b.keyword = q.keyword GROUP BY q.seq""")
 def candidate_bids(spark, d):
     q, b, _ = _parts(spark, d)
-    return A.candidate_bids(q, b).groupBy("seq").agg(F.count(F.lit(1)).alias("n_bidders"),
-                                                      F.max("bid").cast("double").alias("max_bid"))
+    return A.bids_per_query(q, b).select("seq", "n_bidders", F.col("max_bid").cast("double").alias("max_bid"))
 
 
 @query("rank_bids_greedy", f"""WITH {BASE_SQL}
@@ -32,8 +31,7 @@ SELECT seq, advertiser, CAST(bid AS DOUBLE) AS bid FROM (SELECT q.seq, b.adverti
 WHERE rk = 1""")
 def rank_bids_greedy(spark, d):
     q, b, _ = _parts(spark, d)
-    r = A.rank_bids(A.candidate_bids(q, b), "greedy", ["seq"])
-    return r.where("rank = 1").select("seq", "advertiser", F.col("bid").cast("double").alias("bid"))
+    return A.best_static_bid(q, b).select("seq", "advertiser", F.col("bid").cast("double").alias("bid"))
 
 
 @query("scaled_bids", f"""WITH {BASE_SQL}
