@@ -183,3 +183,17 @@ def test_noise_distribution_and_vocab(spark):
     assert [r["word"] for r in v.orderBy("idx").collect()] == ["d", "a", "b"]
     nd = X.noise_distribution(v).orderBy("idx").collect()
     assert nd[-1]["cum"] == pytest.approx(1.0)
+
+
+def test_analogy_accuracy(spark):
+    vecs = spark.createDataFrame([("king", [1.0, 1.0]), ("man", [1.0, 0.0]), ("woman", [0.0, 1.0]),
+                                  ("queen", [0.1, 2.0]), ("apple", [-1.0, -0.2])], "key string, vec array<double>")
+    counts = spark.createDataFrame([("king", 5), ("man", 9), ("woman", 8), ("queen", 4), ("apple", 1)],
+                                   "key string, n long")
+    q = spark.createDataFrame([(1, "royal", "man", "king", "woman", "queen"),
+                               (2, "royal", "man", "king", "woman", "apple"),
+                               (3, "other", "man", "zzz", "woman", "queen")],
+                              "line_no long, section string, a string, b string, c string, expected string")
+    got = {r["section"]: (r["correct"], r["total"]) for r in VS.analogy_accuracy(vecs, q, counts).collect()}
+    # b - a + c = king - man + woman = (0, 2): nearest non-input word is queen
+    assert got["royal"] == (1, 2) and got["total"] == (1, 2) and "other" not in got
