@@ -349,9 +349,8 @@ def complete(spark, n: int) -> DataFrame:
     """Complete graph on 0..n-1, one row per unordered pair i<j.
 
     Quadratic by definition; the pairs are generated by range partitions."""
-    i = spark.range(n).withColumnRenamed("id", "src")
-    return (i.withColumn("dst", F.explode(F.sequence(F.col("src") + 1, F.lit(n - 1))))
-             .where(F.col("dst") > F.col("src")) if n > 1 else i.withColumn("dst", F.col("src")).limit(0))
+    i = spark.range(n).withColumnRenamed("id", "src").where(F.col("src") < n - 1)
+    return i.withColumn("dst", F.explode(F.sequence(F.col("src") + 1, F.lit(n - 1).cast("long"))))
 
 
 def gnp(spark, n: int, p: float, seed: int = 0) -> DataFrame:

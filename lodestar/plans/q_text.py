@@ -240,3 +240,16 @@ def q_keep(spark, d):
     v = _vocab(spark, d)
     tot = v.agg(F.sum("n").alias("total"))
     return v.crossJoin(tot).select("word", F.round(keep_probability(F.col("n"), F.col("total"), SAMPLE), 6).alias("keep"))
+
+
+@query("logistic_regression")
+def q_logistic(spark, d):
+    """H9: L2 logistic regression (C = 1) on the binary selected-word
+    features; accuracy on the test split."""
+    ld, train, feats, bf = _nb_parts(spark, d)
+    vec = C.to_sparse_vectors(bf, feats, ld.select("doc_id", "label", "split"))
+    vec = vec.join(ld.select("doc_id", "label", "split"), "doc_id")
+    model = C.fit_logistic(vec.where(F.col("split") == "train"), "features", "label")
+    pred = model.transform(vec.where(F.col("split") == "test")).select(
+        "doc_id", "label", F.col("prediction").cast("int").alias("pred"))
+    return C.accuracy(pred)

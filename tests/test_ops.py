@@ -197,3 +197,54 @@ def test_analogy_accuracy(spark):
     got = {r["section"]: (r["correct"], r["total"]) for r in VS.analogy_accuracy(vecs, q, counts).collect()}
     # b - a + c = king - man + woman = (0, 2): nearest non-input word is queen
     assert got["royal"] == (1, 2) and got["total"] == (1, 2) and "other" not in got
+
+
+def test_generators_and_coo(spark):
+    from lodestar.operators import graph as G
+    assert G.complete(spark, 5).count() == 10
+    assert G.gnm(spark, 20, 7, seed=1).count() == 7
+    p = G.gnp(spark, 60, 0.2, seed=2).count()
+    assert 0.1 * 1770 < p < 0.3 * 1770
+    coo = spark.createDataFrame([(0, 1, 2.0), (1, 0, 5.0), (2, 2, 1.0)], "row long, col long, value double")
+    assert sorted(tuple(r) for r in G.edges_from_coo(coo).collect()) == [(0, 1), (1, 0), (2, 2)]
+
+
+def test_permute_is_bijection(spark):
+    from lodestar.operators.alloc import permute
+    q = spark.createDataFrame([(i, "k") for i in range(1, 41)], "seq long, keyword string")
+    p = permute(q, trials=3, seed=5)
+    for t in range(3):
+        seqs = sorted(r["seq"] for r in p.where(F.col("trial") == t).collect())
+        assert seqs == list(range(1, 41))
+    orders = {tuple(r["seq"] for r in p.where(F.col("trial") == t).orderBy("seq").select("seq").collect())
+              for t in range(3)}
+    assert len(orders) == 1  # same positions, different query assignment per trial
+
+
+def test_text_readers_and_sinks(spark):
+    d = tempfile.mkdtemp(prefix="lodestar-io2-")
+    with open(f"{d}/ratings.tsv", "w") as f:
+        f.write("userID\tmovieID\trating\n1\t10\t3.5\n2\t11\tbad\n")
+    r = files.read_delimited(spark, f"{d}/ratings.tsv", "\t", ["user", "movie", "rating"],
+                             ["long", "long", "double"], skip_header=True).orderBy("user").collect()
+    assert [tuple(x) for x in r] == [(1, 10, 3.5), (2, 11, None)]
+    with open(f"{d}/docs.txt", "w") as f:
+        f.write("a b c\n\nd e\n")
+    docs = files.read_lines(spark, f"{d}/docs.txt", tag_prefix="TRAIN").orderBy("doc_id").collect()
+    assert [x["tokens"] for x in docs] == [["a", "b", "c"], [], ["d", "e"]]
+    assert docs[2]["tags"] == ["TRAIN_2"]
+    with open(f"{d}/tagged.txt", "w") as f:
+        f.write("The/DT Cat/NN ,/, 9/CD\n./.\n")
+    t = files.read_tagged_corpus(spark, f"{d}/tagged.txt").collect()
+    assert [x["tokens"] for x in t] == [["the", "cat", "9"]]  # tags DT, NN, CD kept; "," dropped
+    msgs = spark.createDataFrame([("hi there",), ('say "x"',)], "value string")
+    files.write_messages(msgs, f"{d}/raw")
+    files.write_messages(msgs, f"{d}/json", encode="json")
+    assert sorted(r[0] for r in spark.read.text(f"{d}/raw").collect()) == ["hi there", 'say "x"']
+    back = spark.read.json(f"{d}/json").collect()
+    assert sorted(r["text"] for r in back) == ["hi there", 'say "x"']
+    walks = spark.createDataFrame([(0, [1, 2, 3]), (1, [2, 3])], "pass int, walk array<long>")
+    w = files.write_walks(walks, f"{d}/walks")
+    assert sorted(x["tokens"] for x in w.collect()) == [["1", "2", "3"], ["2", "3"]]
+    again = files.write_walks(walks, f"{d}/walks", rebuild=False)
+    assert again.count() == 2
