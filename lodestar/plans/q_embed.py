@@ -1,0 +1,38 @@
+"""Embedding queries on conversation turns (tokens as in B1)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from lodestar.functions.text import tokenize
+from lodestar.operators import embed as EM
+from lodestar.plans.registry import query
+from lodestar.sources.tables import Tables
+
+
+def _turns(spark, d):
+    c = Tables(spark, d).conversations
+    return c.select((F.col("conv_id") * 1000 + F.col("turn")).alias("doc_id"),
+                    tokenize(F.col("text")).alias("tokens")).where(F.size("tokens") > 0)
+
+
+@query("word_vectors_sgns")
+def word_vectors_sgns(spark, d):
+    """H2: skip-gram with negative sampling over all conversation turns."""
+    m = EM.train_embeddings(_turns(spark, d), dim=16, window=3, negative=5, min_count=2, epochs=1, arch="sg")
+    return m.select("word", "n", F.size("vec").alias("dim"))
+
+
+@query("word_vectors_cbow")
+def word_vectors_cbow(spark, d):
+    """H2: CBOW with negative sampling."""
+    m = EM.train_embeddings(_turns(spark, d), dim=16, window=3, negative=5, min_count=2, epochs=1, arch="cbow")
+    return m.select("word", "n", F.size("vec").alias("dim"))
+
+
+@query("doc_vectors_dbow")
+def doc_vectors_dbow(spark, d):
+    """H3 + H4: PV-DBOW document vectors for every turn (output weights
+    trained on the turns, then frozen for inference)."""
+    dv, _ = EM.train_doc_vectors(_turns(spark, d), dim=16, min_count=2, epochs=2)
+    return dv.select("doc_id", F.size("vec").alias("dim"))

@@ -248,3 +248,16 @@ def test_text_readers_and_sinks(spark):
     assert sorted(x["tokens"] for x in w.collect()) == [["1", "2", "3"], ["2", "3"]]
     again = files.write_walks(walks, f"{d}/walks", rebuild=False)
     assert again.count() == 2
+
+
+def test_embeddings_and_doc_inference(spark):
+    from lodestar.operators import embed as EM
+    rows = [(i, (["red", "apple", "fruit"] if i % 2 else ["blue", "sky", "cloud"]) * 3) for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
+    m = EM.train_embeddings(docs, dim=8, window=2, negative=3, min_count=1, epochs=2, arch="sg")
+    assert m.count() == 6 and {len(r["vec"]) for r in m.collect()} == {8}
+    cb = EM.train_embeddings(docs, dim=8, window=2, negative=3, min_count=1, epochs=1, arch="cbow")
+    assert cb.count() == 6
+    a = {r["doc_id"]: r["vec"] for r in EM.infer_doc_vectors(docs.repartition(1), m).collect()}
+    b = {r["doc_id"]: r["vec"] for r in EM.infer_doc_vectors(docs.repartition(5), m).collect()}
+    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
