@@ -192,7 +192,6 @@ def read_vectors(spark: SparkSession, path: str, vocab_path: str | None = None)
 
 def write_vectors(vectors: DataFrame, path: str) -> None:
     """``n d`` header then ``word v1 .. vd`` by descending count."""
-    spark = vectors.sparkSession
     stats = vectors.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d"))
     head = stats.select(F.concat_ws(" ", F.col("n").cast("string"), F.col("d").cast("string")).alias("value"),
                         F.lit(0).alias("__o"), F.lit(None).cast("long").alias("__c"), F.lit("").alias("__w"))
@@ -201,7 +200,6 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
         F.lit(1).alias("__o"), F.col("count").alias("__c"), F.col("word").alias("__w"))
     out = head.unionByName(rows).orderBy(F.col("__o"), F.col("__c").desc_nulls_last(), F.col("__w"))
     out.select("value").coalesce(1).write.mode("overwrite").text(path)
-    del spark
 
 
 def read_analogies(spark: SparkSession, path: str) -> DataFrame:
