@@ -7,9 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import chat, host_rules, pii, url_rules
+from lodestar.llm import chat, host_rules, packing, pii, url_rules
 from lodestar.llm.common import table
 
+TOKENIZER = "word_bpe_49k.json"
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -117,3 +119,13 @@ SELECT conv_id, participant, seg_no, turn, speaker, header || body || '<|end|>'
     CASE WHEN speaker = participant AND speaker <> 'system' THEN seg_start + len ELSE seg_start END AS mask_end FROM s""")
 def op9_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.rotate(table(spark, sf_dir, "conversations"))
+
+
+def tokenizer_json() -> str:
+    import public_tokenizers
+    return packing.read_tokenizer(public_tokenizers.path(TOKENIZER))
+
+
+@query()
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_json())
