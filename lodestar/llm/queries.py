@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import chat, host_rules, jaccard, packing, pii, url_rules
+from lodestar.llm import chat, host_rules, jaccard, packing, pii, toxicity, url_rules
 from lodestar.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -29,6 +29,11 @@ def query(sql: str | None = None):
 _WORDS = r"list_filter(regexp_split_to_array({t}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
 
 
+@query()
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
