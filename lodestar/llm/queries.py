@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import chat, host_rules, jaccard, packing, pii, toxicity, url_rules
+from lodestar.llm import chat, host_rules, jaccard, packing, pii, quality, toxicity, url_rules
 from lodestar.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -106,6 +106,11 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                          "base_failed", "kept", "host", F.round("host_rate", 9).alias("host_rate"))
 
 
+@query()
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query()
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_pii(table(spark, sf_dir, "documents"))
