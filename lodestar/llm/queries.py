@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import chat, host_rules, jaccard, packing, pii, quality, toxicity, url_rules
+from lodestar.llm import chat, decontaminate, host_rules, jaccard, packing, pii, quality, toxicity, url_rules
 from lodestar.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
@@ -120,6 +120,12 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         pii.spans_text(spans).alias("spans"))
 
 
+@query()
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pairs of a document and a benchmark item in it."""
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query(r"""
 WITH t AS (SELECT conv_id, turn, coalesce(role, 'unknown') AS speaker, coalesce(text, '') AS body FROM conversations),
 parts AS (SELECT DISTINCT conv_id AS p_conv, speaker AS participant FROM t WHERE speaker <> 'system'),
