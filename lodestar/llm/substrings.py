@@ -44,7 +44,7 @@ from lodestar.llm.common import mix, text_bytes, write_state
 GRAM = 50
 STRETCH = 1 << 22       # bytes of a text hashed at once
 FILTER_BITS = 1 << 27   # at most, of the anchor filter: 16 MB
-SORT_BYTES = 1 << 18    # bytes sorted as one collection
+SORT_BYTES = 1 << 16    # bytes sorted as one collection
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -96,7 +96,8 @@ def pieces(text: bytes, length: int, roller: Roller) -> tuple[np.ndarray, np.nda
         at = (least & np.uint64((1 << 24) - 1)).astype(np.int64)
         first = np.flatnonzero(np.append(True, at[1:] != at[:-1]))
         last = np.append(first[1:] - 1, len(at) - 1)
-        out.append((h[at[first]], at[first] + base, first + base, last + base))
+        # least hashes are small numbers; mixed again they spread over the buckets
+        out.append((mix(h[at[first]]), at[first] + base, first + base, last + base))
     if not out:
         none = np.empty(0, np.int64)
         return none.astype(np.uint64), none, none, none
@@ -218,6 +219,34 @@ def trimmed(group: list[tuple[bytes, int]], length: int) -> list[tuple[int, int]
     return out
 
 
+Item = tuple[int, bytes, int, int, int]  # piece, bytes, anchor's place, first and last window
+
+
+def split(items: list[Item], length: int, limit: int) -> Iterator[list[Item]]:
+    """Subgroups of at most ``limit`` bytes whose windows may be equal.
+
+    The windows' range before the anchor is halved; all windows of a half have
+    some bytes in common, and only pieces that agree in these stay together.
+    A range of one window leaves pieces that agree in it.
+    """
+    if len(items) < 2:
+        return
+    lo = min(at - last for _, _, at, _, last in items)
+    hi = max(at - first for _, _, at, first, _ in items)
+    if lo == hi or sum(last - first + length for _, _, _, first, last in items) <= limit:
+        yield items
+        return
+    mid = (lo + hi) // 2
+    for near, far in ((lo, mid), (mid + 1, hi)):
+        by: dict[bytes, list[Item]] = {}
+        for i, s, at, first, last in items:
+            first, last = max(first, at - far), min(last, at - near)
+            if first <= last:
+                by.setdefault(s[at - near: at - far + length], []).append((i, s, at, first, last))
+        for own in by.values():
+            yield from split(own, length, limit)
+
+
 def repeats_in_bucket(keys: np.ndarray, strings: list[bytes], places: np.ndarray, times: np.ndarray,
                       length: int) -> list[list[tuple[int, int]]]:
     """For every distinct piece of a bucket, runs of repeated windows (first,
@@ -232,8 +261,8 @@ def repeats_in_bucket(keys: np.ndarray, strings: list[bytes], places: np.ndarray
             for (i, lo, _), found in zip(batch, repeated_windows([b[2] for b in batch], length)):
                 if times[i] == 1 and len(found):
                     cuts = np.flatnonzero(np.diff(found) > 1)
-                    out[i] = [(lo + int(a), lo + int(b)) for a, b in
-                              zip(found[np.append(0, cuts + 1)], found[np.append(cuts, len(found) - 1)])]
+                    out[i] += [(lo + int(a), lo + int(b)) for a, b in
+                               zip(found[np.append(0, cuts + 1)], found[np.append(cuts, len(found) - 1)])]
         batch, size = [], 0
 
     edges = np.append(np.flatnonzero(np.append(True, keys[1:] != keys[:-1])), len(keys)) if len(keys) else [0]
@@ -241,14 +270,19 @@ def repeats_in_bucket(keys: np.ndarray, strings: list[bytes], places: np.ndarray
         if b - a < 2 or (times[a:b] > 1).all():
             continue
         group = [(strings[i], int(places[i])) for i in range(a, b)]
-        part = [(int(i), lo, strings[i][lo: hi + length])
-                for i, (lo, hi) in zip(range(a, b), trimmed(group, length)) if lo <= hi]
-        if not any(times[i] == 1 for i, _, _ in part):
-            continue
-        batch += part
-        size += sum(len(s) for _, _, s in part)
-        if size > SORT_BYTES:
-            flush()
+        part = [(i, s, at, lo, hi) for i, (s, at), (lo, hi) in zip(range(a, b), group, trimmed(group, length)) if lo <= hi]
+        for own in split(part, length, SORT_BYTES):
+            alone = [x for x in own if times[x[0]] == 1]
+            if not alone:
+                continue
+            if len({s[lo: hi + length] for _, s, _, lo, hi in own}) == 1:  # all the same: repeated whole
+                for i, _, _, lo, hi in alone:
+                    out[i].append((lo, hi))
+                continue
+            if size > SORT_BYTES:
+                flush()
+            batch += [(i, lo, s[lo: hi + length]) for i, s, _, lo, hi in own]
+            size += sum(hi - lo + length for _, _, _, lo, hi in own)
     flush()
     return out
 
