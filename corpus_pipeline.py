@@ -5,10 +5,10 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from lodestar.llm import host_rules, pii
+from lodestar.llm import decontaminate, host_rules, jaccard, packing, pii
 from lodestar.llm.common import table
+from lodestar.llm.queries import tokenizer_json
 from lodestar.session import checkpoint_dir
 
 
@@ -17,14 +17,32 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return host_rules.keep(docs)
 
 
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked by five-word shingles at 0.8."""
+    return jaccard.drop_copies(docs, k=5, percent=80)
+
+
+def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window similar to a benchmark item."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), percent=80)
+
+
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found personal data replaced by ``<kind>``."""
     return pii.redact(docs)
 
 
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token pieces of the documents in sequences of 2048."""
+    return packing.pack_documents(docs, tokenizer_json(), max_len=2048)
+
+
 STAGES = [
     ("quality rules", quality_rules),
-    ("pii", redact_pii),
+    ("n-gram Jaccard join", near_copies),
+    ("benchmark decontamination", benchmark_passages),
+    ("PII", redact_pii),
+    ("best-fit packing", packed),
 ]
 
 # sequence packing by local search has no SQL form; tests compare the stages with brute force

@@ -538,3 +538,18 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")))
     drop_state(spark, *temp)
     return out
+
+
+def drop_copies(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
+                text_col: str = "text") -> DataFrame:
+    """``docs`` with one document of each component, the one of least id.
+
+    Rows of one id stand or fall together and a null id is always kept. The
+    dropped ids are written, so that the planner sees their size and only
+    broadcasts a small table; else the join is a shuffle.
+    """
+    labels = jaccard_components(docs, k, percent, id_col, text_col)
+    ids = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
+        F.max((F.col("component_id") == F.col(id_col)).cast("int")).alias("stays"))
+    dropped, _ = write_state(ids.where("stays = 0").select(F.col(id_col).alias("__dropped")))
+    return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
