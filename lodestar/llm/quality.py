@@ -44,13 +44,16 @@ def features(text: bytes, words: WordHashes) -> np.ndarray:
         return np.empty(0, np.int32)
     h = words.of(tokens)
     pairs = mix(h[:-1] * np.uint64(0x9E3779B97F4A7C15) + h[1:])
-    raw = np.frombuffer(text, np.uint8)
-    grams = np.zeros(max(0, len(raw) - GRAM + 1), np.uint32)
-    for j in range(GRAM):
-        grams = (grams << np.uint32(8)) | raw[j: len(raw) - GRAM + 1 + j] if len(grams) else grams
-    grams = np.flatnonzero(np.bincount((grams * np.uint32(2654435761)) >> np.uint32(14), minlength=1))
-    found = np.concatenate([h % np.uint64(BUCKETS), pairs % np.uint64(BUCKETS)]).astype(np.int64)
-    return np.union1d(found, grams).astype(np.int32)
+    last = np.uint64(BUCKETS - 1)
+    found = [(h & last).astype(np.int32), (pairs & last).astype(np.int32)]
+    n = len(text) - GRAM + 1
+    if n > 0:
+        runs = np.lib.stride_tricks.as_strided(np.frombuffer(text, np.uint8), (n, GRAM), (1, 1))
+        grams = np.ascontiguousarray(runs).view(">u4").ravel().astype(np.uint32) * np.uint32(2654435761)
+        found.append((grams >> np.uint32(14)).astype(np.int32))
+    x = np.concatenate(found)
+    x.sort()
+    return x[np.append(True, x[1:] != x[:-1])]
 
 
 def fit(rows: list[np.ndarray], y: np.ndarray, apart: np.ndarray, c: float = 1.0, beta: float = 0.25,
