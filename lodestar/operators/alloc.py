@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lodestar.functions.scalar import scaled_bid
-from lodestar.plans.iterate import NotConverged, materialize
+from lodestar.plans.iterate import discard, materialize
 
 CHUNK = 4096  # queries per prefix-sum block (bounds the per-task window)
 
@@ -86,130 +86,46 @@ def _spent_before(cands: DataFrame, assigned: DataFrame, keys: list[str]) -> Dat
 
 
 def allocate(queries: DataFrame, bids: DataFrame, budgets: DataFrame, strategy: str = "greedy",
-             trial_col: str | None = None, max_rounds: int = 500, method: str = "windows",
-             window: int = 2048) -> DataFrame:
+             trial_col: str | None = None) -> DataFrame:
     """K1: ``(trial?, seq, advertiser, bid)`` for assigned queries.
 
     ``queries(seq, keyword[, trial])``, ``bids(advertiser, keyword, bid)``,
-    ``budgets(advertiser, budget)``. Bidders without a budget cannot win.
-
-    ``method="windows"`` (default) walks the stream in seq windows of
-    ``window`` queries with the spend per advertiser as carried state;
-    ``method="fixpoint"`` iterates whole-stream rounds (all joins and
-    windows) until the assignment stops changing. Both are exact."""
-    if method == "windows":
-        return allocate_windows(queries, bids, budgets, strategy, trial_col, window)
+    ``budgets(advertiser, budget)``, amounts as decimals. Bidders without a
+    budget cannot win. Whole-stream rounds of joins and windows run until the
+    assignment stops changing; every round settles a query at least, so they
+    end."""
     keys = ([trial_col] if trial_col else []) + ["seq"]
     cands = candidate_bids(queries, bids).join(budgets, "advertiser")
     cands = materialize(cands.select(*keys, "advertiser", "bid", "budget"))
     assigned = materialize(cands.limit(0).select(*keys, "advertiser", "bid"))
-    for r in range(1, max_rounds + 1):
+    while True:
         sp = _spent_before(cands, assigned, keys)
         sp = sp.withColumn("remaining", F.col("budget") - F.col("spent")).where(F.col("remaining") >= F.col("bid"))
         ranked = rank_bids(sp, strategy, keys)
         new = materialize(ranked.where(F.col("rank") == 1).select(*keys, "advertiser", "bid"))
-        diff = (new.select(*keys, F.col("advertiser").alias("a1"))
-                .join(assigned.select(*keys, F.col("advertiser").alias("a0")), keys, "full_outer")
-                .where(~F.col("a1").eqNullSafe(F.col("a0"))).limit(1).count())
-        assigned.unpersist()
+        settled = (new.select(*keys, F.col("advertiser").alias("a1"))
+                   .join(assigned.select(*keys, F.col("advertiser").alias("a0")), keys, "full_outer")
+                   .where(~F.col("a1").eqNullSafe(F.col("a0"))).isEmpty())
+        discard(assigned)
         assigned = new
-        if diff == 0:
+        if settled:
+            discard(cands)
             return assigned
-    raise NotConverged(f"allocation not settled after {max_rounds} rounds")
-
-
-def _window_loop(strategy: str, trial: str):
-    import math
-
-    import pandas as pd
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        if strategy == "greedy":
-            # static preference: the first affordable bidder in (-bid, id) order wins
-            pdf = pdf.assign(__nb=-pdf["bid"].astype(float)).sort_values(["seq", "__nb", "advertiser"], kind="stable")
-        else:
-            pdf = pdf.sort_values(["seq", "advertiser"], kind="stable")
-        remaining = {}
-        init = {}
-        for adv, bud, spent in zip(pdf["advertiser"], pdf["budget"], pdf["spent"]):
-            if adv not in remaining:
-                remaining[adv] = float(bud) - float(spent)
-                init[adv] = float(bud)
-        out_seq, out_adv, out_bid = [], [], []
-        seqs = pdf["seq"].to_numpy()
-        advs = pdf["advertiser"].to_numpy()
-        bids = pdf["bid"].astype(float).to_numpy()
-        i, n = 0, len(pdf)
-        while i < n:
-            j = i
-            while j < n and seqs[j] == seqs[i]:
-                j += 1
-            best = None
-            for k in range(i, j):
-                a, b = advs[k], bids[k]
-                rem = remaining[a]
-                if rem < b:
-                    continue
-                if strategy == "greedy":
-                    key = (-b, a)
-                elif strategy == "balance":
-                    key = (-rem, a)
-                else:
-                    key = (-(b * (1 - math.exp((init[a] - rem) / init[a] - 1))), a)
-                if best is None or key < best[0]:
-                    best = (key, a, b)
-                if strategy == "greedy":
-                    break
-            if best is not None:
-                remaining[best[1]] -= best[2]
-                out_seq.append(seqs[i]); out_adv.append(best[1]); out_bid.append(best[2])
-            i = j
-        t = pdf[trial].iloc[0] if len(pdf) else 0
-        return pd.DataFrame({trial: [t] * len(out_seq), "seq": out_seq, "advertiser": out_adv, "bid": out_bid})
-    return run
-
-
-def allocate_windows(queries: DataFrame, bids: DataFrame, budgets: DataFrame, strategy: str = "greedy",
-                     trial_col: str | None = None, window: int = 2048) -> DataFrame:
-    """K1 by ordered windows of the stream (exact).
-
-    For window w (``window`` consecutive queries of every trial) one Spark
-    job joins the window's queries to their candidate bids and the carried
-    spend of each advertiser, and each trial's window runs the sequential
-    rule inside one task (``applyInPandas`` on a bounded group: the window's
-    candidates of one trial). The spend table (trial, advertiser) is updated
-    and checkpointed between windows. Trials run in parallel; windows in
-    order, which the rule itself requires."""
-    trial = trial_col or "__trial"
-    q = queries if trial_col else queries.withColumn(trial, F.lit(0))
-    cands = candidate_bids(q, bids).join(budgets, "advertiser") \
-        .select(trial, "seq", "advertiser", F.col("bid").cast("double").alias("bid"),
-                F.col("budget").cast("double").alias("budget"))
-    # written once, partitioned by window: each window's job reads only its
-    # own folder (partition pruning), not the whole candidate table
-    from lodestar.plans.iterate import materialize_partitioned
-    cands = materialize_partitioned(cands.withColumn("win", F.floor(F.col("seq") / window).cast("long")), "win")
-    wins = [r[0] for r in cands.select("win").distinct().orderBy("win").collect()]  # window ids: N / window values
-    tdt = cands.schema[trial].dataType.simpleString()
-    adt = cands.schema["advertiser"].dataType.simpleString()
-    schema = f"{trial} {tdt}, seq long, advertiser {adt}, bid double"
-    spark = queries.sparkSession
-    spent = materialize(spark.createDataFrame([], f"{trial} {tdt}, advertiser {adt}, spent double"))
-    parts = []
-    fn = _window_loop(strategy, trial)
-    for w in wins:
-        c = cands.where(F.col("win") == w).drop("win")
-        c = c.join(spent, [trial, "advertiser"], "left").fillna(0.0, ["spent"])
-        got = materialize(c.groupBy(trial).applyInPandas(fn, schema))
-        parts.append(got)
-        delta = got.groupBy(trial, "advertiser").agg(F.sum("bid").alias("spent"))
-        spent = materialize(spent.unionByName(delta).groupBy(trial, "advertiser").agg(F.sum("spent").alias("spent")))
-    if not parts:
-        return spark.createDataFrame([], schema) if trial_col else spark.createDataFrame([], schema).drop(trial)
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out if trial_col else out.drop(trial)
+
+
+def best_affordable_bid(queries: DataFrame, bids: DataFrame, budgets: DataFrame, spent: DataFrame,
+                        strategy: str) -> DataFrame:
+    """E3 at a given moment: the winner of every query under ``strategy``
+    when each advertiser has already spent ``spent(advertiser, spent)``;
+    bidders that cannot pay their bid are out. The rank does not depend on
+    the query, so bidders are ranked once per keyword (salted top-1)."""
+    from lodestar.plans.ranking import top_k_per_group
+    c = bids.select("keyword", "advertiser", "bid").join(budgets, "advertiser").join(spent, "advertiser", "left")
+    c = c.withColumn("remaining", F.col("budget") - F.coalesce("spent", F.lit(0))).where(F.col("remaining") >= F.col("bid"))
+    if strategy == "msvv":
+        c = c.withColumn("scaled", F.round(scaled_bid(F.col("bid"), F.col("budget"), F.col("remaining")), 9))
+    top = top_k_per_group(c, ["keyword"], _order(strategy), 1, salt_key=["advertiser"])
+    return queries.join(top.drop("rank"), "keyword")
 
 
 def best_revenue(budgets: DataFrame) -> DataFrame:
@@ -219,25 +135,18 @@ def best_revenue(budgets: DataFrame) -> DataFrame:
 
 def permute(queries: DataFrame, trials: int, seed: int = 0) -> DataFrame:
     """E9 + K2: ``trials`` shuffled copies of the query stream; the new
-    ``seq`` is the rank of a hash of (old seq, seed, trial) inside the trial,
+    ``seq`` is the rank of an MD5 of (old seq, seed, trial) inside the trial,
     computed by a distributed row number (no per-trial window)."""
     from lodestar.plans.ranking import global_row_number
     t = queries.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
-    t = t.withColumn("__h", F.xxhash64("seq", F.lit(seed), "trial"))
+    t = t.withColumn("__h", F.md5(F.concat_ws(":", F.col("seq"), F.lit(seed), F.col("trial"))))
     t = global_row_number(t, [F.col("trial"), F.col("__h"), F.col("seq")], "__rn")
     first = t.groupBy("trial").agg(F.min("__rn").alias("__f"))
     return t.join(first, "trial").withColumn("seq", F.col("__rn") - F.col("__f") + 1).drop("__h", "__rn", "__f")
 
 
-def allocate_trials(queries: DataFrame, bids: DataFrame, budgets: DataFrame, strategy: str,
-                    trials: int = 100, seed: int = 0) -> DataFrame:
-    """K2: revenue per shuffled trial and the competitive ratio
-    (mean revenue / sum of budgets), all trials in one fixed point."""
-    q = permute(queries, trials, seed)
-    a = allocate(q, bids, budgets, strategy, trial_col="trial")
-    rev = a.groupBy("trial").agg(F.sum("bid").alias("revenue"))
-    all_trials = q.select("trial").distinct()
-    rev = all_trials.join(rev, "trial", "left").fillna(0, ["revenue"])
-    best = best_revenue(budgets)
-    return rev.agg(F.avg("revenue").alias("mean_revenue"), F.count(F.lit(1)).alias("trials")) \
-              .crossJoin(best).withColumn("ratio", F.col("mean_revenue") / F.col("best"))  # one-row frames
+def competitive_ratio(revenues: DataFrame, budgets: DataFrame) -> DataFrame:
+    """Mean of ``revenues(trial, revenue)`` over the sum of budgets."""
+    return revenues.agg(F.avg("revenue").alias("mean_revenue"), F.count(F.lit(1)).alias("trials")) \
+                   .crossJoin(best_revenue(budgets)) \
+                   .withColumn("ratio", F.col("mean_revenue") / F.col("best"))  # one-row frames

@@ -2,9 +2,39 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestar.plans.iterate import materialize
+
+
+def _class_totals(labels: DataFrame) -> dict:
+    """Rows per class; the classes of a classifier are a bounded domain."""
+    rows = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()
+    return {r["label"]: r["n"] for r in sorted(rows, key=lambda r: r["label"])}
+
+
+def _class_counts(features: DataFrame, labels: DataFrame, vocabulary: DataFrame, totals: dict, key: str) -> DataFrame:
+    """``(word, label, n_c, k)`` for every word and class, from one aggregate
+    over the features."""
+    per = features.join(labels, key).groupBy("word").agg(
+        *[F.count(F.when(F.col("label") == c, 1)).alias(f"k{i}") for i, c in enumerate(totals)])
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("label"), F.lit(n).alias("n_c"),
+                                         F.coalesce(F.col(f"k{i}"), F.lit(0)).alias("k"))
+                                for i, (c, n) in enumerate(totals.items())])).alias("c")
+    return vocabulary.select("word").join(per, "word", "left").select("word", cells).select("word", "c.*")
+
+
+def _with_base(model: DataFrame, at_zero: str, totals: dict) -> DataFrame:
+    """Add the class constant: ln prior + the sum of ``at_zero`` over words."""
+    n = sum(totals.values())
+    prior = F.create_map(*[x for c, k in totals.items() for x in (F.lit(c), F.lit(math.log(k / n)))])
+    base = model.groupBy("label").agg(F.sum(at_zero).alias("s0")) \
+                .select("label", (prior[F.col("label")] + F.col("s0")).alias("base"))
+    return model.join(F.broadcast(base), "label")  # a row per class
+
 
 def fit_bernoulli_nb(features: DataFrame, labels: DataFrame, vocabulary: DataFrame,
                      key: str = "doc_id", alpha: float = 1.0) -> DataFrame:
@@ -12,21 +42,14 @@ def fit_bernoulli_nb(features: DataFrame, labels: DataFrame, vocabulary: DataFra
     unsmoothed class prior.
 
     ``features(doc_id, word)`` long form, ``labels(doc_id, label)``,
-    ``vocabulary(word)``. Returns the model as rows ``(label, word, lp1,
-    lp0)`` plus a per-class constant ``(label, base)`` folded into the word
-    ``None`` row: ``base = ln prior + sum_f ln(1 - p_f)``.
+    ``vocabulary(word)``. Returns the model as rows ``(label, word, lp1, lp0,
+    base)`` with ``base = ln prior + sum_f ln(1 - p_f)`` of the class.
     """
-    n_c = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
-    n = labels.agg(F.count(F.lit(1)).alias("n"))
-    df = features.join(labels, key).groupBy("label", "word").agg(F.count(F.lit(1)).alias("k"))
-    grid = n_c.crossJoin(vocabulary.select("word"))  # classes x vocabulary
-    p = (grid.join(df, ["label", "word"], "left").fillna(0, ["k"])
-             .withColumn("p", (F.col("k") + alpha) / (F.col("n_c") + 2 * alpha))
-             .select("label", "word", F.log("p").alias("lp1"), F.log(1 - F.col("p")).alias("lp0")))
-    base = (p.groupBy("label").agg(F.sum("lp0").alias("s0"))
-              .join(n_c, "label").crossJoin(n)
-              .select("label", (F.log(F.col("n_c") / F.col("n")) + F.col("s0")).alias("base")))
-    return p.join(base, "label")
+    totals = _class_totals(labels)
+    p = (F.col("k") + alpha) / (F.col("n_c") + 2 * alpha)
+    model = materialize(_class_counts(features, labels, vocabulary, totals, key)
+                        .select("label", "word", F.log(p).alias("lp1"), F.log(1 - p).alias("lp0")))
+    return _with_base(model, "lp0", totals)
 
 
 def predict_bernoulli_nb(model: DataFrame, features: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -47,23 +70,18 @@ def fit_gaussian_nb(features: DataFrame, labels: DataFrame, vocabulary: DataFram
     word mean and population variance, plus ``var_smoothing`` times the
     largest variance over all features. Returns ``(label, word, mu, var,
     base)`` with ``base`` the per-class sum of log densities at x = 0."""
-    n_c = labels.groupBy("label").agg(F.count(F.lit(1)).alias("n_c"))
-    n = labels.agg(F.count(F.lit(1)).alias("n"))
-    df = features.join(labels, key).groupBy("label", "word").agg(F.count(F.lit(1)).alias("k"))
-    grid = n_c.crossJoin(vocabulary.select("word"))
-    st = (grid.join(df, ["label", "word"], "left").fillna(0, ["k"])
-              .withColumn("mu", F.col("k") / F.col("n_c"))
-              .withColumn("var", F.col("mu") * (1 - F.col("mu"))))
+    totals = _class_totals(labels)
+    n = sum(totals.values())
+    cells = materialize(_class_counts(features, labels, vocabulary, totals, key))
     # smoothing uses the variance of each feature over all training rows
-    tot = (features.join(labels, key).groupBy("word").agg(F.count(F.lit(1)).alias("kt"))
-           .crossJoin(n).select("word", (F.col("kt") / F.col("n") * (1 - F.col("kt") / F.col("n"))).alias("vt")))
-    eps = tot.agg((F.lit(var_smoothing) * F.coalesce(F.max("vt"), F.lit(0.0))).alias("eps"))
-    st = st.crossJoin(eps).withColumn("var", F.col("var") + F.col("eps"))
-    st = st.withColumn("l0", -0.5 * F.log(2 * F.pi() * F.col("var")) - F.col("mu") ** 2 / (2 * F.col("var")))
-    st = st.withColumn("l1", -0.5 * F.log(2 * F.pi() * F.col("var")) - (1 - F.col("mu")) ** 2 / (2 * F.col("var")))
-    base = (st.groupBy("label").agg(F.sum("l0").alias("s0")).join(n_c, "label").crossJoin(n)
-              .select("label", (F.log(F.col("n_c") / F.col("n")) + F.col("s0")).alias("base")))
-    return st.select("label", "word", "l0", "l1").join(base, "label")
+    share = F.sum("k") / n
+    eps = cells.groupBy("word").agg((share * (1 - share)).alias("vt")).agg(F.max("vt")).first()[0] or 0.0
+    mu = F.col("k") / F.col("n_c")
+    st = cells.select("label", "word", mu.alias("mu"), (mu * (1 - mu) + F.lit(var_smoothing * eps)).alias("var"))
+    flat = -0.5 * F.log(2 * F.pi() * F.col("var"))
+    st = st.select("label", "word", (flat - F.col("mu") ** 2 / (2 * F.col("var"))).alias("l0"),
+                   (flat - (1 - F.col("mu")) ** 2 / (2 * F.col("var"))).alias("l1"))
+    return _with_base(st, "l0", totals)
 
 
 def predict_gaussian_nb(model: DataFrame, features: DataFrame, docs: DataFrame, key: str = "doc_id") -> DataFrame:
@@ -76,6 +94,36 @@ def predict_gaussian_nb(model: DataFrame, features: DataFrame, docs: DataFrame,
     return scores.groupBy(key).agg(F.max_by("label", F.struct(F.col("score"), -F.col("label"))).alias("pred"))
 
 
+def fit_gaussian_nb_dense(train: DataFrame, x: str = "x", label: str = "label",
+                          var_smoothing: float = 1e-9) -> DataFrame:
+    """H8 on dense vectors: ``(label, prior, mu, var)`` per class, population
+    variances plus ``var_smoothing`` times the largest variance of any
+    dimension over all rows. Two aggregates, one buffer per class and task."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = train.select(F.col(label).alias("label"), array_to_vector(F.col(x).cast("array<double>")).alias("v"))
+    stats = [F.count(F.lit(1)).alias("n"), Summarizer.mean(F.col("v")).alias("m"), Summarizer.variance(F.col("v")).alias("s")]
+    # Summarizer has sample variances
+    pop = F.transform(vector_to_array("s"), lambda q: q * (F.col("n") - 1) / F.col("n"))
+    whole = v.agg(*stats).select("n", F.array_max(pop).alias("top")).first()
+    if not whole["n"]:
+        raise ValueError("no training rows")
+    eps = var_smoothing * whole["top"]
+    return v.groupBy("label").agg(*stats).select(
+        "label", (F.col("n") / whole["n"]).alias("prior"), vector_to_array("m").alias("mu"),
+        F.transform(pop, lambda q: q + eps).alias("var"))
+
+
+def predict_gaussian_nb_dense(model: DataFrame, docs: DataFrame, key: str = "doc_id", x: str = "x") -> DataFrame:
+    """``(key, pred)``; ties go to the smaller label. The model has a row per
+    class, a bounded domain."""
+    terms = F.zip_with("mu", "var", lambda m, s: F.struct(m.alias("m"), s.alias("s")))
+    ll = F.aggregate(F.zip_with(F.col(x).cast("array<double>"), terms, lambda a, t: -0.5 * F.log(2 * F.pi() * t["s"])
+                                - (a - t["m"]) * (a - t["m"]) / (2 * t["s"])), F.log("prior"), lambda acc, y: acc + y)
+    scores = docs.select(key, x).crossJoin(F.broadcast(model)).select(key, "label", ll.alias("score"))
+    return scores.groupBy(key).agg(F.max_by("label", F.struct(F.col("score"), -F.col("label"))).alias("pred"))
+
+
 def fit_logistic(train: DataFrame, features_col: str = "features", label: str = "label", C: float = 1.0):
     """H9: L2 logistic regression with the objective of C-regularised
     liblinear-style fitting: ``regParam = 1 / (C * n)``, no standardisation."""
@@ -103,6 +151,7 @@ def confusion(pred: DataFrame, label: str = "label", pred_col: str = "pred",
     """``(label, pred, n)`` for every cell of the label domain,
     including empty cells (the domain is the bounded set of classes)."""
     if domain is None:
+        # the classes: bounded, as for any classifier
         domain = sorted(r[0] for r in pred.select(F.col(label)).union(pred.select(F.col(pred_col)))
                         .distinct().collect())
     cnt = pred.groupBy(label, pred_col).agg(F.count(F.lit(1)).alias("n"))

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lodestar.functions.vector import dot, l2_normalize
 from lodestar.operators.vectors import mean_vector
-from lodestar.plans.iterate import materialize
+from lodestar.plans.iterate import discard, materialize
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -131,7 +131,7 @@ def local_moving(vertices: DataFrame, edges: DataFrame, alpha: float, max_rounds
                           .select("id", F.coalesce("B", "community").alias("community"),
                                   F.col("B").isNotNull().alias("moved")))
         moved = new.where("moved").count()
-        mem.unpersist()
+        discard(mem)
         mem = new.drop("moved")
         if moved == 0:
             break

@@ -7,10 +7,14 @@ iterative operators run as level-wise joins with the loop helper in
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.plans.iterate import fixpoint, materialize
+from lodestar.plans.iterate import discard, fixpoint, materialize
+
+FOLD = 12  # levels of a search kept as tables of their own
 
 # ------------------------------------------------------------ closures
 
@@ -126,10 +130,14 @@ def power_law_gamma(dist: DataFrame, n_vertices: int | Column | None = None) ->
 
 def graph_counts(edges: DataFrame) -> DataFrame:
     """Vertex count and undirected edge count of the simple closure."""
-    s = simple(edges)
-    nv = vertices_of(edges).agg(F.count(F.lit(1)).alias("n_vertices"))
-    ne = s.agg((F.count(F.lit(1)) / 2).cast("long").alias("n_edges"))
-    return nv.crossJoin(ne)  # two one-row frames
+    # one pass: every endpoint pair and, as (id, null), every vertex
+    keys = F.explode(F.array(
+        F.struct(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")),
+        F.struct(F.col("src").alias("a"), F.lit(None).cast(edges.schema["dst"].dataType).alias("b")),
+        F.struct(F.col("dst").alias("a"), F.lit(None).cast(edges.schema["dst"].dataType).alias("b")))).alias("k")
+    d = edges.select(keys).select("k.a", "k.b").distinct()
+    return d.agg(F.count(F.when(F.col("b").isNull(), 1)).alias("n_vertices"),
+                 F.count(F.when(F.col("a") != F.col("b"), 1)).alias("n_edges"))
 
 # ------------------------------------------------------- components
 
@@ -153,8 +161,7 @@ def _small_star(e: DataFrame) -> DataFrame:
     return linked.unionByName(center)
 
 
-def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
-                         max_iter: int = 64) -> DataFrame:
+def connected_components(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
     """``(id, component)`` where component is the least id reached.
 
     Large-star / small-star rounds (Kiveris et al., 2014): O(log^2 n)
@@ -171,9 +178,8 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
     prev = {"sig": None}
 
     def step(cur: DataFrame, i: int) -> DataFrame:
-        ls = _large_star(cur).distinct()
-        ss = _small_star(both(ls)).distinct()
-        return both(ss)
+        # duplicates of the star steps go with the distinct of the next one
+        return both(_small_star(both(_large_star(cur))))
 
     def changes(cur: DataFrame) -> int:
         sig = cur.agg(F.count(F.lit(1)).alias("n"),
@@ -183,7 +189,7 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None,
         prev["sig"] = key
         return 1 if changed else 0
 
-    stars, _ = fixpoint(state, step, changes, max_iter=max_iter)
+    stars, _ = fixpoint(state, step, changes)
     # stars: every edge links a vertex and its component minimum
     labels = stars.groupBy("src").agg(F.min("dst").alias("m")) \
                   .select(F.col("src").alias("id"), F.least("id", "m").alias("component"))
@@ -197,33 +203,39 @@ def component_count(components: DataFrame) -> DataFrame:
 # ------------------------------------------------ distances and closeness
 
 
-def shortest_paths(edges: DataFrame, landmarks: DataFrame, max_iter: int = 1000) -> DataFrame:
+def shortest_paths(edges: DataFrame, landmarks: DataFrame, max_hops: int | None = None) -> DataFrame:
     """``(id, landmark, dist)`` = hops from ``id`` to ``landmark``
     following edge direction; 0 to itself; unreachable pairs omitted.
 
-    Frontier BFS backwards from the landmarks: each round joins the frontier
-    with the edges ending in it and anti-joins the visited set.
+    Frontier BFS backwards from the landmarks until the frontier is empty (or,
+    where ``max_hops`` is asked for, has gone that far): each round joins the
+    frontier with the edges ending in it and anti-joins what is visited. A
+    round writes its own level only; levels are folded into one table every
+    ``FOLD`` rounds, so a scan of all of them stays short.
     """
-    e = edges.select("src", "dst").distinct()
+    e = materialize(edges.select("src", "dst").distinct())
     start = landmarks.select(F.col("id"), F.col("id").alias("landmark"), F.lit(0).alias("dist"))
-    visited = materialize(start)
-    frontier = visited
-    for i in range(1, max_iter + 1):
-        nxt = (frontier.join(e, frontier.id == e.dst)
-                       .select(F.col("src").alias("id"), "landmark")
-                       .distinct()
-                       .join(visited.select("id", "landmark"), ["id", "landmark"], "left_anti")
-                       .withColumn("dist", F.lit(i)))
-        nxt = materialize(nxt, checkpoint=True)
-        if nxt.limit(1).count() == 0:
-            nxt.unpersist()
+    levels = [materialize(start)]
+    frontier, i = levels[0], 0
+    while max_hops is None or i < max_hops:
+        i += 1
+        visited = reduce(DataFrame.unionByName, levels).select("id", "landmark")
+        nxt = materialize(frontier.join(e, frontier.id == e.dst)
+                          .select(F.col("src").alias("id"), "landmark")
+                          .distinct()
+                          .join(visited, ["id", "landmark"], "left_anti")
+                          .withColumn("dist", F.lit(i)))
+        if nxt.isEmpty():
+            discard(nxt)
             break
-        new_visited = materialize(visited.unionByName(nxt), checkpoint=True)
-        if frontier is not visited:
-            frontier.unpersist()
-        visited.unpersist()
-        visited, frontier = new_visited, nxt
-    return visited
+        levels.append(nxt)
+        frontier = nxt
+        if len(levels) > FOLD:
+            folded = materialize(reduce(DataFrame.unionByName, levels[:-1]))
+            discard(*levels[:-1])
+            levels = [folded, nxt]
+    discard(e)
+    return reduce(DataFrame.unionByName, levels)
 
 
 def closeness(edges: DataFrame, landmarks: DataFrame | None = None) -> DataFrame:
@@ -239,34 +251,36 @@ def closeness(edges: DataFrame, landmarks: DataFrame | None = None) -> DataFrame
 # ------------------------------------------------------- articulation
 
 
-def bfs_forest(edges_sym: DataFrame, components: DataFrame, max_iter: int = 100000) -> DataFrame:
+def bfs_forest(edges_sym: DataFrame, components: DataFrame) -> DataFrame:
     """BFS spanning forest rooted at each component's least id.
 
     Returns ``(id, parent, depth, path)`` where ``path`` is the root-to-id
-    array (inclusive). Parent = least neighbour on the previous level."""
+    array (inclusive). Parent = least neighbour on the previous level. Runs
+    until a level is empty; each level is written once."""
     roots = components.where(F.col("id") == F.col("component")).select(
         "id", F.lit(None).cast(components.schema["id"].dataType).alias("parent"),
         F.lit(0).alias("depth"), F.array("id").alias("path"))
-    tree = materialize(roots)
-    frontier = tree
-    for i in range(1, max_iter + 1):
-        cand = (frontier.select(F.col("id").alias("src"), "path")
-                .join(edges_sym, "src")
-                .join(tree.select(F.col("id").alias("dst")), "dst", "left_anti")
-                .groupBy(F.col("dst").alias("id"))
-                .agg(F.min(F.struct("src", "path")).alias("p"))
-                .select("id", F.col("p.src").alias("parent"), F.lit(i).alias("depth"),
-                        F.concat(F.col("p.path"), F.array("id")).alias("path")))
-        cand = materialize(cand, checkpoint=True)
-        if cand.limit(1).count() == 0:
-            cand.unpersist()
-            break
-        new_tree = materialize(tree.unionByName(cand), checkpoint=True)
-        if frontier is not tree:
-            frontier.unpersist()
-        tree.unpersist()
-        tree, frontier = new_tree, cand
-    return tree
+    levels = [materialize(roots)]
+    frontier, i = levels[0], 0
+    while True:
+        i += 1
+        seen = reduce(DataFrame.unionByName, levels).select(F.col("id").alias("dst"))
+        cand = materialize(frontier.select(F.col("id").alias("src"), "path")
+                           .join(edges_sym, "src")
+                           .join(seen, "dst", "left_anti")
+                           .groupBy(F.col("dst").alias("id"))
+                           .agg(F.min(F.struct("src", "path")).alias("p"))
+                           .select("id", F.col("p.src").alias("parent"), F.lit(i).alias("depth"),
+                                   F.concat(F.col("p.path"), F.array("id")).alias("path")))
+        if cand.isEmpty():
+            discard(cand)
+            return reduce(DataFrame.unionByName, levels)
+        levels.append(cand)
+        frontier = cand
+        if len(levels) > FOLD:
+            folded = materialize(reduce(DataFrame.unionByName, levels[:-1]))
+            discard(*levels[:-1])
+            levels = [folded, cand]
 
 
 def articulation_points(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
@@ -332,8 +346,8 @@ def seed_coverage(edges: DataFrame, membership: DataFrame, seeds: DataFrame, ste
     ``membership(id, community)``, ``seeds(id)``. Edges are followed
     forward (src -> dst)."""
     rev = edges.select(F.col("dst").alias("src"), F.col("src").alias("dst"))
-    d = shortest_paths(rev, seeds)  # hops from landmark(seed) to id along edges
-    d = d.where((F.col("dist") >= 1) & (F.col("dist") <= steps))
+    d = shortest_paths(rev, seeds, max_hops=steps)  # hops from landmark(seed) to id along edges
+    d = materialize(d.where(F.col("dist") >= 1))
     m = membership.select("id", "community")
     j = (d.join(m, "id")
           .join(m.select(F.col("id").alias("landmark"), F.col("community").alias("seed_community")), "landmark"))
@@ -353,15 +367,44 @@ def complete(spark, n: int) -> DataFrame:
     return i.withColumn("dst", F.explode(F.sequence(F.col("src") + 1, F.lit(n - 1).cast("long"))))
 
 
-def gnp(spark, n: int, p: float, seed: int = 0) -> DataFrame:
-    """Erdos-Renyi G(n, p): keep pair (i<j) when its hash-uniform < p."""
-    pairs = complete(spark, n)
-    u = (F.pmod(F.xxhash64("src", "dst", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30))
-    return pairs.where(u < p)
+def _pair_of(k: Column, n: int) -> tuple[Column, Column]:
+    """The k-th (from 0) of the pairs i < j in row order. The closed form is
+    corrected by one step either way for the rounding of the root."""
+    m = F.lit(float(2 * n - 1))
+    i = F.floor((m - F.sqrt(F.greatest(F.lit(0.0), m * m - 8 * k))) / 2).cast("long")
+    before = lambda r: r * (2 * n - r - 1) / 2  # noqa: E731  pairs in the rows before r
+    i = F.when(before(i) > k, i - 1).otherwise(i)
+    i = F.when(before(i + 1) <= k, i + 1).otherwise(i)
+    return i, (k - before(i)).cast("long") + i + 1
 
 
 def gnm(spark, n: int, m: int, seed: int = 0) -> DataFrame:
-    """G(n, m): the m pairs with the smallest hash (top-m, no sort of
-    all pairs into one task: TakeOrderedAndProject keeps per-task heaps)."""
-    pairs = complete(spark, n).withColumn("__h", F.xxhash64("src", "dst", F.lit(seed)))
-    return pairs.orderBy("__h", "src", "dst").limit(m).drop("__h")
+    """G(n, m): m distinct pairs. Numbers of pairs are drawn by hash in
+    rounds until m different ones are there; rows grow with m, not with n^2."""
+    total = n * (n - 1) // 2
+    if m > total:
+        raise ValueError(f"{m} edges asked of {total} pairs")
+    if 2 * m > total:
+        return complete(spark, n).orderBy(F.xxhash64("src", "dst", F.lit(seed)), "src", "dst").limit(m)
+    draws = 2 * m + 64
+    while True:
+        k = spark.range(draws).select("id", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(total)).alias("k"))
+        k = k.groupBy("k").agg(F.min("id").alias("first"))
+        if k.count() >= m:
+            break
+        draws *= 2
+    src, dst = _pair_of(F.col("k"), n)
+    return k.orderBy("first").limit(m).select(src.alias("src"), dst.alias("dst"))
+
+
+def gnp(spark, n: int, p: float, seed: int = 0) -> DataFrame:
+    """Erdos-Renyi G(n, p): the number of edges is drawn from the
+    binomial's normal form, then that many pairs."""
+    import random
+    total = n * (n - 1) // 2
+    rng = random.Random(seed)
+    if total <= 1 << 16:
+        m = sum(rng.random() < p for _ in range(total))
+    else:
+        m = round(min(total, max(0.0, rng.gauss(total * p, (total * p * (1 - p)) ** 0.5))))
+    return gnm(spark, n, m, seed)

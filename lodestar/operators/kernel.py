@@ -1,9 +1,9 @@
 """Kernel regression, least squares and ridge regression.
 
-Pairwise kernels are evaluated by a blocked equi-join: the reference side
-is hashed into blocks, the query side is replicated once per block, and the
-per-pair terms are summed inside the join stage (partial aggregation), so
-the pairs are never shuffled or stored.
+Pairwise kernels are evaluated by a blocked equi-join: both sides are hashed
+into blocks, a task holds a block of either, and the per-pair terms are summed
+inside the join stage (partial aggregation), so the pairs are never shuffled
+or stored.
 """
 
 from __future__ import annotations
@@ -13,8 +13,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.vector import dot, mean_center, sample_sd
-
-BLOCK_ROWS = 200_000
+from lodestar.plans.blocks import block_pairs
+from lodestar.plans.iterate import discard, materialize
 
 
 def _prep(df: DataFrame, id_col: str, x: str, prefix: str) -> DataFrame:
@@ -24,23 +24,19 @@ def _prep(df: DataFrame, id_col: str, x: str, prefix: str) -> DataFrame:
                      *([F.col("y").alias(f"{prefix}y")] if "y" in df.columns else []))
 
 
-def kernel_pairs(test: DataFrame, train: DataFrame, n_blocks: int | None = None) -> DataFrame:
+def kernel_pairs(test: DataFrame, train: DataFrame, block: int = 4096) -> DataFrame:
     """Every (test, train) pair with its pattern similarity.
 
-    ``test(id, x)``, ``train(id, x, y)``. Blocked equi-join; the number of
-    blocks grows with the reference side so each block stays bounded."""
-    if n_blocks is None:
-        n_blocks = max(1, -(-train.count() // BLOCK_ROWS))
-    a = _prep(test, "id", "x", "t").withColumn("blk", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    b = _prep(train, "id", "x", "r").withColumn("blk", F.pmod(F.xxhash64("rid"), F.lit(n_blocks)))
-    j = a.join(b, "blk")
+    ``test(id, x)``, ``train(id, x, y)``: all pairs by definition, formed in
+    blocks of both sides (see :func:`lodestar.plans.blocks.block_pairs`)."""
+    j = block_pairs(_prep(test, "id", "x", "t"), _prep(train, "id", "x", "r"), ["tid"], ["rid"], block)
     s = dot("tc", "rc") / (F.col("tn") * F.col("tsd") * F.col("rsd"))
     return j.select(F.col("tid").alias("id"), F.col("rid").alias("train_id"), s.alias("sim"), F.col("ry").alias("y"))
 
 
-def kernel_regress(test: DataFrame, train: DataFrame, c: float = 2.0, n_blocks: int | None = None) -> DataFrame:
+def kernel_regress(test: DataFrame, train: DataFrame, c: float = 2.0, block: int = 4096) -> DataFrame:
     """``sum(y * exp(c*s)) / sum(exp(c*s))`` over the training rows."""
-    p = kernel_pairs(test, train, n_blocks)
+    p = kernel_pairs(test, train, block)
     w = F.exp(F.lit(c) * F.col("sim"))
     return p.groupBy("id").agg((F.sum(F.col("y") * w) / F.sum(w)).alias("pred"))
 
@@ -104,7 +100,8 @@ class RidgeSGD:
         frac = min(1.0, self.batch / n)
         x = [F.lit(1.0)] + [F.col(c).cast("double") for c in xs]
         base = df.select(F.col(row_id).alias("rid"), *[c.alias(f"x{i}") for i, c in enumerate(x)],
-                         F.col(y).cast("double").alias("y")).cache()
+                         F.col(y).cast("double").alias("y"))
+        base = materialize(base)
         for s in range(steps):
             u = F.pmod(F.xxhash64("rid", F.lit(self.seed), F.lit(s)), F.lit(1 << 30)) / float(1 << 30)
             pred = sum((F.lit(float(w[i])) * F.col(f"x{i}") for i in range(k)), F.lit(0.0))
@@ -115,7 +112,7 @@ class RidgeSGD:
                 continue
             grad = np.array([g[f"g{i}"] for i in range(k)]) * 2.0 / g["m"] + 2 * self.l2 * w
             w = w - self.lr * grad
-        base.unpersist()
+        discard(base)
         self.w = w
         return self
 

@@ -9,13 +9,6 @@ from lodestar.functions.scalar import keep_probability
 from lodestar.plans.ranking import global_prefix_sum, global_row_number
 
 
-def english_stopwords() -> list[str]:
-    """Spark's built-in English stop-word list (stands in for the NLTK
-    download, which is a different list of similar size)."""
-    from pyspark.ml.feature import StopWordsRemover
-    return list(StopWordsRemover.loadDefaultStopWords("english"))
-
-
 def word_count(docs: DataFrame, tokens: str = "tokens") -> DataFrame:
     """``(word, n)`` over all token occurrences (partial + final agg)."""
     return docs.select(F.explode(tokens).alias("word")).groupBy("word").agg(F.count(F.lit(1)).alias("n"))

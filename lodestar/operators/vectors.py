@@ -1,8 +1,8 @@
 """Vector lookup and similarity search over ``(key, vec array<double>)``.
 
-A query batch is a small table of (qid, key, weight) rows; scoring is a join
-of the batch with the vector table on a block key, never a collect. The
-query batch is checked against ``max_queries`` before it is broadcast.
+A query batch is a table of (qid, key, weight) rows; scoring is a join of the
+batch with the vector table by blocks of both sides, never a collect or a
+broadcast, so the number of queries has no limit.
 """
 
 from __future__ import annotations
@@ -11,10 +11,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.functions.vector import dot, l2_normalize, norm
+from lodestar.plans.blocks import block_pairs
 from lodestar.plans.ranking import top_k_per_group
 
-MAX_QUERIES = 100_000
-
 
 def vector_of(vectors: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
     """H5: ``keys`` left-joined to their vectors (null when missing)."""
@@ -28,18 +27,13 @@ def has_key(vectors: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
 
 
 def mean_vector(vectors: DataFrame, group: list[str], vec: str = "vec") -> DataFrame:
-    """Per-group element-wise mean ``(group.., mean)``; exploding by
-    position keeps a hot group spread over tasks (partial aggregation)."""
-    e = vectors.select(*group, F.posexplode(F.col(vec).cast("array<double>")).alias("pos", "x"))
-    m = e.groupBy(*group, "pos").agg(F.avg("x").alias("m"))
-    return m.groupBy(*group).agg(F.array_sort(F.collect_list(F.struct("pos", "m"))).alias("s")) \
-            .select(*group, F.transform("s", lambda x: x["m"]).alias("mean"))
-
-
-def _check_batch(queries: DataFrame, max_queries: int) -> None:
-    n = queries.select("qid").distinct().count()
-    if n > max_queries:
-        raise ValueError(f"{n} queries exceed max_queries={max_queries}; split the batch")
+    """Per-group element-wise mean ``(group.., mean)``: one buffer per
+    group and task, merged (a hot group is pre-aggregated in its tasks)."""
+    from pyspark.ml.functions import array_to_vector, vector_to_array
+    from pyspark.ml.stat import Summarizer
+    v = vectors.select(*group, array_to_vector(F.col(vec).cast("array<double>")).alias("__v"))
+    return v.groupBy(*group).agg(Summarizer.mean(F.col("__v")).alias("__m")) \
+            .select(*group, vector_to_array("__m").alias("mean"))
 
 
 def similarity(vectors: DataFrame, pairs: DataFrame, key: str = "key") -> DataFrame:
@@ -67,32 +61,29 @@ def _query_vectors(unit: DataFrame, queries: DataFrame, key: str) -> DataFrame:
     return m.select("qid", l2_normalize(F.col("mean")).alias("q"))
 
 
-def most_similar(vectors: DataFrame, queries: DataFrame, topn: int = 10, key: str = "key",
-                 max_queries: int = MAX_QUERIES) -> DataFrame:
+def most_similar(vectors: DataFrame, queries: DataFrame, topn: int = 10, key: str = "key") -> DataFrame:
     """``queries(qid, key, weight)`` with weight +1 (positive) or -1
     (negative). Cosine of every vector to the unit mean of the weighted unit
     query vectors, inputs excluded, top ``topn`` per query (ties by key)."""
-    _check_batch(queries, max_queries)
     unit = vectors.select(F.col(key), l2_normalize(F.col("vec")).alias("u"))
     qv = _query_vectors(unit, queries, key)
-    scored = unit.crossJoin(F.broadcast(qv)).select("qid", key, dot("u", "q").alias("score"))  # batch is bounded
+    scored = block_pairs(unit, qv, [key], ["qid"]).select("qid", key, dot("u", "q").alias("score"))
     scored = scored.join(queries.select("qid", key), ["qid", key], "left_anti")
     return top_k_per_group(scored, ["qid"], [F.col("score").desc(), F.col(key)], topn, salt_key=[key])
 
 
-def most_similar_cosmul(vectors: DataFrame, queries: DataFrame, topn: int = 10, key: str = "key",
-                        max_queries: int = MAX_QUERIES) -> DataFrame:
+def most_similar_cosmul(vectors: DataFrame, queries: DataFrame, topn: int = 10, key: str = "key") -> DataFrame:
     """``prod((1+cos)/2 over positives) / (prod over negatives + 1e-6)``."""
-    _check_batch(queries, max_queries)
     unit = vectors.select(F.col(key), l2_normalize(F.col("vec")).alias("u"))
-    qterms = queries.join(unit.select(F.col(key), F.col("u").alias("qu")), key) \
-                    .select("qid", F.col(key).alias("term"), "weight", "qu")
-    pairs = unit.crossJoin(F.broadcast(qterms)).select(  # batch is bounded
-        "qid", key, "weight", ((1 + dot("u", "qu")) / 2).alias("c"))
-    agg = pairs.groupBy("qid", key).agg(
-        F.coalesce(F.product(F.when(F.col("weight") > 0, F.col("c"))), F.lit(1.0)).alias("p"),
-        F.coalesce(F.product(F.when(F.col("weight") < 0, F.col("c"))), F.lit(1.0)).alias("n"))
-    scored = agg.select("qid", key, (F.col("p") / (F.col("n") + F.lit(1e-6))).alias("score"))
+    terms = queries.join(unit, key).groupBy("qid").agg(
+        F.collect_list(F.struct("weight", "u")).alias("terms"))  # a query's own few vectors
+
+    def product(sign: int):
+        own = F.filter("terms", lambda t: t["weight"] * sign > 0)
+        return F.aggregate(own, F.lit(1.0), lambda acc, t: acc * (1 + dot(F.col("u"), t["u"])) / 2)
+
+    scored = block_pairs(unit, terms, [key], ["qid"]).select(
+        "qid", key, (product(1) / (product(-1) + F.lit(1e-6))).alias("score"))
     scored = scored.join(queries.select("qid", key), ["qid", key], "left_anti")
     return top_k_per_group(scored, ["qid"], [F.col("score").desc(), F.col(key)], topn, salt_key=[key])
 

@@ -1,8 +1,7 @@
 """Loop helper for iterative operators (graph frontiers, fixed points).
 
-Each round persists the new state, counts the changes in the same action
-that materialises it, drops the previous state and cuts lineage with a
-reliable checkpoint every few rounds (never a local checkpoint: an executor
+Each round writes the new state to the shared checkpoint folder, counts its
+changes and deletes the state before it (never a local checkpoint: an executor
 loss must not lose state).
 """
 
@@ -11,7 +10,6 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
 from lodestar.session import checkpoint_dir
@@ -21,7 +19,17 @@ class NotConverged(RuntimeError):
     pass
 
 
-def materialize(df: DataFrame, checkpoint: bool = True) -> DataFrame:
+def _write(df: DataFrame, partition: str | None = None) -> DataFrame:
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lodestar-state/{uuid.uuid4().hex}"
+    w = df.write.mode("overwrite")
+    (w.partitionBy(partition) if partition else w).parquet(path)
+    out = spark.read.parquet(path)
+    out._state_path = path
+    return out
+
+
+def materialize(df: DataFrame) -> DataFrame:
     """Materialise ``df`` as a table in the shared checkpoint folder and
     return a fresh scan of it.
 
@@ -31,47 +39,46 @@ def materialize(df: DataFrame, checkpoint: bool = True) -> DataFrame:
     parquet under the session's ``spark.checkpoint.dir`` and reading it back:
     the next round starts from a file scan (with real size statistics for
     AQE), and the files survive the loss of the executors that wrote them.
-    ``checkpoint=False`` only persists.
     """
-    if not checkpoint:
-        return df.persist(StorageLevel.MEMORY_AND_DISK)
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/lodestar-state/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return _write(df)
 
 
 def materialize_partitioned(df: DataFrame, col: str) -> DataFrame:
     """As :func:`materialize`, with the table partitioned by ``col`` so later
     filters on it read only the matching folders."""
-    spark = df.sparkSession
-    base = checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/lodestar-state/{uuid.uuid4().hex}"
-    df.write.mode("overwrite").partitionBy(col).parquet(path)
-    return spark.read.parquet(path)
+    return _write(df, col)
+
+
+def discard(*states: DataFrame) -> None:
+    """Delete the files of materialised states that no plan reads any more."""
+    for df in states:
+        path = getattr(df, "_state_path", None)
+        if path:
+            spark = df.sparkSession
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+            df._state_path = None
 
 
 def fixpoint(state: DataFrame,
              step: Callable[[DataFrame, int], DataFrame],
              changes: Callable[[DataFrame], int],
-             max_iter: int = 100,
-             checkpoint_every: int = 1,
-             raise_on_limit: bool = False) -> tuple[DataFrame, int]:
+             max_iter: int | None = None) -> tuple[DataFrame, int]:
     """Run ``state = step(state, i)`` until ``changes(state) == 0``.
 
-    ``changes`` runs one action on the persisted new state (typically a
-    filtered count), which also materialises it. Returns (state, rounds).
+    ``changes`` runs one action on the written new state (typically a
+    filtered count). Each state is deleted once its successor is written.
+    Returns (state, rounds); a limit that is reached raises
+    :class:`NotConverged`, an unfinished state is never returned.
     """
     cur = materialize(state)
-    for i in range(1, max_iter + 1):
-        nxt = step(cur, i)
-        nxt = materialize(nxt, checkpoint=(i % checkpoint_every == 0))
+    i = 0
+    while max_iter is None or i < max_iter:
+        i += 1
+        nxt = materialize(step(cur, i))
         n = changes(nxt)
-        cur.unpersist()
+        discard(cur)
         cur = nxt
         if n == 0:
             return cur, i
-    if raise_on_limit:
-        raise NotConverged(f"no fixed point after {max_iter} rounds")
-    return cur, max_iter
+    raise NotConverged(f"no fixed point after {max_iter} rounds")

@@ -51,21 +51,48 @@ def best_revenue(spark, d):
     return A.best_revenue(bu).select(F.col("best").cast("double"))
 
 
-def _alloc(strategy):
-    def run(spark, d):
-        q, b, bu = _parts(spark, d)
-        return A.allocate(q, b, bu, strategy).select("seq", "advertiser", F.col("bid").cast("double").alias("bid"))
-    run.__doc__ = f"K1 with the {strategy} ranking over the whole query stream."
-    return run
+# spent so far: the greedy winners' bids of every other query, up to the budget
+SPENT_SQL = """win AS (SELECT seq, advertiser, bid FROM (SELECT q.seq, b.advertiser, b.bid,
+  row_number() OVER (PARTITION BY q.seq ORDER BY b.bid DESC, b.advertiser) AS rk FROM q JOIN b ON b.keyword = q.keyword)
+  WHERE rk = 1 AND seq % 2 = 0),
+sp AS (SELECT bu.advertiser, least(bu.budget, sum(bid)) AS spent FROM win JOIN bu ON bu.advertiser = win.advertiser
+  GROUP BY bu.advertiser, bu.budget),
+c AS (SELECT b.keyword, b.advertiser, b.bid, bu.budget, bu.budget - coalesce(sp.spent, 0) AS remaining
+  FROM b JOIN bu ON bu.advertiser = b.advertiser LEFT JOIN sp ON sp.advertiser = b.advertiser)"""
 
 
-query("allocate_greedy")(_alloc("greedy"))
-query("allocate_balance")(_alloc("balance"))
-query("allocate_msvv")(_alloc("msvv"))
+def _affordable_sql(order: str) -> str:
+    return f"""WITH {BASE_SQL}, {SPENT_SQL}
+SELECT q.seq, t.advertiser, CAST(t.bid AS DOUBLE) AS bid FROM q JOIN (
+  SELECT *, row_number() OVER (PARTITION BY keyword ORDER BY {order}, advertiser) AS rk FROM c WHERE remaining >= bid) t
+ON t.keyword = q.keyword AND rk = 1"""
 
 
-@query("competitive_ratio")
-def competitive_ratio(spark, d):
-    """K2: 4 shuffled trials of the greedy allocation, solved together."""
+def _affordable(spark, d, strategy):
     q, b, bu = _parts(spark, d)
-    return A.allocate_trials(q, b, bu, "greedy", trials=4, seed=0)
+    won = A.best_static_bid(q.where("seq % 2 = 0"), b).groupBy("advertiser").agg(F.sum("bid").alias("won"))
+    spent = won.join(bu, "advertiser").select("advertiser", F.least("budget", "won").alias("spent"))
+    return A.best_affordable_bid(q, b, bu, spent, strategy).select(
+        "seq", "advertiser", F.col("bid").cast("double").alias("bid"))
+
+
+@query("rank_bids_balance", _affordable_sql("remaining DESC"))
+def rank_bids_balance(spark, d):
+    return _affordable(spark, d, "balance")
+
+
+@query("rank_bids_msvv", _affordable_sql("""round(CAST(bid AS DOUBLE) * (1 - exp((CAST(budget AS DOUBLE)
+  - CAST(remaining AS DOUBLE)) / CAST(budget AS DOUBLE) - 1)), 9) DESC"""))
+def rank_bids_msvv(spark, d):
+    return _affordable(spark, d, "msvv")
+
+
+@query("permuted_stream", f"""WITH q AS ({S.AD_QUERIES_SQL}),
+t AS (SELECT seq AS old_seq, keyword, unnest(range(0, 4)) AS trial FROM q)
+SELECT trial, old_seq, keyword, row_number() OVER (PARTITION BY trial
+  ORDER BY md5(CAST(old_seq AS VARCHAR) || ':0:' || CAST(trial AS VARCHAR)), old_seq) AS seq FROM t""")
+def permuted_stream(spark, d):
+    """Four shuffled copies of the query stream."""
+    q, _, _ = _parts(spark, d)
+    p = A.permute(q.withColumn("old_seq", F.col("seq")), 4, seed=0)
+    return p.select(F.col("trial").cast("long").alias("trial"), "old_seq", "keyword", "seq")

@@ -1,5 +1,5 @@
 """Community queries on the attributed graph built from ``embeddings``
-(attributes = first 8 components, membership = label)."""
+(attributes = all components, membership = label)."""
 
 from __future__ import annotations
 
@@ -11,7 +11,7 @@ from lodestar.sources import standins as S
 from lodestar.sources.tables import Tables
 
 G_SQL = f"""e AS ({S.ATTRIBUTED_EDGES_SQL}),
-v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[])[1:8] AS a, label AS community FROM embeddings)"""
+v AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS a, label AS community FROM embeddings)"""
 
 
 def _g(spark, d):

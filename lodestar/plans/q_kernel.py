@@ -33,9 +33,9 @@ kr AS (SELECT t.id, sum(r.y * exp(2 * list_dot_product(t.c, r.c) / (t.n * t.sd *
   FROM s t CROSS JOIN s r WHERE t.part = 2 AND r.part = 0 GROUP BY t.id)"""
 
 
-@query("kernel_regress", "WITH " + _kernel_sql(16) + " SELECT id, round(pred, 6) AS pred FROM kr")
+@query("kernel_regress", "WITH " + _kernel_sql(64) + " SELECT id, round(pred, 6) AS pred FROM kr")
 def kernel_regress(spark, d):
-    w = _windows(spark, d, 16)
+    w = _windows(spark, d)
     r = K.kernel_regress(w.where("part = 2"), w.where("part = 0"), c=2.0)
     return r.select("id", F.round("pred", 6).alias("pred"))
 
@@ -93,7 +93,7 @@ def ridge_mse(spark, d):
 @query("ridge_sgd")
 def ridge_sgd(spark, d):
     """H20 with large batches (one Spark aggregate per step)."""
-    r = _ridge_input(spark, d).withColumn("rid", F.col("l_orderkey") * 10 + F.col("l_linenumber"))
+    r = _ridge_input(spark, d).withColumn("rid", F.struct("l_orderkey", "l_linenumber"))
     n = r.count()
     m = K.RidgeSGD(lr=0.1, l2=L2, batch=max(1, n // 4), epochs=5, seed=100).fit(r, "y", ["x"], "rid")
     p = m.predict(r, ["x"])

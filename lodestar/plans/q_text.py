@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from lodestar.functions.text import tokenize, tokens
 from lodestar.operators import classify as C
 from lodestar.operators import text as X
+from lodestar.plans.iterate import materialize
 from lodestar.plans.registry import query
 from lodestar.sources import files
 from lodestar.sources import standins as S
@@ -103,10 +104,11 @@ def _features(ldocs):
 
 
 def _nb_parts(spark, d):
-    ld = _ldocs(spark, d)
+    # the texts are tokenized and the words selected once; all later steps read these tables
+    ld = materialize(_ldocs(spark, d).withColumn("tokens", F.array_distinct("tokens")))
     train, feats = _features(ld)
-    bf = X.binary_features(ld, feats)
-    return ld, train, feats, bf
+    feats = materialize(feats)
+    return ld, train, feats, X.binary_features(ld, feats)
 
 
 @query("tokenize", f"""WITH {DOCS_SQL}
@@ -253,3 +255,32 @@ def q_logistic(spark, d):
     pred = model.transform(vec.where(F.col("split") == "test")).select(
         "doc_id", "label", F.col("prediction").cast("int").alias("pred"))
     return C.accuracy(pred)
+
+
+DENSE_SQL = """w AS (SELECT vec_id AS doc_id, label, vec_id % 5 = 0 AS test, CAST(embedding AS DOUBLE[]) AS x FROM embeddings),
+u AS (SELECT doc_id, label, unnest(x) AS v, unnest(generate_series(1, len(x))) AS i FROM w WHERE NOT test),
+eps AS (SELECT 1e-9 * max(s) AS eps FROM (SELECT var_pop(v) AS s FROM u GROUP BY i)),
+m AS (SELECT label, i, avg(v) AS mu, var_pop(v) + any_value(eps) AS s FROM u, eps GROUP BY label, i),
+pr AS (SELECT label, ln(count(*) / (SELECT count(*) FROM w WHERE NOT test)) AS lp FROM w WHERE NOT test GROUP BY label),
+t AS (SELECT doc_id, label AS actual, unnest(x) AS v, unnest(generate_series(1, len(x))) AS i FROM w WHERE test),
+sc AS (SELECT doc_id, actual, m.label, any_value(lp) + sum(-0.5 * ln(2 * pi() * s) - (v - mu) * (v - mu) / (2 * s)) AS score
+  FROM t JOIN m ON m.i = t.i JOIN pr ON pr.label = m.label GROUP BY doc_id, actual, m.label)
+SELECT doc_id, actual AS label, arg_max(label, (score, -label)) AS pred FROM sc GROUP BY doc_id, actual"""
+
+
+@query("gaussian_nb_dense", "WITH " + DENSE_SQL)
+def q_gaussian_dense(spark, d):
+    """H8 on document vectors: train on vec_id mod 5 <> 0, predict the rest."""
+    e = Tables(spark, d).embeddings.select(F.col("vec_id").alias("doc_id"), "label", F.col("embedding").alias("x"))
+    model = C.fit_gaussian_nb_dense(e.where("doc_id % 5 <> 0"))
+    test = e.where("doc_id % 5 = 0")
+    return test.select("doc_id", "label").join(C.predict_gaussian_nb_dense(model, test), "doc_id")
+
+
+@query("logistic_dense")
+def q_logistic_dense(spark, d):
+    """H9 on document vectors: accuracy of multinomial logistic regression."""
+    from pyspark.ml.functions import array_to_vector
+    e = Tables(spark, d).embeddings.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
+    model = C.fit_logistic(e.where("vec_id % 5 <> 0"), "features", "label")
+    return C.accuracy(model.transform(e.where("vec_id % 5 = 0")).select("label", F.col("prediction").cast("int").alias("pred")))

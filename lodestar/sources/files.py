@@ -20,6 +20,13 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
+def _body_lines(spark: SparkSession, path: str) -> DataFrame:
+    """(value): the lines of each file but its first. The CSV source drops it
+    where a file begins, so nothing is numbered or moved."""
+    return (spark.read.schema("value string").option("header", True).option("sep", "\u0001")
+            .option("quote", "").option("escape", "").csv(path))
+
+
 def _numbered_lines(spark: SparkSession, path: str) -> DataFrame:
     """(file, line_no, value): 1-based line numbers per file.
 
@@ -51,10 +58,9 @@ def read_edges(spark: SparkSession, path: str, sep: str = ",", header_lines: int
     ``sep=r"\\s+"`` takes the first two whitespace fields, and with
     ``undirected=True`` adds flipped edges, drops self-loops and duplicates.
     """
-    if header_lines:
-        lines = _numbered_lines(spark, path).where(F.col("line_no") > header_lines).select("value")
-    else:
-        lines = _lines(spark, path)
+    if header_lines not in (0, 1):
+        raise ValueError("header_lines is 0 or 1")
+    lines = _body_lines(spark, path) if header_lines else _lines(spark, path)
     if sep == ",":
         parts = F.split(F.col("value"), ",", 2)
     else:
@@ -117,7 +123,7 @@ def read_delimited(spark: SparkSession, path: str, sep: str, names: list[str],
                    types: list[str] | None = None, skip_header: bool = False) -> DataFrame:
     """Split each line into at most ``len(names)`` fields (the last keeps
     the remainder) and ``try_cast`` to ``types``; bad casts become null."""
-    lines = _numbered_lines(spark, path).where(F.col("line_no") > 1) if skip_header else _lines(spark, path)
+    lines = _body_lines(spark, path) if skip_header else _lines(spark, path)
     parts = F.split(F.col("value"), sep, len(names))
     cols = []
     for i, n in enumerate(names):
@@ -169,20 +175,21 @@ def read_lexicon(spark: SparkSession, path: str, polarity: str | None = None) ->
 def read_vectors(spark: SparkSession, path: str, vocab_path: str | None = None) -> DataFrame:
     """word2vec text format -> ``(word, vec array<float>, count)``.
 
-    The ``n d`` header is line 1; every row must have ``d`` values (rows that
-    do not are dropped).
-    Counts come from ``vocab_path`` (``word count``) or fall back to
-    ``n - line index`` (most frequent first)."""
-    lines = _numbered_lines(spark, path)
-    header = lines.where(F.col("line_no") == 1).select(
-        F.split(F.trim("value"), r"\s+").alias("h")).select(
-        F.col("h")[0].try_cast("long").alias("n"), F.col("h")[1].try_cast("int").alias("d"))
-    body = lines.where(F.col("line_no") > 1).select("line_no", tokens(F.col("value")).alias("t"))
-    body = body.crossJoin(F.broadcast(header))  # one-row header
-    body = body.where(F.size("t") == F.col("d") + 1)
-    out = body.select(F.col("t")[0].alias("word"),
-                      F.transform(F.slice("t", 2, F.col("d")), lambda x: x.try_cast("float")).alias("vec"),
-                      (F.col("n") - (F.col("line_no") - 2)).alias("count"))
+    A file may begin with its ``n d`` header; the files of a folder are read
+    in order as one table, with the sum of their n. Every row must have d
+    values; another number is an error. Counts come from ``vocab_path``
+    (``word count``) or fall back to ``n - row index`` (most frequent first)."""
+    from lodestar.plans.ranking import global_row_number
+    lines = _numbered_lines(spark, path).withColumn("t", tokens(F.col("value")))
+    is_head = (F.col("line_no") == 1) & (F.size("t") == 2) & F.col("t")[0].rlike("^[0-9]+$") & F.col("t")[1].rlike("^[0-9]+$")
+    head = lines.where(is_head).agg(F.sum(F.col("t")[0].cast("long")).alias("n"),
+                                    F.max(F.col("t")[1].cast("int")).alias("d"))
+    body = global_row_number(lines.where(~is_head & (F.size("t") > 0)), [F.col("file"), F.col("line_no")], "row")
+    body = body.crossJoin(F.broadcast(head))  # one row
+    values = F.when(F.size("t") == F.col("d") + 1, F.slice("t", 2, F.col("d"))).otherwise(F.raise_error(F.concat(
+        F.lit("vector row of the wrong length: "), F.substring("value", 1, 80))).cast("array<string>"))
+    out = body.select(F.col("t")[0].alias("word"), F.transform(values, lambda x: x.cast("float")).alias("vec"),
+                      (F.col("n") - F.col("row") + 1).alias("count"))
     if vocab_path:
         vc = _lines(spark, vocab_path).select(tokens(F.col("value")).alias("t")) \
             .select(F.col("t")[0].alias("word"), F.col("t")[1].cast("long").alias("vcount"))
@@ -199,13 +206,13 @@ def write_vectors(vectors: DataFrame, path: str) -> None:
         F.concat_ws(" ", F.col("word"), F.concat_ws(" ", F.transform("vec", lambda x: x.cast("string")))).alias("value"),
         F.lit(1).alias("__o"), F.col("count").alias("__c"), F.col("word").alias("__w"))
     out = head.unionByName(rows).orderBy(F.col("__o"), F.col("__c").desc_nulls_last(), F.col("__w"))
-    out.select("value").coalesce(1).write.mode("overwrite").text(path)
+    out.select("value").write.mode("overwrite").text(path)  # one file per range, in order
 
 
 def read_analogies(spark: SparkSession, path: str) -> DataFrame:
     """``: SECTION`` lines open a section for the following 4-word
-    lines; malformed lines are skipped; questions before any section get a
-    null section (callers may reject them).
+    lines; malformed lines are skipped; a question before any section is an
+    error.
 
     The section of a line is found by a running count of section headers
     (a distributed prefix sum) and an equi-join on that ordinal."""
@@ -214,11 +221,13 @@ def read_analogies(spark: SparkSession, path: str) -> DataFrame:
     is_sec = F.col("value").startswith(": ")
     df = global_prefix_sum(lines.withColumn("__s", is_sec.cast("long")),
                            [F.col("file"), F.col("line_no")], F.col("__s"), "__k")
-    secs = df.where(F.col("__s") == 1).select("file", "__k", F.trim(F.substring("value", 3, 1 << 20)).alias("section"))
+    secs = df.where(F.col("__s") == 1).select("file", "__k", F.trim(F.expr("substring(value, 3)")).alias("section"))
     q = df.where(F.col("__s") == 0).select(
         "file", "__k", "line_no", F.transform(tokens(F.col("value")), lambda x: F.lower(x)).alias("w"))
     q = q.where(F.size("w") == 4).join(secs, ["file", "__k"], "left")
-    return q.select("line_no", "section",
+    section = F.coalesce("section", F.raise_error(F.concat(F.lit("question before any section, line "),
+                                                           F.col("line_no").cast("string"))).cast("string"))
+    return q.select("line_no", section.alias("section"),
                     *[F.col("w")[i].alias(n) for i, n in enumerate(["a", "b", "c", "expected"])])
 
 
@@ -254,12 +263,10 @@ def write_walks(walks: DataFrame, path: str, rebuild: bool = True) -> DataFrame:
     is reused."""
     spark = walks.sparkSession
     if not rebuild:
-        try:
-            have = spark.read.text(path).count()
-            if have == walks.count():
-                return read_walks(spark, path)
-        except Exception:  # missing path
-            pass
+        p = spark._jvm.org.apache.hadoop.fs.Path(path)
+        there = p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+        if there and spark.read.text(path).count() == walks.count():
+            return read_walks(spark, path)
     walks.select("pass", F.concat_ws(" ", F.transform("walk", lambda x: x.cast("string"))).alias("value")) \
          .write.mode("overwrite").partitionBy("pass").text(path)
     return read_walks(spark, path)
@@ -271,5 +278,18 @@ def read_walks(spark: SparkSession, path: str) -> DataFrame:
 
 def write_messages(df: DataFrame, path: str, encode: str = "raw") -> None:
     """Replay texts into a message sink: raw value or a JSON string."""
-    v = F.col("value") if encode == "raw" else F.to_json(F.struct(F.col("value").alias("text")))
+    # a JSON array of one string less its brackets is the JSON string
+    v = F.col("value") if encode == "raw" else F.regexp_replace(F.to_json(F.array("value")), r"^\[|\]$", "")
     df.select(v.alias("value")).write.mode("overwrite").text(path)
+
+
+def save_model(path: str, **frames: DataFrame) -> None:
+    """The tables of a fitted model (naive-Bayes rows, vectors, a
+    vocabulary ..), one parquet folder each."""
+    for name, df in frames.items():
+        df.write.mode("overwrite").parquet(f"{path.rstrip('/')}/{name}")
+
+
+def load_model(spark: SparkSession, path: str, *names: str) -> dict[str, DataFrame]:
+    """The saved tables by name."""
+    return {name: spark.read.parquet(f"{path.rstrip('/')}/{name}") for name in names}

@@ -72,10 +72,9 @@ JOIN customer ON o_custkey = c_custkey JOIN supplier ON l_suppkey = s_suppkey"""
 # ------------------------------------------------------- attributed graph
 
 
-def attributed_vertices(t: Tables, dims: int = 8) -> DataFrame:
-    """Vertices = embeddings; attributes = the first ``dims`` components."""
-    return t.embeddings.select(F.col("vec_id").alias("id"),
-                               F.slice(F.col("embedding"), 1, dims).cast("array<double>").alias("attrs"),
+def attributed_vertices(t: Tables) -> DataFrame:
+    """Vertices = embeddings; attributes = all components."""
+    return t.embeddings.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("attrs"),
                                F.col("label").alias("community"))
 
 
@@ -214,7 +213,8 @@ def messages(t: Tables) -> DataFrame:
     c = global_row_number(t.conversations.select("conv_id", "turn", "text"),
                           [F.col("conv_id"), F.col("turn")], "rn")
     e = global_row_number(t.events.select("event_id", "ts"), [F.col("ts"), F.col("event_id")], "rn")
-    return c.join(e.select("rn", "ts"), "rn").select("conv_id", "turn", "ts", F.col("text").alias("value"))
+    ts = F.coalesce("ts", F.raise_error(F.lit("fewer events than turns")).cast(e.schema["ts"].dataType))
+    return c.join(e.select("rn", "ts"), "rn", "left").select("conv_id", "turn", ts.alias("ts"), F.col("text").alias("value"))
 
 
 MESSAGES_SQL = """

@@ -44,7 +44,7 @@ def test_allocate_matches_sequential(spark, strategy):
     q = spark.createDataFrame(queries, "seq long, keyword string")
     b = spark.createDataFrame([(a, k, Decimal(v)) for a, k, v in bids], "advertiser int, keyword string, bid decimal(12,2)")
     bu = spark.createDataFrame([(a, Decimal(v)) for a, v in budgets.items()], "advertiser int, budget decimal(12,2)")
-    got = {r["seq"]: r["advertiser"] for r in A.allocate(q, b, bu, strategy, method="fixpoint").collect()}
+    got = {r["seq"]: r["advertiser"] for r in A.allocate(q, b, bu, strategy).collect()}
     assert got == exp
 
 
@@ -53,25 +53,8 @@ def test_budget_smaller_than_every_bid(spark):
     b = spark.createDataFrame([(1, "a", Decimal(5))], "advertiser int, keyword string, bid decimal(12,2)")
     bu = spark.createDataFrame([(1, Decimal(2))], "advertiser int, budget decimal(12,2)")
     assert A.allocate(q, b, bu, "greedy").count() == 0
-    assert A.allocate(q, b, bu, "greedy", method="fixpoint").count() == 0
 
 
 def test_allocate_multi_block(spark, monkeypatch):
     monkeypatch.setattr(A, "CHUNK", 7)
     test_allocate_matches_sequential(spark, "balance")
-
-
-@pytest.mark.parametrize("strategy", ["greedy", "balance", "msvv"])
-def test_windows_equal_fixpoint(spark, strategy):
-    rnd = random.Random(11)
-    kws = [f"k{i}" for i in range(4)]
-    bids = sorted({(a, k, rnd.randint(1, 4)) for a in range(5) for k in rnd.sample(kws, 3)})
-    budgets = {a: rnd.randint(3, 12) for a in range(5)}
-    queries = [(i, rnd.choice(kws)) for i in range(50)]
-    exp = sequential(queries, [(a, k, float(b)) for a, k, b in bids], {a: float(b) for a, b in budgets.items()},
-                     strategy)
-    q = spark.createDataFrame(queries, "seq long, keyword string")
-    b = spark.createDataFrame([(a, k, Decimal(v)) for a, k, v in bids], "advertiser int, keyword string, bid decimal(12,2)")
-    bu = spark.createDataFrame([(a, Decimal(v)) for a, v in budgets.items()], "advertiser int, budget decimal(12,2)")
-    got = {r["seq"]: r["advertiser"] for r in A.allocate(q, b, bu, strategy, method="windows", window=8).collect()}
-    assert got == exp

@@ -118,3 +118,40 @@ def test_power_law_gamma(spark):
     ys = [math.log(4 / n), math.log(19 / n), math.log(5 / n)]
     g = -sum(x * y for x, y in zip(xs, ys)) / sum(x * x for x in xs)
     assert r["gamma"] == pytest.approx(g)
+
+
+def test_long_chain_is_complete(spark):
+    from lodestar.plans.iterate import NotConverged, fixpoint
+    n = 2000
+    chain = spark.range(n - 1).selectExpr("id as src", "id + 1 as dst")
+    comp = G.connected_components(chain)
+    assert comp.where("component = 0").count() == n
+    hops = 70
+    short = spark.range(hops).selectExpr("id as src", "id + 1 as dst")
+    d = G.shortest_paths(short, spark.createDataFrame([(hops,)], "id long"))
+    assert {(r["id"], r["dist"]) for r in d.collect()} == {(i, hops - i) for i in range(hops + 1)}
+    with pytest.raises(NotConverged):
+        fixpoint(short, lambda s, i: s, lambda s: 1, max_iter=2)
+
+
+def test_iterations_delete_their_state(spark):
+    import os
+    from lodestar.plans.iterate import fixpoint
+    from lodestar.session import checkpoint_dir
+    base = checkpoint_dir(spark).removeprefix("file:") + "/lodestar-state"
+    before = set(os.listdir(base)) if os.path.isdir(base) else set()
+    most = []
+
+    def changes(s):
+        most.append(len(set(os.listdir(base)) - before))
+        return int(len(most) < 6)
+
+    fixpoint(spark.range(3).toDF("src"), lambda s, i: s, changes)
+    assert max(most) <= 2
+
+
+def test_generators(spark):
+    e = [tuple(r) for r in G.gnm(spark, 200, 500, seed=3).collect()]
+    assert len(set(e)) == 500 and all(0 <= a < b < 200 for a, b in e)
+    assert G.gnm(spark, 6, 14).distinct().count() == 14
+    assert 300 < G.gnp(spark, 100, 0.1, seed=2).count() < 700

@@ -1,4 +1,6 @@
 import os
+import json
+import os
 import tempfile
 
 import numpy as np
@@ -123,7 +125,7 @@ def test_ridge_closed_form_shipped(spark):
 def test_kernel_regress_small(spark):
     tr = spark.createDataFrame([(1, [1.0, 2.0, 3.0], 1.0), (2, [3.0, 2.0, 1.0], 0.0)], "id long, x array<double>, y double")
     te = spark.createDataFrame([(9, [1.0, 2.0, 4.0])], "id long, x array<double>")
-    got = K.kernel_regress(te, tr, c=2.0, n_blocks=2).first()["pred"]
+    got = K.kernel_regress(te, tr, c=2.0, block=1).first()["pred"]
     def sim(a, b):
         a, b = np.array(a), np.array(b)
         return ((a - a.mean()) * (b - b.mean())).sum() / (len(a) * a.std(ddof=1) * b.std(ddof=1))
@@ -241,8 +243,8 @@ def test_text_readers_and_sinks(spark):
     files.write_messages(msgs, f"{d}/raw")
     files.write_messages(msgs, f"{d}/json", encode="json")
     assert sorted(r[0] for r in spark.read.text(f"{d}/raw").collect()) == ["hi there", 'say "x"']
-    back = spark.read.json(f"{d}/json").collect()
-    assert sorted(r["text"] for r in back) == ["hi there", 'say "x"']
+    back = [json.loads(r[0]) for r in spark.read.text(f"{d}/json").collect()]
+    assert sorted(back) == ["hi there", 'say "x"']
     walks = spark.createDataFrame([(0, [1, 2, 3]), (1, [2, 3])], "pass int, walk array<long>")
     w = files.write_walks(walks, f"{d}/walks")
     assert sorted(x["tokens"] for x in w.collect()) == [["1", "2", "3"], ["2", "3"]]
@@ -250,14 +252,60 @@ def test_text_readers_and_sinks(spark):
     assert again.count() == 2
 
 
-def test_embeddings_and_doc_inference(spark):
-    from lodestar.operators import embed as EM
-    rows = [(i, (["red", "apple", "fruit"] if i % 2 else ["blue", "sky", "cloud"]) * 3) for i in range(40)]
-    docs = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
-    m = EM.train_embeddings(docs, dim=8, window=2, negative=3, min_count=1, epochs=2, arch="sg")
-    assert m.count() == 6 and {len(r["vec"]) for r in m.collect()} == {8}
-    cb = EM.train_embeddings(docs, dim=8, window=2, negative=3, min_count=1, epochs=1, arch="cbow")
-    assert cb.count() == 6
-    a = {r["doc_id"]: r["vec"] for r in EM.infer_doc_vectors(docs.repartition(1), m).collect()}
-    b = {r["doc_id"]: r["vec"] for r in EM.infer_doc_vectors(docs.repartition(5), m).collect()}
-    assert a.keys() == b.keys() and all(np.allclose(a[k], b[k]) for k in a)
+def test_vector_files(spark):
+    d = tempfile.mkdtemp(prefix="lodestar-vec-")
+    v = spark.createDataFrame([(f"w{i}", [float(i), 0.5], 100 - i) for i in range(40)], "word string, vec array<float>, count long")
+    files.write_vectors(v, f"{d}/v")
+    back = {r["word"]: (r["vec"], r["count"]) for r in files.read_vectors(spark, f"{d}/v").collect()}
+    assert back == {f"w{i}": ([float(i), 0.5], 40 - i) for i in range(40)}
+    os.makedirs(f"{d}/two")
+    for name, rows in (("a", "2 2\nx 1 2\ny 3 4\n"), ("b", "2 2\nz 5 6\nq 7 8\n")):
+        with open(f"{d}/two/{name}.txt", "w") as f:
+            f.write(rows)
+    assert sorted((r["word"], r["count"]) for r in files.read_vectors(spark, f"{d}/two").collect()) == [
+        ("q", 1), ("x", 4), ("y", 3), ("z", 2)]
+    with open(f"{d}/bad.txt", "w") as f:
+        f.write("2 2\nx 1 2\ny 3\n")
+    with pytest.raises(Exception, match="wrong length"):
+        files.read_vectors(spark, f"{d}/bad.txt").collect()
+
+
+def test_edge_header_questions_models(spark):
+    d = tempfile.mkdtemp(prefix="lodestar-io3-")
+    with open(f"{d}/e.txt", "w") as f:
+        f.write("3 2\n1 2\n2 3\n")
+    e = files.read_edges(spark, f"{d}/e.txt", sep=" ", header_lines=1, as_long=True)
+    assert sorted(map(tuple, e.collect())) == [(1, 2), (2, 3)]
+    with open(f"{d}/ws.txt", "w") as f:
+        f.write("1\t2\n2   1\n3 3\n")
+    assert sorted(map(tuple, files.read_edges(spark, f"{d}/ws.txt", sep=r"\s+", undirected=True).collect())) == [("1", "2"), ("2", "1")]
+    with open(f"{d}/q.txt", "w") as f:
+        f.write("a b c d\n: s\nE F G H\n")
+    with pytest.raises(Exception, match="before any section"):
+        files.read_analogies(spark, f"{d}/q.txt").collect()
+    nodes = spark.createDataFrame([(1, "x", "user")], "id long, name string, type string")
+    files.write_nodes(nodes, f"{d}/nodes")
+    assert spark.read.text(f"{d}/nodes").first()[0] == "1\tx\tuser"
+    files.write_table(nodes, f"{d}/csv")
+    assert files.read_table(spark, f"{d}/csv", nodes.schema).collect() == nodes.collect()
+    files.save_model(f"{d}/m", nodes=nodes)
+    assert files.load_model(spark, f"{d}/m", "nodes")["nodes"].collect() == nodes.collect()
+
+
+def test_dense_classifiers(spark):
+    from pyspark.ml.functions import array_to_vector
+    from lodestar.operators import classify as C
+    rng = np.random.default_rng(1)
+    x = np.concatenate([rng.normal(0, 1, (60, 3)), rng.normal(1, 2, (40, 3))])
+    y = [0] * 60 + [1] * 40
+    df = spark.createDataFrame([(i, list(map(float, r)), c) for i, (r, c) in enumerate(zip(x, y))], "doc_id long, x array<double>, label int")
+    pred = {r["doc_id"]: r["pred"] for r in C.predict_gaussian_nb_dense(C.fit_gaussian_nb_dense(df), df).collect()}
+    eps = 1e-9 * x.var(0).max()
+    ll = np.stack([np.log(len(p) / 100) - 0.5 * (np.log(2 * np.pi * (p.var(0) + eps)) + (x - p.mean(0)) ** 2 / (p.var(0) + eps)).sum(1)
+                   for p in (x[:60], x[60:])], 1)
+    assert [pred[i] for i in range(100)] == ll.argmax(1).tolist()
+    m = C.fit_logistic(df.select("label", array_to_vector("x").alias("features")), "features", "label")
+    w, b = m.coefficients.toArray(), m.intercept
+    p = 1 / (1 + np.exp(-(x @ w + b)))
+    # gradient of the mean loss plus the penalty 1 / (C n) * w
+    assert np.abs(x.T @ (p - y) / 100 + w / 100).max() < 1e-4 and abs((p - y).mean()) < 1e-4
