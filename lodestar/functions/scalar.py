@@ -40,3 +40,15 @@ def node_key(prefix: str, *parts: Column) -> Column:
     """Namespaced node key ``prefix<p1>_<p2>..``."""
     cols = [p.cast("string") for p in parts]
     return F.concat(F.lit(prefix), F.concat_ws("_", *cols))
+
+
+def draw(*parts: Column | int | str) -> Column:
+    """A 32-bit number from an MD5 of the parts joined by colons: the same on
+    any engine, layout or retry."""
+    cols = [p if isinstance(p, Column) else F.lit(p) for p in parts]
+    return F.conv(F.substring(F.md5(F.concat_ws(":", *[c.cast("string") for c in cols])), 1, 8), 16, 10).cast("long")
+
+
+def uniform(*parts: Column | int | str) -> Column:
+    """:func:`draw` as a number in [0, 1)."""
+    return draw(*parts) / float(1 << 32)

@@ -28,8 +28,8 @@ def degrees(edges: DataFrame) -> DataFrame:
 
 def modularity(edges: DataFrame, membership: DataFrame) -> DataFrame:
     """``sum_c (L_c / m - (d_c / 2m)^2)`` with weights."""
+    edges, mem = materialize(edges), materialize(membership.select("id", "community"))
     m = edges.agg(F.sum("weight").alias("m"))
-    mem = membership.select("id", "community")
     inside = (edges.join(mem.select(F.col("id").alias("src"), F.col("community").alias("cs")), "src")
                    .join(mem.select(F.col("id").alias("dst"), F.col("community").alias("cd")), "dst")
                    .where(F.col("cs") == F.col("cd"))

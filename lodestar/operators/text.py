@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodestar.functions.scalar import keep_probability
+from lodestar.functions.scalar import keep_probability, uniform
 from lodestar.plans.ranking import global_prefix_sum, global_row_number
 
 
@@ -71,12 +71,11 @@ def binary_features(docs: DataFrame, features: DataFrame, key: str = "doc_id", t
 def subsample(docs: DataFrame, vocab: DataFrame, sample: float = 0.0, seed: int = 1,
               key: str = "doc_id", tokens: str = "tokens") -> DataFrame:
     """Drop out-of-vocabulary tokens and down-sample frequent ones with
-    a hash-uniform draw per (document, position, seed); order is kept."""
+    an MD5 draw per (document, position, seed); order is kept."""
     total = vocab.agg(F.sum("n").alias("total"))
     v = vocab.crossJoin(total).select("word", keep_probability(F.col("n"), F.col("total"), sample).alias("keep"))
     t = docs.select(key, F.posexplode(tokens).alias("pos", "word")).join(v, "word")
-    u = F.pmod(F.xxhash64(key, "pos", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
-    t = t.where(u < F.col("keep"))
+    t = t.where(uniform(F.col(key), F.col("pos"), seed) < F.col("keep"))
     return t.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", "word"))).alias("s")) \
             .select(key, F.transform("s", lambda x: x["word"]).alias(tokens))
 

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lodestar.operators import graph as G
+from lodestar.plans.iterate import materialize
 from lodestar.plans.registry import query
 from lodestar.sources import standins as S
 from lodestar.sources.tables import Tables
@@ -84,11 +85,12 @@ SELECT count(*) FILTER (WHERE src = dst) AS n_loops,
        (SELECT count(*) FROM (SELECT DISTINCT src, dst FROM t WHERE src <> dst)) AS n_distinct
 FROM t""")
 def trade_loops(spark, d):
-    t = S.trade_edges(Tables(spark, d))
-    a = G.loop_count(t)
-    b = t.agg(F.count(F.when(F.col("src") != F.col("dst"), 1)).alias("n_other"))
-    c = G.drop_loops(t).distinct().agg(F.count(F.lit(1)).alias("n_distinct"))
-    return a.crossJoin(b).crossJoin(c)  # one-row aggregates
+    # one count per pair serves all three numbers
+    pairs = S.trade_edges(Tables(spark, d)).groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
+    loop = F.col("src") == F.col("dst")
+    return pairs.agg(F.coalesce(F.sum(F.when(loop, F.col("n"))), F.lit(0)).alias("n_loops"),
+                     F.coalesce(F.sum(F.when(~loop, F.col("n"))), F.lit(0)).alias("n_other"),
+                     F.count(F.when(~loop, 1)).alias("n_distinct"))
 
 
 @query("trade_has_edge", f"""
@@ -239,3 +241,72 @@ def seed_coverage(spark, d):
              .groupBy("n_regionkey").agg(F.min(F.concat(F.lit("c"), F.col("c_custkey").cast("string"))).alias("id"))
              .select("id"))
     return G.seed_coverage(edges, m, seeds, steps=15)
+
+
+# ---- the part-supplier graph and a graph with cycles
+
+PS_LANDMARKS_SQL = "SELECT min(src) AS id FROM s UNION SELECT max(src) FROM s UNION SELECT min(dst) FROM s WHERE src LIKE 's%'"
+
+
+def _ps_landmarks(s):
+    one = s.agg(F.min("src").alias("a"), F.max("src").alias("b"),
+                F.min(F.when(F.col("src").startswith("s"), F.col("dst"))).alias("c"))
+    return one.select(F.explode(F.array("a", "b", "c")).alias("id")).distinct()
+
+
+@query("components_part_supplier", f"""
+WITH RECURSIVE {SIMPLE_PS},
+cc(id, comp) USING KEY (id) AS (
+  SELECT src, src FROM (SELECT DISTINCT src FROM s)
+  UNION
+  (SELECT s.dst, min(cc.comp) FROM cc JOIN s ON s.src = cc.id
+   JOIN recurring.cc r ON r.id = s.dst
+   WHERE cc.comp < r.comp GROUP BY s.dst))
+SELECT id, comp AS component FROM cc""")
+def components_part_supplier(spark, d):
+    return G.connected_components(_ps(spark, d))
+
+
+PS_DIST_SQL = f"""
+WITH RECURSIVE {SIMPLE_PS}, lm AS ({PS_LANDMARKS_SQL}),
+d(id, landmark, dist) USING KEY (id, landmark) AS (
+  SELECT id, id, 0 FROM lm
+  UNION
+  (SELECT s.src, d.landmark, min(d.dist + 1) FROM d JOIN s ON s.dst = d.id
+   LEFT JOIN recurring.d r ON r.id = s.src AND r.landmark = d.landmark
+   WHERE r.id IS NULL OR d.dist + 1 < r.dist GROUP BY s.src, d.landmark))"""
+
+
+@query("shortest_paths_part_supplier", PS_DIST_SQL + " SELECT id, landmark, dist FROM d")
+def shortest_paths_part_supplier(spark, d):
+    s = materialize(G.simple(_ps(spark, d)))
+    return G.shortest_paths(s, _ps_landmarks(s))
+
+
+@query("closeness_landmarks", PS_DIST_SQL + """
+SELECT landmark AS id, round(CASE WHEN sum(dist) = 0 THEN NULL ELSE 1.0 / sum(dist) END, 9) AS closeness FROM d GROUP BY landmark""")
+def closeness_landmarks(spark, d):
+    """G8 for a table of landmarks: state of vertices x landmarks."""
+    s = materialize(G.simple(_ps(spark, d)))
+    return G.closeness(s, _ps_landmarks(s)).select("id", F.round("closeness", 9).alias("closeness"))
+
+
+@query("articulation_cyclic", f"""
+WITH RECURSIVE e AS ({TRADE_GEO_SQL}),
+s AS (SELECT src, dst FROM e UNION SELECT dst, src FROM e),
+v AS (SELECT DISTINCT src AS id FROM s),
+hubs AS (SELECT src AS rm FROM s GROUP BY src HAVING count(*) > 1),
+cc(rm, id, comp) USING KEY (rm, id) AS (
+  SELECT rm, id, id FROM hubs, v WHERE rm <> id
+  UNION
+  (SELECT cc.rm, s.dst, min(cc.comp) FROM cc JOIN s ON s.src = cc.id
+   JOIN recurring.cc r ON r.rm = cc.rm AND r.id = s.dst
+   WHERE cc.comp < r.comp GROUP BY cc.rm, s.dst)),
+cut AS (SELECT cc.rm FROM cc JOIN s ON s.src = cc.rm AND s.dst = cc.id GROUP BY cc.rm HAVING count(DISTINCT comp) > 1)
+SELECT id, CASE WHEN id IN (SELECT rm FROM cut) THEN 1 ELSE 0 END AS articulation FROM v""")
+def articulation_cyclic(spark, d):
+    """G9 on the geography forest joined by nation trade links (cycles); the
+    oracle removes every vertex and labels the rest."""
+    t = Tables(spark, d)
+    edges = S.geo_forest_edges(t).unionByName(G.drop_loops(S.trade_edges(t))).distinct()
+    return G.articulation_points(materialize(edges))

@@ -224,6 +224,18 @@ def q_subsample(spark, d):
     return s.select("doc_id", F.concat_ws(" ", "tokens").alias("text"), F.size("tokens").cast("long").alias("n_tokens"))
 
 
+@query("subsample_draw", f"""WITH {VOCAB_SQL},
+tot AS (SELECT sum(n) AS total FROM vocab),
+k AS (SELECT word, least(1.0, (sqrt(n / ({SAMPLE} * total)) + 1) * ({SAMPLE} * total / n)) AS keep FROM vocab, tot),
+p AS (SELECT doc_id, unnest(tokens) AS word, unnest(generate_series(0, len(tokens) - 1)) AS pos FROM docs)
+SELECT doc_id, string_agg(p.word, ' ' ORDER BY pos) AS text, count(*) AS n_tokens FROM p JOIN k ON k.word = p.word
+WHERE ('0x' || substr(md5(doc_id || ':' || pos || ':1'), 1, 8))::BIGINT / 4294967296.0 < keep GROUP BY doc_id""")
+def q_subsample_draw(spark, d):
+    """B10 with the default rate: frequent words are thinned out."""
+    s = X.subsample(_docs(spark, d), _vocab(spark, d), sample=SAMPLE, seed=1)
+    return s.select("doc_id", F.concat_ws(" ", "tokens").alias("text"), F.size("tokens").cast("long").alias("n_tokens"))
+
+
 @query("noise_distribution", f"""WITH {VOCAB_SQL},
 z AS (SELECT sum(pow(n, 0.75)) AS z FROM vocab),
 p AS (SELECT idx, word, pow(n, 0.75) / z AS prob FROM vocab, z)
