@@ -3,35 +3,61 @@
 from __future__ import annotations
 
 import uuid
+from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestar.llm import decontaminate, host_rules, jaccard, packing, pii
-from lodestar.llm.common import table
+from lodestar.llm.common import drop_state, release, table, tracked
 from lodestar.llm.queries import tokenizer_json
 from lodestar.session import checkpoint_dir
 
 
+_left: list[str] = []
+
+
+def stage(fn):
+    """A stage keeps what its result is read from until the next one begins:
+    by then the result has been written, and the states are deleted."""
+
+    @wraps(fn)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        drop_state(spark, *_left)
+        _left.clear()
+        release(spark)
+        with tracked() as paths:
+            out = fn(spark, docs, sf_dir)
+        _left.extend(paths)
+        return out
+
+    return run_stage
+
+
+@stage
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that neither their own rules nor their host rejects."""
     return host_rules.keep(docs)
 
 
+@stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by five-word shingles at 0.8."""
     return jaccard.drop_copies(docs, k=5, percent=80)
 
 
+@stage
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window similar to a benchmark item."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"), percent=80)
 
 
+@stage
 def redact_pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Found personal data replaced by ``<kind>``."""
     return pii.redact(docs)
 
 
+@stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of the documents in sequences of 2048."""
     return packing.pack_documents(docs, tokenizer_json(), max_len=2048)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -12,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lodestar.session import checkpoint_dir
 
 _STATE = "llm-state"
+_tracked: list[list[str]] = []
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,9 +28,29 @@ def write_state(df: DataFrame) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/{_STATE}/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    for paths in _tracked:
+        paths.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+@contextmanager
+def tracked() -> Iterator[list[str]]:
+    """The paths of all states written inside the block."""
+    paths: list[str] = []
+    _tracked.append(paths)
+    try:
+        yield paths
+    finally:
+        _tracked.remove(paths)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are written:
+    its cleaner does so when the driver's objects for them are collected."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_state(spark: SparkSession, *paths: str) -> None:
     """Delete states that no later step reads."""
     jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()

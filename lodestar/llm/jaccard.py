@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm.common import (
-    WordHashes, drop_state, mix, shingle_hashes, text_bytes, write_state,
+    WordHashes, drop_state, mix, release, shingle_hashes, text_bytes, write_state,
 )
 
 BLOCK = 1 << 20  # shingles searched by one task
@@ -491,8 +491,11 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     members, _ = write_state(document_sets(docs, k, id_col, text_col).distinct())
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // (2 * block)), min(64, -(-total // 50_000)))
-    clusters = components(part_links(docs, k, percent, text_col, buckets), temp).toDF("set", "cluster")
+    pairs = put(part_links(docs, k, percent, text_col, buckets))
+    release(spark)  # the parts are the largest shuffle
+    clusters = components(pairs, temp).toDF("set", "cluster")
     cand = put(_with_tokens(docs, clusters, k, text_col))
+    release(spark)
 
     def weighed(rows: DataFrame) -> DataFrame:
         w = rows.groupBy("cluster").agg(F.sum("n").alias("w"))
@@ -500,7 +503,9 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
 
     sized = weighed(cand.select("set", "n", "cluster"))
     big = put(sized.where(F.col("w") > block).select("set"))
-    finer = components(_refine(cand.join(big, "set", "left_semi").select("set", "n", "tokens"), percent, put), temp)
+    closer = put(_refine(cand.join(big, "set", "left_semi").select("set", "n", "tokens"), percent, put))
+    release(spark)
+    finer = components(closer, temp)
     finer = finer.toDF("set", "finer")
     # a set of a big cluster that the prefix rule leaves alone links with nothing
     placed = cand.select("set", "n", "cluster").join(big, "set", "left_anti").unionByName(
@@ -515,6 +520,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     placed = put(placed.select("set", "cluster", (blocks > 1).alias("cut"), task.alias("task")))
     rows = cand.select("set", "tokens").join(placed, "set")
     links = put(_search(rows.select("task", "set", F.lit(True).alias("indexed"), F.col("set").alias("known"), "tokens"), percent))
+    release(spark)
     # second pass: what is outside a cut cluster's largest component searches the cluster's other blocks
     cut = placed.where("cut")
     if not cut.isEmpty():
@@ -537,6 +543,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
         F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")))
     drop_state(spark, *temp)
+    release(spark)
     return out
 
 
