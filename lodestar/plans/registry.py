@@ -26,7 +26,7 @@ def query(name: str, sql: str | None = None):
     return deco
 
 
-MODULES = ["lodestar.plans.q_graph", "lodestar.plans.q_text", "lodestar.plans.q_vectors", "lodestar.plans.q_kernel", "lodestar.plans.q_recsys", "lodestar.plans.q_ads", "lodestar.plans.q_community", "lodestar.plans.q_walks", "lodestar.streaming.opinion"]
+MODULES = ["lodestar.plans.q_graph", "lodestar.plans.q_text", "lodestar.plans.q_vectors", "lodestar.plans.q_kernel", "lodestar.plans.q_recsys", "lodestar.plans.q_ads", "lodestar.plans.q_community", "lodestar.plans.q_walks", "lodestar.plans.q_files", "lodestar.streaming.opinion"]
 
 
 def load_all() -> None:
