@@ -44,6 +44,7 @@ from lodestar.llm.common import mix, text_bytes, write_state
 GRAM = 50
 STRETCH = 1 << 22       # bytes of a text hashed at once
 FILTER_BITS = 1 << 27   # at most, of the anchor filter: 16 MB
+BUCKET_CHARS = 1 << 23  # characters of the input per bucket of anchors
 SORT_BYTES = 1 << 16    # bytes sorted as one collection
 _ROOT = np.uint64(0x9E3779B97F4A7C15)
 
@@ -448,11 +449,11 @@ def remove_repeats(docs: DataFrame, length: int = 200, id_col: str = "doc_id", t
     remaining bytes, ``n_spans`` the maximal removed runs."""
     if not GRAM < length < 1 << 15:
         raise ValueError(f"length must be over {GRAM} and below 32768")
-    spark = docs.sparkSession
     src = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     # two hashes name a row by its content; equal rows have equal repeats
     src = src.withColumn("k1", F.xxhash64("id", "text")).withColumn("k2", F.xxhash64("text", F.lit(1), "id"))
-    n = buckets or max(64, 2 * int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    total = 0 if buckets else src.agg(F.sum(F.length("text"))).first()[0] or 0
+    n = buckets or max(64, -(-total // BUCKET_CHARS))
     known = anchor_filter(src.select("text"), length, n)
     runs = repeated_runs(src.select("k1", "k2", "text"), length, n, known)
     runs = runs.distinct().groupBy("k1", "k2").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("runs"))
