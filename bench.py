@@ -18,7 +18,8 @@ HEADLINE = [
     "most_similar", "mean_vector", "kernel_regress", "ridge_closed_form",
     "canonical_plays", "user_totals", "top_x_per_user", "overlap_at_x", "als_overlap",
     "candidate_bids", "rank_bids_greedy", "sentiment_windows", "polarity_counts",
-    "modularity", "attribute_affinity",
+    "modularity", "attribute_affinity", "gaussian_nb_dense", "rank_bids_balance", "trade_loops",
+    "components_part_supplier", "shortest_paths_part_supplier", "closeness_landmarks", "articulation_cyclic",
 ]
 
 
