@@ -40,7 +40,22 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
-@query()
+@query(r"""
+WITH RECURSIVE d AS (SELECT doc_id, """ + _WORDS.format(
+    t="translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')") + r""" AS ws FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(CASE WHEN len(ws) < 3 THEN ws ELSE ws[i:i + 2] END, ' ') AS sh
+    FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 1, 2))) AS i FROM d WHERE len(ws) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY 1, 2),
+l AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 90 * (a.n + b.n - c)),
+e AS (SELECT x, y FROM l UNION SELECT y, x FROM l),
+cc(id, comp) USING KEY (id) AS (
+    SELECT doc_id, doc_id FROM d
+    UNION
+    (SELECT e.y, min(cc.comp) FROM cc JOIN e ON e.x = cc.id JOIN recurring.cc r ON r.id = e.y
+     WHERE cc.comp < r.comp GROUP BY e.y))
+SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, comp AS component_id
+FROM d JOIN cc ON cc.id = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id""")
 def op3_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(table(spark, sf_dir, "documents"), k=3, percent=90)
 
