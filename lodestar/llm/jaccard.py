@@ -31,6 +31,7 @@ component unless all its members are null. Other columns are not read.
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -63,13 +64,26 @@ def linked(inter: int, n: int, m: int, percent: int) -> bool:
 
 # ------------------------------------------------------------ candidates
 
+SKETCH_BITS = 22  # counters of the frequency sketch: a fixed 2**22
+CHUNKS = 64
+_SKETCH_SHIFT = np.uint64(64 - SKETCH_BITS)
+
+
+def heavy_counters(counts: np.ndarray) -> np.ndarray:
+    """Counters well above the even share of all shingles: ten deviations. Any
+    choice gives the same links; it only keeps common passages from joining
+    clusters."""
+    even = counts.mean()
+    return counts > even + 10 * np.sqrt(even) + 16
+
+
 class SizeClasses:
     """Class k holds the sizes lo[k]..hi[k] with hi = floor(lo / t). A set of
     class k emits the parts of classes k and k + 1, so sets that may link meet
     in the larger one's class."""
 
-    def __init__(self, percent: int):
-        self.percent = percent
+    def __init__(self, percent: int, heavy: np.ndarray | None = None):
+        self.percent, self.heavy = percent, heavy
         self.lo, self.hi = [1], [max(1, 100 // percent)]
 
     def of(self, n: int) -> int:
@@ -91,14 +105,17 @@ class SizeClasses:
     def signatures(self, tokens: np.ndarray) -> np.ndarray:
         """Hashes of what linked sets share: a part's content or, below 85
         percent (where parts are small), a part cut in three of which two are
-        taken, each pair in turn. An empty content says nothing, so it is left
-        out unless more than ``spare`` parts have one; then linked sets might
-        agree in empty contents only, and those are emitted too."""
+        taken, each pair in turn. An empty content says nothing, and one of
+        frequent shingles only (``heavy``) says that two texts share a common
+        passage. Such a content is left out unless more than ``spare`` parts
+        have one; then linked sets might agree in these only, and all are
+        emitted. Equal contents are left out on both sides or on neither."""
         if not len(tokens):
             return tokens
         out = []
         k0 = self.of(len(tokens))
         mixed = mix(tokens)
+        light = np.ones(len(tokens), bool) if self.heavy is None else ~self.heavy[(tokens >> _SKETCH_SHIFT).astype(np.int64)]
         cut = 1 if self.percent >= 85 else 3
         for k in (k0, k0 + 1):
             parts, spare = self.parts(k)
@@ -108,10 +125,10 @@ class SizeClasses:
             content = np.zeros(parts * cut, np.uint64)
             content[found] = mix(np.add.reduceat(tokens[order], first))
             full = np.zeros(parts * cut, bool)
-            full[found] = True
+            full[cell[light]] = True
             tag = (np.arange(parts * cut, dtype=np.uint64) + np.uint64(k << 40)) * np.uint64(0x9E3779B97F4A7C15)
             if cut == 1:
-                weak = parts - len(found)
+                weak = parts - int(full.sum())
                 sig = mix(content + tag)
             else:
                 c, f = content.reshape(parts, 3), full.reshape(parts, 3)
@@ -206,7 +223,7 @@ def search_block(ids: np.ndarray, sets: list[np.ndarray], index: np.ndarray, kno
     search = Search([sets[i] for i in own], percent)
     forest = Forest(known)
     out = []
-    for q in (range(len(ids)) if len(own) < len(ids) else own.tolist()):
+    for q in (np.flatnonzero(~index) if len(own) < len(ids) else own).tolist():
         skip = forest.label[own] == forest.label[q]
         if skip.all():
             continue
@@ -267,26 +284,66 @@ def components(edges: DataFrame, paths: list[str]) -> DataFrame:
 # ------------------------------------------------------------ join
 
 def document_sets(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
-    """``(id, n, set)`` per row; set is null where there is no shingle."""
+    """``(id, n, set, chunk, counts)``: a row per document (set is null where
+    there is no shingle) and, per task, the frequency sketch of its distinct
+    sets in ``CHUNKS`` packed rows (chunk not null)."""
     src = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
-    schema = T.StructType([T.StructField("id", src.schema["id"].dataType), T.StructField("n", T.LongType()),
-                           T.StructField("set", T.LongType())])
+    id_type = src.schema["id"].dataType
+    schema = T.StructType([T.StructField("id", id_type), T.StructField("n", T.LongType()),
+                           T.StructField("set", T.LongType()), T.StructField("chunk", T.IntegerType()),
+                           T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
+        words, seen = WordHashes(), set()
+        sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
+        held, size, of_ids = [], 0, None
         for b in batches:
+            of_ids = b.column("id").type
             n, sid = [], []
             for t in text_bytes(b, "text"):
                 s = shingle_set(t, k, words)
                 n.append(len(s))
                 sid.append(set_id(s) if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64())],
-                                             names=["id", "n", "set"])
+                if len(s) and sid[-1] not in seen:
+                    if len(seen) >= 1_000_000:
+                        seen.clear()
+                    seen.add(sid[-1])
+                    held.append((s >> _SKETCH_SHIFT).astype(np.int64))
+                    size += len(s)
+                    if size > 2_000_000:
+                        sketch += np.bincount(np.concatenate(held), minlength=len(sketch)).astype(np.uint32)
+                        held, size = [], 0
+            yield pa.RecordBatch.from_arrays(
+                [b.column("id"), pa.array(n, pa.int64()), pa.array(sid, pa.int64()),
+                 pa.nulls(len(n), pa.int32()), pa.nulls(len(n), pa.binary())], names=schema.names)
+        if held:
+            sketch += np.bincount(np.concatenate(held), minlength=len(sketch)).astype(np.uint32)
+        if of_ids is not None:
+            yield pa.RecordBatch.from_arrays(
+                [pa.nulls(CHUNKS, of_ids), pa.nulls(CHUNKS, pa.int64()), pa.nulls(CHUNKS, pa.int64()),
+                 pa.array(range(CHUNKS), pa.int32()),
+                 pa.array([zlib.compress(x.tobytes(), 1) for x in np.split(sketch, CHUNKS)], pa.binary())], names=schema.names)
 
     return src.mapInArrow(run, schema)
 
 
-def part_links(docs: DataFrame, k: int, percent: int, text_col: str, buckets: int) -> DataFrame:
+def frequency_sketch(rows: DataFrame) -> np.ndarray:
+    """The counters of all tasks, summed chunk by chunk: 2**22 numbers."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros((1 << SKETCH_BITS) // CHUNKS, np.int64)
+        for x in table.column("counts").to_pylist():
+            total += np.frombuffer(zlib.decompress(x), np.uint32)
+        return pa.table({"chunk": table.column("chunk").slice(0, 1), "counts": pa.array([total.tobytes()], pa.binary())})
+
+    out = np.zeros((CHUNKS, (1 << SKETCH_BITS) // CHUNKS), np.int64)
+    got = rows.where("chunk IS NOT NULL").select("chunk", "counts").groupBy("chunk").applyInArrow(add, "chunk int, counts binary")
+    for chunk, counts in got.collect():
+        out[chunk] = np.frombuffer(counts, np.int64)
+    return out.ravel()
+
+
+def part_links(docs: DataFrame, k: int, percent: int, text_col: str, buckets: int, heavy: np.ndarray) -> DataFrame:
     """``(a, b)``: a spanning star for every group of sets that share a part.
 
     A map batch joins its own groups first, so a group of any size sends one
@@ -295,6 +352,7 @@ def part_links(docs: DataFrame, k: int, percent: int, text_col: str, buckets: in
     what the cut part hashes confuse are only more candidates.
     """
     src = docs.select(F.col(text_col).cast("string").alias("text"))
+    bc = docs.sparkSession.sparkContext.broadcast(np.packbits(heavy))
     blob = T.StructType([T.StructField("bucket", T.IntegerType()), T.StructField("part", T.BinaryType()),
                          T.StructField("place", T.BinaryType()), T.StructField("sets", T.BinaryType())])
 
@@ -328,7 +386,7 @@ def part_links(docs: DataFrame, k: int, percent: int, text_col: str, buckets: in
                                          names=blob.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, classes = WordHashes(), SizeClasses(percent)
+        words, classes = WordHashes(), SizeClasses(percent, np.unpackbits(bc.value).astype(bool))
         seen: set[int] = set()
         sig, ids, size = [], [], 0
         for b in batches:
@@ -488,10 +546,12 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         temp.append(path)
         return out
 
-    members, _ = write_state(document_sets(docs, k, id_col, text_col).distinct())
+    rows = put(document_sets(docs, k, id_col, text_col))
+    members, _ = write_state(rows.where("chunk IS NULL").select("id", "n", "set").distinct())
+    heavy = heavy_counters(frequency_sketch(rows))
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // (2 * block)), min(64, -(-total // 50_000)))
-    pairs = put(part_links(docs, k, percent, text_col, buckets))
+    pairs = put(part_links(docs, k, percent, text_col, buckets, heavy))
     release(spark)  # the parts are the largest shuffle
     clusters = components(pairs, temp).toDF("set", "cluster")
     cand = put(_with_tokens(docs, clusters, k, text_col))
