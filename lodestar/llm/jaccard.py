@@ -45,6 +45,8 @@ from lodestar.llm.common import (
 )
 
 BLOCK = 1 << 20  # shingles searched by one task
+FLUSH = 1_000_000  # entries a task holds before it sends them
+WORDS = 200_000    # word hashes a task remembers
 
 
 # ------------------------------------------------------------ sets
@@ -294,7 +296,7 @@ def document_sets(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFr
                            T.StructField("counts", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen = WordHashes(), set()
+        words, seen = WordHashes(WORDS), set()
         sketch = np.zeros(1 << SKETCH_BITS, np.uint32)
         held, size, of_ids = [], 0, None
         for b in batches:
@@ -310,7 +312,7 @@ def document_sets(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFr
                     seen.add(sid[-1])
                     held.append((s >> _SKETCH_SHIFT).astype(np.int64))
                     size += len(s)
-                    if size > 2_000_000:
+                    if size > FLUSH:
                         sketch += np.bincount(np.concatenate(held), minlength=len(sketch)).astype(np.uint32)
                         held, size = [], 0
             yield pa.RecordBatch.from_arrays(
@@ -386,7 +388,7 @@ def part_links(docs: DataFrame, k: int, percent: int, text_col: str, buckets: in
                                          names=blob.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, classes = WordHashes(), SizeClasses(percent, np.unpackbits(bc.value).astype(bool))
+        words, classes = WordHashes(WORDS), SizeClasses(percent, np.unpackbits(bc.value).astype(bool))
         seen: set[int] = set()
         sig, ids, size = [], [], 0
         for b in batches:
@@ -400,7 +402,7 @@ def part_links(docs: DataFrame, k: int, percent: int, text_col: str, buckets: in
                 sig.append(classes.signatures(s))
                 ids.append(sid)
                 size += len(sig[-1])
-                if size >= 2_000_000 or len(sig) == 65_535:
+                if size >= FLUSH or len(sig) == 65_535:
                     yield from flush(sig, ids)
                     sig, ids, size = [], [], 0
         if sig:
@@ -486,7 +488,7 @@ def _with_tokens(docs: DataFrame, clusters: DataFrame, k: int, text_col: str) ->
                            T.StructField("tokens", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, seen, bloom = WordHashes(), set(), bc.value
+        words, seen, bloom = WordHashes(WORDS), set(), bc.value
         for b in batches:
             ids, tokens, size = [], [], 0
             for t in text_bytes(b, "text"):
