@@ -422,3 +422,36 @@ def test_pipeline_stages(spark):
         assert got == sorted(state)
     rows = corpus_pipeline.STAGES[4][1](spark, out, sf).collect()
     assert {r.doc_id for r in rows} == {d for d, _ in got}
+
+
+def test_toxic_expression_of_ordinary_words(spark):
+    """Texts of both classes hold the same words; only toxic ones have two of
+    them side by side."""
+    from lodestar.llm import toxicity
+    rng = np.random.default_rng(5)
+    texts, labels = [], []
+    for i in range(1200):
+        ws = [f"w{k}" for k in rng.permutation(60)[:30]]
+        cut = 4 + int(rng.integers(10))
+        bad = i % 2
+        ws = [*ws[:cut], "silver", *([] if bad else ws[cut:cut + 6]), "lantern", *ws[cut + (0 if bad else 6):]]
+        texts.append(" ".join(ws))
+        labels.append((i, bad))
+    docs = frame(spark, texts)
+    y = spark.createDataFrame(labels, "doc_id long, toxic int")
+    rows = toxicity.toxicity(docs, y).where("held_out").select("doc_id", "predicted").collect()
+    assert np.mean([r["predicted"] == r["doc_id"] % 2 for r in rows]) > 0.9
+
+
+def test_shared_spelling_covers_the_corpus(spark):
+    """The shared orders hold every five-byte run of every word and are
+    probabilities: over one context they sum to at most one."""
+    from lodestar.llm import toxicity
+    texts = [" ".join(f"{i:05d}{j}" for j in range(10)) for i in range(3000)]
+    words = toxicity.distinct_words(frame(spark, texts), "text")
+    p = toxicity.shared_model(toxicity.shared_grams(words)).toArrow()
+    key, p = p.column("key").to_numpy(), p.column("p").to_numpy()
+    expect = np.unique(toxicity.spelled(sorted({w.encode() for t in texts for w in t.split()}))[0])
+    assert sorted(key.tolist()) == expect.tolist()
+    _, at = np.unique(key >> 8, return_inverse=True)
+    assert p.min() > 0 and np.bincount(at, weights=p).max() <= 1 + 1e-9
