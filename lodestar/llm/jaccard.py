@@ -19,7 +19,8 @@ at least ``percent`` / 100 and labels the connected components.
    two components leave the task.
 4. A cluster of several blocks takes a second pass: all sets outside its
    largest component so far search every block of their cluster, so links
-   across blocks are found exactly.
+   across blocks are found exactly. The asking sets are cut into blocks too; a
+   task holds one block of either side.
 
 Words are runs of anything but space and U+0009..U+000D after lower-casing
 A-Z. A text with fewer words than a shingle is one shingle; null, empty and
@@ -591,11 +592,16 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
             "set", "cluster", "task", F.coalesce("root", "set").alias("known")))
         parts = state.groupBy("cluster", "known").agg(F.count(F.lit(1)).alias("c"))
         main = parts.groupBy("cluster").agg(F.max_by("known", F.struct("c", "known")).alias("main"))
-        rest = state.join(main, "cluster").where("known <> main").select("set", "cluster", "known", F.col("task").alias("home"))
+        rest = weighed(state.join(main, "cluster").where("known <> main").join(cand.select("set", "n"), "set"))
+        # the asking sets are cut as the indexed ones are; a task is a pair of blocks
+        query = F.pmod(F.xxhash64("set", F.lit(1)), F.ceil(F.col("w") / block).cast("long"))
+        rest = put(rest.select("set", "cluster", "known", F.col("task").alias("home"), query.alias("query")))
         at = state.select("cluster", "task").distinct()
-        asks = rest.join(at, "cluster").where("task <> home").select("task", "set", F.lit(False).alias("indexed"), "known")
-        need = asks.select("task").distinct()
-        own = state.join(need, "task", "left_semi").select("task", "set", F.lit(True).alias("indexed"), "known")
+        pair = F.concat_ws("/", "task", "query").alias("task")
+        asks = rest.join(at, "cluster").where("task <> home")
+        need = asks.select("task", "query").distinct()
+        asks = asks.select(pair, "set", F.lit(False).alias("indexed"), "known")
+        own = state.join(need, "task").select(pair, "set", F.lit(True).alias("indexed"), "known")
         again = own.unionByName(asks).join(cand.select("set", "tokens"), "set")
         links = links.unionByName(put(_search(again, percent)))
     root = put(components(links, temp)).toDF("set", "root")

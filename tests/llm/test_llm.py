@@ -455,3 +455,24 @@ def test_shared_spelling_covers_the_corpus(spark):
     assert sorted(key.tolist()) == expect.tolist()
     _, at = np.unique(key >> 8, return_inverse=True)
     assert p.min() > 0 and np.bincount(at, weights=p).max() <= 1 + 1e-9
+
+
+def test_second_pass_holds_two_blocks(spark, monkeypatch):
+    """Texts of one template that do not link: nearly all of the cluster is
+    outside its largest component, and no task gets all of it."""
+    from pyspark.sql import functions as F
+    template = [f"t{i}" for i in range(60)]
+    texts = [" ".join([*template[:30], *(f"a{d}x{i}" for i in range(11)), *template[30:]]) for d in range(80)]
+    texts += [t + " end" for t in texts[:3]]
+    heaviest, block = [], 600
+    search = jaccard._search
+
+    def recorded(rows, percent):
+        heaviest.append(rows.groupBy("task").agg(F.sum(F.size("tokens")).alias("w")).agg(F.max("w")).first()[0] or 0)
+        return search(rows, percent)
+
+    monkeypatch.setattr(jaccard, "_search", recorded)
+    rows = jaccard.jaccard_components(frame(spark, texts), k=1, percent=75, block=block).collect()
+    want = components_by_hand(list(enumerate(texts)), 1, 75)
+    assert {r.doc_id: r.component_id for r in rows} == {d: c for d, (_, c) in want.items()}
+    assert len(heaviest) == 2 and max(heaviest) < 4 * block
