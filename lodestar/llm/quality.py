@@ -8,10 +8,8 @@ descent. The weights are drawn towards their mean size, as is usual for these
 vectors. A logistic map fitted on rows kept apart turns margins into scores.
 
 The model is fitted on at most about ``per_class`` training rows of either
-label, in one task whose memory that bound and ``MAX_FEATURES`` per text fix;
-a longer text gives the sample its distinct features up to that number in
-order of their buckets. Scoring takes whole texts. The broadcast model has a
-fixed size.
+label, in one task whose memory that bound and the number of buckets fix.
+The fit and scoring take whole texts. The broadcast model has a fixed size.
 
 Null, empty and blank texts have no feature and get the score of the
 intercept; repeated rows are scored each (equal texts of the sample count
@@ -34,7 +32,6 @@ from lodestar.llm.labels import fit_logistic, remainder, sample_ids, sample_text
 
 BUCKETS = 1 << 18
 GRAM = 4
-MAX_FEATURES = 20_000  # of one sampled text, in the fit only
 
 
 def features(text: bytes, words: WordHashes) -> np.ndarray:
@@ -107,7 +104,7 @@ def quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col
         words = WordHashes()
         texts = [x.as_py().encode() for x in table.column("text")]
         order = sorted(range(len(texts)), key=lambda i: texts[i])  # the same whatever the rows' order
-        rows = [features(texts[i], words)[:MAX_FEATURES] for i in order]
+        rows = [features(texts[i], words) for i in order]
         y = table.column("y").to_numpy()[order]
         apart = np.arange(len(rows)) % 4 == 3
         if len(set(y[~apart].tolist())) < 2:

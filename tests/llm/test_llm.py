@@ -476,3 +476,19 @@ def test_second_pass_holds_two_blocks(spark, monkeypatch):
     want = components_by_hand(list(enumerate(texts)), 1, 75)
     assert {r.doc_id: r.component_id for r in rows} == {d: c for d, (_, c) in want.items()}
     assert len(heaviest) == 2 and max(heaviest) < 4 * block
+
+
+def test_quality_fit_reads_long_texts_whole(spark):
+    """The classes differ only in features past the first 20,000 by bucket."""
+    from lodestar.llm.common import WordHashes
+    words = WordHashes()
+    filler = " ".join(f"{i:05d}" for i in range(30_000))
+    base = set(quality.features(filler.encode(), words).tolist())
+    cut = sorted(base)[21_000]
+    marks = (f"{a}{b}{c}" for a in "abcdefgh" for b in "ijklmnop" for c in "qrstuvwx")
+    late = [m for m in marks if min(set(quality.features(f"{filler} {m}".encode(), words).tolist()) - base, default=0) > cut]
+    docs = [(i, f"{i} {filler} {late[i % 2]}") for i in range(48)]
+    docs, labels = (spark.createDataFrame(docs, "doc_id long, text string"),
+                    spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, quality int"))
+    rows = quality.quality(docs, labels).where("held_out").collect()
+    assert rows and all(r.predicted == r.doc_id % 2 for r in rows)
