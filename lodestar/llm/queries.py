@@ -7,10 +7,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestar.llm import chat, decontaminate, host_rules, jaccard, packing, pii, quality, substrings, toxicity, url_rules
+from lodestar.llm import (
+    alignment, chat, decontaminate, fingerprint, host_rules, jaccard, packing, pii, quality, reverse_search, substrings,
+    toxicity, url_rules,
+)
 from lodestar.llm.common import table
 
 TOKENIZER = "word_bpe_49k.json"
+SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -171,3 +175,60 @@ def tokenizer_json() -> str:
 @query()
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_json())
+
+
+@query()
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    with open(public_tokenizers.path(SIDE_B), "rb") as f:
+        model = f.read()
+    return alignment.align_tokens(table(spark, sf_dir, "documents"),
+                                  packing.read_tokenizer(public_tokenizers.path(SIDE_A)), model)
+
+
+@query(r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+nx AS (SELECT doc_id, t, length(t) AS n, coalesce(lead(t) OVER w, first_value(t) OVER w) AS t2 FROM d
+    WINDOW w AS (ORDER BY doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)),
+e AS (SELECT doc_id, n, t, t2, substr(t, 1, n - n // 4) || substr(t2, 1, n // 4) AS t3 FROM nx),
+txt AS (SELECT row_number() OVER () AS k, s, octet_length(encode(s)) AS nb, hex(encode(s)) AS h
+    FROM (SELECT DISTINCT s FROM (SELECT t AS s FROM e UNION ALL SELECT t3 FROM e))),
+bt AS (SELECT k, [(strpos('0123456789ABCDEF', x[1]) - 1) * 16 + strpos('0123456789ABCDEF', x[2]) - 1 FOR x IN regexp_extract_all(h, '..')] AS l FROM txt),
+win AS (SELECT k, unnest(l) AS a, unnest(l[2:]) AS b, unnest(l[3:]) AS c, unnest(l[4:]) AS d, unnest(l[5:]) AS e FROM bt),
+tri AS (SELECT k, unnest([c + 256 * b + 65536 * a, d + 256 * c + 65536 * a + 16777216, d + 256 * b + 65536 * a + 33554432,
+    e + 256 * d + 65536 * a + 50331648, e + 256 * c + 65536 * a + 67108864, e + 256 * b + 65536 * a + 83886080]) AS v FROM win),
+hit AS (SELECT k, (((v::BIGINT * 2654435761) % 4294967296) >> 22)::INT AS bucket, count(*) AS c FROM tri WHERE v IS NOT NULL GROUP BY 1, 2),
+cnt AS (SELECT k, nb, bucket, coalesce(c, 0) AS c
+    FROM (SELECT k, nb, unnest(range(0, 1024))::INT AS bucket FROM txt) LEFT JOIN hit USING (k, bucket)),
+q AS (SELECT k, list_sort(list(c)) AS l FROM cnt GROUP BY 1),
+code AS (SELECT k, nb, bucket, (c > l[256])::INT + (c > l[512])::INT + (c > l[768])::INT AS v FROM cnt JOIN q USING (k)),
+four AS (SELECT k, any_value(nb) AS nb, bucket // 4 AS g, list(v ORDER BY bucket) AS vs, format('{:02x}', sum(v << (6 - 2 * (bucket % 4)))::INT) AS x
+    FROM code GROUP BY k, bucket // 4),
+fp AS (SELECT s, len, cs, format('{:02x}', len) || hx AS f FROM (SELECT k, any_value(least(255, floor(8 * log2(nb + 1.0))::INT)) AS len,
+    flatten(list(vs ORDER BY g)) AS cs, string_agg(x, '' ORDER BY g) AS hx FROM four GROUP BY 1) JOIN txt USING (k))
+SELECT doc_id, n AS n_chars, sha256(t3) AS edited_sha256, a.f AS fingerprint, b.f AS edited_fingerprint,
+    1.0::DOUBLE - (list_sum([abs(z[1] - z[2]) FOR z IN list_zip(a.cs, b.cs)]) + least(24, abs(a.len - b.len)) * 32)::DOUBLE / 3840::DOUBLE AS near_edited,
+    1.0::DOUBLE - (list_sum([abs(z[1] - z[2]) FOR z IN list_zip(a.cs, c.cs)]) + least(24, abs(a.len - c.len)) * 32)::DOUBLE / 3840::DOUBLE AS near_next
+FROM e JOIN fp a ON a.s = t JOIN fp b ON b.s = t3 JOIN fp c ON c.s = t2""")
+def op12_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.edited_neighbours(table(spark, sf_dir, "documents"))
+
+
+_TERMS = (r"regexp_extract_all(translate({t}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          r"'[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')")
+
+
+@query(r"""
+WITH t AS (SELECT doc_id, unnest(""" + _TERMS.format(t="text") + r""") AS term FROM documents),
+tf AS (SELECT doc_id, term, count(*) AS tf FROM t GROUP BY 1, 2),
+n AS (SELECT doc_id, sum(tf)::BIGINT AS n FROM tf GROUP BY 1),
+c AS (SELECT count(*)::BIGINT AS nn, sum(n)::BIGINT AS ll FROM n),
+df AS (SELECT term, floor(1000 * ln((2 * nn + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM tf, c GROUP BY term, nn),
+m AS (SELECT doc_id, 75 + (25 * n * nn) // ll AS m FROM n, c),
+i AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest(""" + _TERMS.format(t="text") + r""") AS term FROM benchmark) GROUP BY 1, 2),
+s AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m)))::BIGINT AS score
+    FROM i JOIN tf USING (term) JOIN df USING (term) JOIN m USING (doc_id) GROUP BY 1, 2)
+SELECT item_id, rank, doc_id, score FROM (
+    SELECT *, (row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id))::INT AS rank FROM s WHERE score > 0) WHERE rank <= 20""")
+def op13_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reverse_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
