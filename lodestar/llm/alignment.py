@@ -43,7 +43,9 @@ import heapq
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -59,7 +61,7 @@ CELLS = 256
 BLOCK = 1 << 20  # link records sorted at once
 BLOCK_DOCS = 60_000
 PART_BYTES = 16 << 20  # runs that meet in one task
-CACHE = 150_000  # units kept by a worker, of at most UNIT characters
+CACHE = 400_000  # units kept by a worker (some 400 bytes each), of at most UNIT characters
 UNIT = 64
 
 _CUT = re.compile(r"(?<=\S) (?=\S)")
@@ -127,6 +129,9 @@ class Pieces:
     def encode(self, text: str) -> list[int]:
         return self.sp.encode(text)
 
+    def encode_all(self, texts: list[str]) -> list[list[int]]:
+        return self.sp.encode(texts, num_threads=1)
+
 
 def align(a: list[int], b: list[int], a_bytes: list[bytes], b_bytes: list[bytes]) -> tuple[str, list[int]]:
     """The groups' text and the links (B id << 32 | A id) of two encodings of
@@ -167,42 +172,69 @@ class Aligner:
     def __init__(self, tokenizer_json: str, model: bytes):
         self.a, self.b = ByteLevel(tokenizer_json), Pieces(model)
         self.units = self.a.units and self.b.units
-        self.young: dict[str, tuple | None] = {}
-        self.old: dict[str, tuple | None] = {}
-
-    def _whole(self, text: str) -> tuple | None:
-        """None where a side does not give the text back."""
+        self.sizes = [len(x) for x in self.a.bytes], [len(x) for x in self.b.bytes]
+        self.names = [str(i) for i in range(max(map(len, self.sizes)))]
+        self.young: dict[str, tuple] = {}
+        self.old: dict[str, tuple] = {}
+
+    def _aligned(self, spaced: bytes, a: list[int], b: list[int]) -> tuple:
+        """``NONE`` where a side does not give the bytes back."""
+        if b"".join([self.a.bytes[x] for x in a]) != spaced or b"".join([self.b.bytes[x] for x in b]) != spaced:
+            return self.NONE
+        in_a, in_b = [self.sizes[0][x] for x in a], [self.sizes[1][x] for x in b]
+        if 0 in in_a or 0 in in_b:
+            groups, links = align(a, b, self.a.bytes, self.b.bytes)
+            return len(a), len(b), groups.count(";") + 1, groups, struct.pack(f"<{len(links)}q", *links)
+        ends_a, ends_b = list(accumulate(in_a)), list(accumulate(in_b))
+        both = set(ends_a).intersection(ends_b)
+        own_a, own_b = [self.names[x] for x in a], [self.names[x] for x in b]
+        if len(both) == len(a) == len(b):  # token by token
+            groups = ";".join(map("|".join, zip(own_a, own_b)))
+            links = [y << 32 | x for x, y in zip(a, b)]
+        else:
+            to_a = [i + 1 for i, e in enumerate(ends_a) if e in both]
+            to_b = [i + 1 for i, e in enumerate(ends_b) if e in both]
+            groups = ";".join([",".join(own_a[i0:i]) + "|" + ",".join(own_b[j0:j])
+                               for i0, i, j0, j in zip([0, *to_a], to_a, [0, *to_b], to_b)])
+            links = [b[j - 1] << 32 | a[i - 1] for i, j in zip(to_a, to_b)]
+        return len(a), len(b), len(links), groups, struct.pack(f"<{len(links)}q", *links)
+
+    def _whole(self, text: str) -> tuple:
         spaced = " " + text
-        a, b = self.a.encode(spaced), self.b.encode(text)
-        want = spaced.encode()
-        if b"".join([self.a.bytes[x] for x in a]) != want or b"".join([self.b.bytes[x] for x in b]) != want:
-            return None
-        groups, links = align(a, b, self.a.bytes, self.b.bytes)
-        return len(a), len(b), groups.count(";") + 1, groups, np.array(links, "<i8").tobytes()
-
-    def _unit(self, unit: str) -> tuple | None:
-        found = self.old.get(unit, False)
-        if found is False:
-            found = self._whole(unit)
-        if len(unit) <= UNIT:
-            if len(self.young) >= CACHE // 2:  # two generations, so that frequent units stay
-                self.old, self.young = self.young, {}
-            self.young[unit] = found
-        return found
+        return self._aligned(spaced.encode(), self.a.encode(spaced), self.b.encode(text))
+
+    def _learn(self, units: set[str]) -> None:
+        """Put units into the young generation: from the old one, or encoded."""
+        new = []
+        for u in units:
+            part = self.old.get(u)
+            if part is None:
+                new.append(u)
+            else:
+                self.young[u] = part
+        if new:
+            for u, b in zip(new, self.b.encode_all(new)):
+                spaced = " " + u
+                self.young[u] = self._aligned(spaced.encode(), self.a.encode(spaced), b)
 
     def align(self, text: str | None) -> tuple:
         if not text:
             return self.NONE
         if not self.units:
-            return self._whole(text) or self.NONE
-        parts = []
-        for unit in _CUT.split(text):  # a cut takes the unit's space, which _whole puts back
-            part = self.young.get(unit, False)
-            if part is False:
-                part = self._unit(unit)
-            if part is None:
-                return self._whole(text) or self.NONE
-            parts.append(part)
+            return self._whole(text)
+        if len(self.young) >= CACHE // 2:  # two generations, so that frequent units stay
+            self.old, self.young = self.young, {}
+        units = _CUT.split(text)  # a cut takes the unit's space, which is put back
+        parts = list(map(self.young.get, units))
+        if None in parts:
+            missing = {u for u, p in zip(units, parts) if p is None}
+            self._learn(missing)
+            parts = list(map(self.young.get, units))
+            for u in missing:
+                if len(u) > UNIT:
+                    del self.young[u]
+        if self.NONE in parts:
+            return self._whole(text)
         n_a, n_b, n_groups, groups, links = zip(*parts)
         return sum(n_a), sum(n_b), sum(n_groups), ";".join(groups), b"".join(links)
 
