@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import hashlib
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from functools import wraps
 
 import numpy as np
 import pyarrow as pa
@@ -61,6 +63,28 @@ def drop_state(spark: SparkSession, *paths: str) -> None:
         p.getFileSystem(conf).delete(p, True)
 
 
+def give_back() -> None:
+    """Return memory that is free again to the system: Arrow's pool, then the
+    C library's. A Python worker is used for many tasks of different stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):
+        pass  # another C library; it keeps what it has
+
+
+def lean(run: Callable) -> Callable:
+    """A function over batches that gives its memory back when it ends."""
+    @wraps(run)
+    def wrapped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return wrapped
+
+
 def text_bytes(batch: pa.RecordBatch, col: str) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [x or b"" for x in batch.column(col).cast(pa.binary()).to_pylist()]

@@ -5,14 +5,16 @@ words has a weighted similarity of at least ``percent`` / 100 with it: the sum
 of the smaller over the sum of the larger multiplicities of their word
 shingles.
 
-Windows are looked at wherever enough of the item's shingles occur; a window
-that reaches the similarity shares that many with it, so no such window is
-passed over. Each window gets a 128-bit SimHash of its shingles. The items'
-fingerprints are indexed by sixteen blocks of eight bits: within the radius,
-some block differs in at most radius / 16 bits, so the lists of all near block
-values hold every item within the radius. What passes the full distance is
-verified exactly. At a similarity of 0.8 the expected distance is 19 of 128
-bits and the radius of 36 lies four deviations above.
+Posting lists of the items' shingles find the documents and the windows to look
+at: a window that reaches the similarity shares so many shingles with the item
+that it is among them. Each such window gets a 128-bit SimHash of its shingles,
+cut into sixteen blocks of eight bits. A block is near if it differs in at most
+two bits; within the radius of 36 at least four blocks are near, as the twelve
+others would need three bits each, so pairs with fewer are passed over without
+their distance. What passes the full distance is verified exactly. At a
+similarity of 0.8 the expected distance is 19 of 128 bits and the radius lies
+four deviations above. A pass keeps 16 bytes an item for the blocks and compares
+``PAIRS`` pairs of windows and items at a time.
 
 Words are lower-cased (A-Z) runs without ASCII punctuation. An item with fewer
 words than a shingle is one shingle of its own length. A document shorter than
@@ -31,12 +33,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import WordHashes, mix, shingle_hashes
+from lodestar.llm.common import WordHashes, lean, mix, shingle_hashes
 
 SHINGLE = 5
 RADIUS = 36
 BLOCK_BITS = 8
 BLOCKS = 128 // BLOCK_BITS
+PAIRS = 1 << 20
 ITEM_WORDS = 1_000_000  # of the items searched in one pass; more items take more passes
 
 _TO = bytes(c + 32 if 65 <= c <= 90 else 32 if c < 128 and not chr(c).isalnum() else c for c in range(256))
@@ -72,8 +75,8 @@ def similarity(a: np.ndarray, b: np.ndarray) -> tuple[int, int]:
 
 
 class Index:
-    """The items of one pass. Items of the same shingle and window length
-    share a table of blocks."""
+    """The items of one pass: their shingles' posting lists and fingerprints,
+    some 20 bytes a shingle and 16 an item."""
 
     def __init__(self, items: list[tuple[int, bytes]], percent: int, radius: int = RADIUS):
         self.percent, self.radius = percent, radius
@@ -99,14 +102,24 @@ class Index:
             order = np.argsort(tok, kind="stable")
             keys, start = np.unique(tok[order], return_index=True)
             self.postings[k] = keys, np.append(start, len(tok)), item[order]
-        self.tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        near = _ONES[np.arange(256)[:, None] ^ np.arange(256)[None, :]] <= radius // BLOCKS
-        for key in set(zip(self.k, self.size.tolist())):
-            own = np.array([i for i in range(len(self.sets)) if (self.k[i], self.size[i]) == key])
-            prints = np.concatenate([fingerprints(self.sets[i], np.array([0]), len(self.sets[i])) for i in own])
-            # lists[block, value, item]: may the item's block be near the value
-            lists = np.stack([near[:, prints[:, b]] for b in range(BLOCKS)])
-            self.tables[key] = own, prints, lists
+        self.prints = np.zeros((len(self.sets), 16), np.uint8)
+        for i, x in enumerate(self.sets):
+            self.prints[i] = fingerprints(x, np.array([0]), len(x))[0]
+
+    def within(self, got: np.ndarray, items: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(window, item) pairs within the radius, some windows at a time: by
+        blocks first, by the whole distance then."""
+        # fewer near blocks than that would leave more than the radius to the others
+        least = BLOCKS - self.radius // (self.radius // BLOCKS + 1)
+        step = max(1, PAIRS // len(items))
+        for lo in range(0, len(got), step):
+            part = got[lo: lo + step]
+            near = np.zeros((len(part), len(items)), np.uint8)
+            for b in range(BLOCKS):
+                near += _ONES[part[:, b, None] ^ self.prints[items, b]] <= self.radius // BLOCKS
+            w, j = np.nonzero(near >= least)
+            close = _ONES[part[w] ^ self.prints[items[j]]].sum(1) <= self.radius
+            yield lo + w[close], items[j[close]]
 
     def match(self, h_words: np.ndarray) -> list[tuple[int, int, int, int, int]]:
         """(item row, start word, words, inter, union) of the best window for
@@ -124,33 +137,29 @@ class Index:
             n = start[at + 1] - start[at]
             who = item[np.repeat(start[at] - np.append(0, np.cumsum(n)[:-1]), n) + np.arange(n.sum())]
             where = np.repeat(pos, n)
-            hits = np.bincount(who, minlength=len(self.sets))
+            found, back, hits = np.unique(who, return_inverse=True, return_counts=True)
             # a window that reaches the similarity shares so many shingles with the item
-            enough = np.flatnonzero((hits > 0) & (100 * hits >= self.percent * np.minimum(self.size, len(h))))
-            for key in {(k, int(self.size[i])) for i in enough}:
-                own, prints, lists = self.tables[key]
-                length = min(key[1], len(h))
-                mine = where[np.isin(who, np.intersect1d(own, enough))]
-                lo, hi = max(0, int(mine.min()) - length + 1), min(int(mine.max()), len(h) - length)
+            enough = 100 * hits >= self.percent * np.minimum(self.size[found], len(h))
+            for length in np.unique(self.size[found[enough]]).tolist():
+                mine = enough & (self.size[found] == length)
+                items, places = found[mine], where[mine[back]]
+                length = min(length, len(h))
+                lo, hi = max(0, int(places.min()) - length + 1), min(int(places.max()), len(h) - length)
                 near = np.zeros(hi - lo + 2, np.int64)  # only windows with a hit
-                np.add.at(near, np.maximum(mine - length + 1, lo) - lo, 1)
-                np.add.at(near, np.minimum(mine, hi) - lo + 1, -1)
+                np.add.at(near, np.maximum(places - length + 1, lo) - lo, 1)
+                np.add.at(near, np.minimum(places, hi) - lo + 1, -1)
                 starts = lo + np.flatnonzero(np.cumsum(near)[:-1] > 0)
                 if not len(starts):
                     continue
                 got = np.concatenate([fingerprints(h, run, length) for run in
                                       np.split(starts, np.flatnonzero(np.diff(starts) > length) + 1)])
-                cand = lists[0][got[:, 0]]
-                for b in range(1, BLOCKS):
-                    cand = cand | lists[b][got[:, b]]
-                w, j = np.nonzero(cand)
-                close = _ONES[got[w] ^ prints[j]].sum(1) <= self.radius
                 best: dict[int, tuple[float, int, int, int]] = {}
-                for s, i in zip(starts[w[close]].tolist(), own[j[close]].tolist()):
-                    inter, union = similarity(h[s: s + length], self.sets[i])
-                    if 100 * inter >= self.percent * union and (i not in best or inter / union > best[i][0]):
-                        best[i] = inter / union, s, inter, union
-                span = min(key[1] + k - 1, len(h_words))
+                for w, i in self.within(got, items):
+                    for s, i in zip(starts[w].tolist(), i.tolist()):
+                        inter, union = similarity(h[s: s + length], self.sets[i])
+                        if 100 * inter >= self.percent * union and (i not in best or inter / union > best[i][0]):
+                            best[i] = inter / union, s, inter, union
+                span = min(length + k - 1, len(h_words))
                 out += [(self.place[i], s, span, inter, union) for i, (_, s, inter, union) in best.items()]
         return out
 
@@ -176,24 +185,28 @@ def contaminated(docs: DataFrame, items: DataFrame, percent: int = 80, id_col: s
                            T.StructField("similarity", T.DoubleType())])
     out = docs.sparkSession.createDataFrame([], schema)
     for block in _passes(items, item_col, item_text_col):
-        bc = docs.sparkSession.sparkContext.broadcast(block)
-        out = out.unionByName(src.mapInArrow(_finder(bc, percent, radius, id_col, item_col, item_type), schema))
+        bc = docs.sparkSession.sparkContext.broadcast(([i for i, _ in block], _index(block, percent, radius)))
+        out = out.unionByName(src.mapInArrow(_finder(bc, id_col, item_col, item_type), schema))
     return out
 
 
-def _finder(bc, percent: int, radius: int, id_col: str, item_col: str, item_type: T.DataType):
+def _index(block: list[tuple], percent: int, radius: int) -> Index:
+    return Index([(i, t.encode()) for i, (_, t) in enumerate(block)], percent, radius)
+
+
+def _finder(bc, id_col: str, item_col: str, item_type: T.DataType):
     from pyspark.sql.pandas.types import to_arrow_type
     arrow = to_arrow_type(item_type)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index([(i, t.encode()) for i, (_, t) in enumerate(bc.value)], percent, radius)
+        ids, index = bc.value
         words = WordHashes()
         for b in batches:
             rows = [(r, *m) for r, t in enumerate(b.column("text"))
                     for m in index.match(words.of(words_of((t.as_py() or "").encode())))]
             yield pa.RecordBatch.from_arrays(
                 [b.column("id").take(pa.array([r[0] for r in rows], pa.int64())),
-                 pa.array([bc.value[r[1]][0] for r in rows], arrow), pa.array([r[2] for r in rows], pa.int32()),
+                 pa.array([ids[r[1]] for r in rows], arrow), pa.array([r[2] for r in rows], pa.int32()),
                  pa.array([r[3] for r in rows], pa.int32()), pa.array([r[4] / r[5] for r in rows], pa.float64())],
                 names=[id_col, item_col, "start_word", "n_words", "similarity"])
 
@@ -207,14 +220,13 @@ def decontaminate(docs: DataFrame, items: DataFrame, percent: int = 80, text_col
     names = docs.columns
     out = docs
     for block in _passes(items, item_text_col, item_text_col):
-        bc = docs.sparkSession.sparkContext.broadcast(block)
+        bc = docs.sparkSession.sparkContext.broadcast(_index(block, percent, radius))
 
         def run(batches: Iterator[pa.RecordBatch], bc=bc) -> Iterator[pa.RecordBatch]:
-            index = Index([(i, t.encode()) for i, (_, t) in enumerate(bc.value)], percent, radius)
-            words = WordHashes()
+            index, words = bc.value, WordHashes()
             for b in batches:
                 clean = [not index.match(words.of(words_of((t.as_py() or "").encode()))) for t in b.column(at)]
                 yield pa.RecordBatch.from_arrays(b.columns, names=names).filter(pa.array(clean, pa.bool_()))
 
-        out = out.mapInArrow(run, docs.schema)
+        out = out.mapInArrow(lean(run), docs.schema)
     return out

@@ -42,7 +42,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lodestar.llm.common import (
-    WordHashes, drop_state, mix, release, shingle_hashes, text_bytes, write_state,
+    WordHashes, drop_state, lean, mix, release, shingle_hashes, text_bytes, write_state,
 )
 
 BLOCK = 1 << 20  # shingles searched by one task
@@ -327,7 +327,7 @@ def document_sets(docs: DataFrame, k: int, id_col: str, text_col: str) -> DataFr
                  pa.array(range(CHUNKS), pa.int32()),
                  pa.array([zlib.compress(x.tobytes(), 1) for x in np.split(sketch, CHUNKS)], pa.binary())], names=schema.names)
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def frequency_sketch(rows: DataFrame) -> np.ndarray:
@@ -429,7 +429,7 @@ def part_links(docs: DataFrame, k: int, percent: int, text_col: str, buckets: in
         out = np.unique(out[out[:, 0] != out[:, 1]], axis=0)
         return pa.table({"a": pa.array(out[:, 0]), "b": pa.array(out[:, 1])})
 
-    packed = src.mapInArrow(run, blob)
+    packed = src.mapInArrow(lean(run), blob)
     return packed.groupBy("bucket").applyInArrow(meet, T.StructType([
         T.StructField("a", T.LongType()), T.StructField("b", T.LongType())]))
 
@@ -508,7 +508,7 @@ def _with_tokens(docs: DataFrame, clusters: DataFrame, k: int, text_col: str) ->
             if ids:
                 yield _token_batch(ids, tokens)
 
-    rows = src.mapInArrow(run, schema)
+    rows = src.mapInArrow(lean(run), schema)
     return rows.dropDuplicates(["set"]).join(clusters, "set")
 
 
@@ -541,6 +541,14 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
                        text_col: str = "text", block: int = BLOCK) -> DataFrame:
     """``(id, n_shingles, component_id)`` per distinct id and set;
     component_id is the least id reachable by links."""
+    named = _named_sets(docs, k, percent, id_col, text_col, block)[0]
+    return named.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
+                        F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+
+
+def _named_sets(docs: DataFrame, k: int, percent: int, id_col: str, text_col: str, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
+    """``(id, n, set, root, least)`` per distinct id and set, with the least id
+    of its component (root null: no shingle), and the ids of several rows."""
     spark = docs.sparkSession
     temp: list[str] = []
 
@@ -550,7 +558,7 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
         return out
 
     rows = put(document_sets(docs, k, id_col, text_col))
-    members, _ = write_state(rows.where("chunk IS NULL").select("id", "n", "set").distinct())
+    members = put(rows.where("chunk IS NULL").groupBy("id", "n", "set").agg(F.count(F.lit(1)).alias("rows")))
     heavy = heavy_counters(frequency_sketch(rows))
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // (2 * block)), min(64, -(-total // 50_000)))
@@ -607,24 +615,56 @@ def jaccard_components(docs: DataFrame, k: int = 5, percent: int = 80, id_col: s
     root = put(components(links, temp)).toDF("set", "root")
     named = members.join(root, "set", "left").withColumn("root", F.coalesce("root", "set"))
     least = named.where("root IS NOT NULL").groupBy("root").agg(F.min("id").alias("least"))
-    out, _ = write_state(named.join(least, "root", "left").select(
-        F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("root").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id")))
+    out, _ = write_state(named.join(least, "root", "left").select("id", "n", "set", "root", "least"))
+    several, _ = write_state(members.where("id IS NOT NULL").groupBy("id").agg(F.sum("rows").alias("rows"))
+                             .where("rows > 1").select("id"))
     drop_state(spark, *temp)
     release(spark)
-    return out
+    return out, several
 
 
 def drop_copies(docs: DataFrame, k: int = 5, percent: int = 80, id_col: str = "doc_id",
                 text_col: str = "text") -> DataFrame:
-    """``docs`` with one document of each component, the one of least id.
-
-    Rows of one id stand or fall together and a null id is always kept. The
-    dropped ids are written, so that the planner sees their size and only
-    broadcasts a small table; else the join is a shuffle.
+    """``docs`` with one row of each component: one of least id, null ids last.
+
+    Rows with an id of their own stand or fall by it. Rows that share an id or
+    have none are told apart by their text and, where that is equal too, by all
+    their columns: of those that may stand for their component one stays, found
+    by a pre-aggregated minimum. Rows without a shingle are linked with nothing
+    and all stay. Dropped ids and ids of several rows are written, so that the
+    planner sees their size and only broadcasts a small table; else the joins
+    are shuffles.
     """
-    labels = jaccard_components(docs, k, percent, id_col, text_col)
-    ids = labels.where(F.col(id_col).isNotNull()).groupBy(id_col).agg(
-        F.max((F.col("component_id") == F.col(id_col)).cast("int")).alias("stays"))
-    dropped, _ = write_state(ids.where("stays = 0").select(F.col(id_col).alias("__dropped")))
-    return docs.join(dropped, docs[id_col] == dropped["__dropped"], "left_anti")
+    named, several = _named_sets(docs, k, percent, id_col, text_col)
+    own = named.join(several, "id", "left_anti").where("id IS NOT NULL AND root IS NOT NULL AND NOT (id <=> least)")
+    dropped, _ = write_state(own.select(F.col("id").alias("__dropped")))
+    shared, _ = write_state(several.select(F.col("id").alias("__shared")))
+    known = docs[id_col].isNotNull()
+    alone = docs.where(known).join(dropped, docs[id_col] == dropped["__dropped"], "left_anti") \
+                .join(shared, docs[id_col] == shared["__shared"], "left_anti")
+    if shared.isEmpty() and named.where("id IS NULL").isEmpty():
+        return alone
+    some = docs.where(~known).unionByName(docs.where(known).join(shared, docs[id_col] == shared["__shared"], "left_semi"))
+    return alone.unionByName(_one_each(some, named, k, id_col, text_col))
+
+
+def _one_each(some: DataFrame, named: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """One row of every component whose least id its rows have, and all rows
+    without a shingle."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in some.columns])
+    src = some.select(whole.alias("row"), F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    schema = T.StructType([*src.schema.fields[:2], T.StructField("set", T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        words = WordHashes(WORDS)
+        for b in batches:
+            sets = [shingle_set(t, k, words) for t in text_bytes(b, "text")]
+            ids = pa.array([set_id(x) if len(x) else None for x in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([b.column("row"), b.column("id"), ids], names=schema.names)
+
+    rows = src.mapInArrow(lean(run), schema)
+    root = named.where("root IS NOT NULL").groupBy("set").agg(F.first("root").alias("root"), F.first("least").alias("least"))
+    linked = rows.where("set IS NOT NULL").join(root, "set").where(F.col("id").eqNullSafe(F.col("least")))
+    order = F.struct(F.xxhash64(F.col(f"row.`{text_col}`")), F.xxhash64(F.to_json("row")))
+    one = linked.groupBy("root").agg(F.min_by("row", order).alias("row"))
+    return one.select("row.*").unionByName(rows.where("set IS NULL").select("row.*"))

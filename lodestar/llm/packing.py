@@ -15,6 +15,7 @@ rows; columns other than id and text are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import struct
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestar.llm.common import write_state
+from lodestar.llm.common import lean, write_state
 
 GROUP = 16_384  # pieces packed together by one call
 
@@ -53,6 +54,22 @@ def _byte_alphabet() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + k) for k, b in enumerate(rest)}
 
 
+# what a tokenizer file must say for the split above to be its own (fixed values)
+_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def splits_as_expected(spec: dict) -> bool:
+    """Whether a tokenizer file splits texts as :data:`_SPLIT` does; any other
+    file encodes whole texts."""
+    return (spec.get("normalizer") == _NORMALIZER and spec.get("pre_tokenizer") == _PRE_TOKENIZER
+            and spec["model"]["type"] == "BPE" and not spec["model"].get("dropout")
+            and all(t["content"].startswith("<|") for t in spec.get("added_tokens") or []))
+
+
 class TokenCache(dict):
     """unit -> its ids as little-endian uint32, at most ``limit`` of them.
 
@@ -63,12 +80,13 @@ class TokenCache(dict):
     and their words pass the whole tokenizer.
     """
 
-    def __init__(self, tokenizer_json: str, limit: int = 500_000):
+    def __init__(self, tokenizer_json: str, limit: int = 250_000):
         super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_str(tokenizer_json)
         self.model = self.tok.model
+        self.by_units = splits_as_expected(json.loads(tokenizer_json))
         self.alphabet = _byte_alphabet()
         self.words: dict[str, bytes] = {}
         self.limit = limit
@@ -89,6 +107,8 @@ class TokenCache(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        if not self.by_units:
+            return np.array(self.tok.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
         if _UNCOMMON.search(text) is None:
             return b"".join(map(self.__getitem__, _SPLIT.findall(text.lower())))
         return b"".join([self._word(w.decode()) for w in text.encode().split()])
@@ -133,7 +153,7 @@ def token_pieces(docs: DataFrame, tokenizer_json: str, max_len: int = 2048, end_
                 cols.append(pa.array(ids, pa.binary()))
             yield pa.RecordBatch.from_arrays(cols, names=[f.name for f in fields])
 
-    return src.mapInArrow(run, T.StructType(fields))
+    return src.mapInArrow(lean(run), T.StructType(fields))
 
 
 def best_fit(lengths: np.ndarray, cap: int) -> list[list[int]]:
@@ -198,48 +218,53 @@ class LocalSearch:
         self._settle(a)
         self._settle(b)
 
+    def _gifts(self, a: int) -> tuple[np.ndarray, dict[int, list[int]]]:
+        """The sums that one or two pieces of bin ``a`` make, in order, and
+        pieces for each; equal lengths are one choice, so there are few."""
+        by_len: dict[int, list[int]] = {}
+        for i in self.bins[a]:
+            by_len.setdefault(int(self.len[i]), []).append(i)
+        gift = {n: own[:1] for n, own in by_len.items()}
+        sizes = sorted(by_len)
+        for x, n in enumerate(sizes):
+            if len(by_len[n]) > 1:
+                gift.setdefault(2 * n, by_len[n][:2])
+            for m in sizes[x + 1:]:
+                gift.setdefault(n + m, [by_len[n][0], by_len[m][0]])
+        return np.array(sorted(gift), dtype=np.int64), gift
+
     def _step(self, a: int) -> bool:
         """One improving move or exchange out of bin ``a``."""
-        mine = self.bins[a]
-        gifts = [[i] for i in mine] + [[i, j] for x, i in enumerate(mine) for j in mine[x + 1:]][:64]
-        best, pick = 0, None
         fills = self.fill[self.under]
-        for give in gifts:
-            s = int(self.len[give].sum())
-            # move: into the fullest other bin that takes it
-            if len(give) == 1:
-                fits = np.where((fills + s <= self.cap) & (fills > 0) & (self.under != a), fills, 0)
-                k = int(fits.argmax())
-                if fits[k] and fits[k] + s > self.fill[a]:
-                    return self._transfer(a, give, int(self.under[k]), None) or True
-            # exchange: the smallest piece whose bin can take the gift instead
-            gain = np.where((self.size < s) & (self.reach >= s) & (self.owner != a), s - self.size, 0)
-            # the sum of squares must grow: fill(b) + gain > fill(a)
-            gain = np.where(self.cap - self.reach + s > self.fill[a] - 0, gain, 0)
-            k = int(gain.argmax())
-            if gain[k] > best:
-                best, pick = int(gain[k]), (give, int(self.owner[k]), int(self.piece[k]))
-        if pick is None:
+        # move: the longest piece that some other bin takes, into the fullest such bin
+        for n, i in sorted({int(self.len[i]): i for i in self.bins[a]}.items(), reverse=True):
+            fits = np.where((fills + n <= self.cap) & (fills > 0) & (self.under != a), fills, 0)
+            k = int(fits.argmax())
+            if fits[k] and fits[k] + n > self.fill[a]:
+                self._transfer(a, [i], int(self.under[k]), None)
+                return True
+        # exchange: for every slot the largest gift that its bin takes instead
+        sums, gift = self._gifts(a)
+        at = np.searchsorted(sums, self.reach, side="right") - 1
+        s = np.where(at >= 0, sums[at], 0)
+        # the sum of squares must grow: fill(b) + gain > fill(a)
+        good = (s > self.size) & (self.owner != a) & (self.cap - self.reach + s > self.fill[a])
+        gain = np.where(good, s - self.size, 0)
+        k = int(gain.argmax())
+        if not gain[k]:
             return False
-        self._transfer(a, pick[0], pick[1], pick[2])
+        self._transfer(a, gift[int(s[k])], int(self.owner[k]), int(self.piece[k]))
         return True
 
-    def run(self, passes: int = 3, steps: int = 40) -> list[list[int]]:
-        """Empty bins, emptiest first. ``passes`` bounds the rounds over all
-        bins and ``steps`` the tries per bin; both bound time, not input."""
-        for _ in range(passes):
-            emptied = False
+    def run(self) -> list[list[int]]:
+        """Steps out of the bins, emptiest first, until a whole pass finds
+        none; each makes the sum of squared fills grow, so that ends."""
+        moved = True
+        while moved:
+            moved = False
             for a in self.under[np.argsort(self.fill[self.under], kind="stable")].tolist():
-                if not 0 < self.fill[a] < self.cap:
-                    continue
-                for _ in range(steps):
-                    if not self._step(a):
-                        break
-                    if not self.bins[a]:
-                        emptied = True
-                        break
-            if not emptied:
-                break
+                while 0 < self.fill[a] < self.cap and self._step(a):
+                    moved = True
         return [b for b in self.bins if b]
 
 

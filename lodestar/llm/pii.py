@@ -26,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lodestar.llm.common import lean
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "userinfo", "iban", "account")
 CUES = ("account", "acct", "iban", "passport", "ssn", "routing", "licence no", "license no", "tax id")
@@ -149,7 +151,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 spans.append([{"kind": k, "start": s, "end": e} for k, s, e in found])
             yield pa.RecordBatch.from_arrays([b.column("id"), pa.array(spans, span)], names=[id_col, "spans"])
 
-    return src.mapInArrow(run, schema)
+    return src.mapInArrow(lean(run), schema)
 
 
 def spans_text(spans: Column) -> Column:
@@ -195,4 +197,4 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
                 cols[counts] = pa.array([None if t is None else len(t) for t in texts], cols[counts].type)
             yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return docs.mapInArrow(run, out_schema)
+    return docs.mapInArrow(lean(run), out_schema)
