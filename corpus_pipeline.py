@@ -1,4 +1,12 @@
-"""Corpus preparation: each stage works on all its predecessor kept."""
+"""Corpus preparation: each stage works on all its predecessor kept.
+
+Defined cases: null, empty and very long texts, repeated rows, null ids, empty
+tables and extra columns whose names clash with inner ones pass through the
+stages as each operator's docstring says. Rows with too few words go in the first
+stage, so null and empty texts never reach the others; of rows with one id or no
+id and equal words one stays (stage two); all columns are kept up to the last
+stage, which returns the packed pieces.
+"""
 
 from __future__ import annotations
 
@@ -12,22 +20,32 @@ from lodestar.llm.common import drop_state, release, table, tracked
 from lodestar.llm.queries import tokenizer_json
 from lodestar.session import checkpoint_dir
 
+_chain: list[tuple[int, str, list[str]]] = []  # (stage, input folder, states) of the calls that follow each other
+
 
-_left: list[str] = []
+def _small_batches(spark: SparkSession) -> None:
+    """Whole texts go to Python 2,000 rows at a time."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
 
 
 def stage(fn):
-    """A stage keeps what its result is read from until the next one begins:
-    by then the result has been written, and the states are deleted."""
+    """A stage keeps the states that its result is read from. They go when a
+    later stage is called for the same input folder: its ``docs`` are then the
+    written result. A call that does not continue the latest row of calls begins
+    one of its own and deletes nothing, so results of one stage, or of several
+    runs, stay readable side by side."""
 
     @wraps(fn)
     def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        drop_state(spark, *_left)
-        _left.clear()
+        number = [f for _, f in STAGES].index(run_stage)
+        if _chain and _chain[-1][0] == number - 1 and _chain[-1][1] == sf_dir:
+            drop_state(spark, *_chain.pop()[2])
+        _chain.clear()
         release(spark)
+        _small_batches(spark)
         with tracked() as paths:
             out = fn(spark, docs, sf_dir)
-        _left.extend(paths)
+        _chain.append((number, sf_dir, paths))
         return out
 
     return run_stage
@@ -77,13 +95,20 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``; each result is written to the shared
-    folder and read again as the next stage's input."""
+    folder, read again as the next stage's input and deleted when that one's has
+    been written. The result is read from the pieces that the last stage wrote."""
+    _small_batches(spark)
     docs = table(spark, sf_dir, "documents")
-    base = f"{checkpoint_dir(spark).rstrip('/')}/pipeline/{uuid.uuid4().hex}"
-    for k, (_, stage) in enumerate(STAGES):
-        out = stage(spark, docs, sf_dir)
-        if k == len(STAGES) - 1:
-            return out
-        out.write.parquet(f"{base}/{k}")
-        docs = spark.read.parquet(f"{base}/{k}")
-    return docs
+    base = f"{checkpoint_dir(spark).rstrip('/')}/llm-state/pipeline-{uuid.uuid4().hex}"
+    before = []
+    for k, (_, call) in enumerate(STAGES):
+        with tracked() as states:
+            out = call.__wrapped__(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            out.write.parquet(f"{base}/{k}")
+            drop_state(spark, *states, *before)
+            before = [f"{base}/{k}"]
+            docs = spark.read.schema(out.schema).parquet(f"{base}/{k}")
+            release(spark)
+    drop_state(spark, base)  # the pieces are written
+    return out
