@@ -45,7 +45,7 @@ import os
 import re
 import struct
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pyarrow as pa
@@ -174,6 +174,9 @@ class Aligner:
         self.units = self.a.units and self.b.units
         self.sizes = [len(x) for x in self.a.bytes], [len(x) for x in self.b.bytes]
         self.names = [str(i) for i in range(max(map(len, self.sizes)))]
+        # for many units at once: lengths, and names with what follows them
+        self.lengths = tuple(np.array(x, np.int64) for x in self.sizes)
+        self.text = {end: np.array([n + end for n in self.names], object) for end in ",|;"}
         self.young: dict[str, tuple] = {}
         self.old: dict[str, tuple] = {}
 
@@ -213,9 +216,42 @@ class Aligner:
             else:
                 self.young[u] = part
         if new:
-            for u, b in zip(new, self.b.encode_all(new)):
-                spaced = " " + u
-                self.young[u] = self._aligned(spaced.encode(), self.a.encode(spaced), b)
+            spaced = [" " + u for u in new]
+            a, b = [self.a.encode(x) for x in spaced], self.b.encode_all(new)
+            raw = [x.encode() for x in spaced]
+            parts = self._aligned_all(raw, a, b) if len(new) > 5 else None
+            self.young.update(zip(new, parts or map(self._aligned, raw, a, b)))
+
+    def _aligned_all(self, spaced: list[bytes], a: list[list[int]], b: list[list[int]]) -> list[tuple] | None:
+        """:meth:`_aligned` of many units laid one after the other; None where
+        one is not given back or has a token without bytes."""
+        want = b"".join(spaced)
+        flat_a, flat_b = list(chain.from_iterable(a)), list(chain.from_iterable(b))
+        if b"".join([self.a.bytes[x] for x in flat_a]) != want or b"".join([self.b.bytes[x] for x in flat_b]) != want:
+            return None
+        flat_a, flat_b = np.array(flat_a, np.int64), np.array(flat_b, np.int64)
+        in_a, in_b = self.lengths[0][flat_a], self.lengths[1][flat_b]
+        ends_a, ends_b = np.cumsum(in_a), np.cumsum(in_b)
+        n_a, n_b = np.array([len(x) for x in a]), np.array([len(x) for x in b])
+        to_a, to_b = np.cumsum(n_a), np.cumsum(n_b)
+        size = np.cumsum([len(x) for x in spaced])
+        if not (in_a.all() and in_b.all() and n_a.all() and n_b.all()) \
+                or (ends_a[to_a - 1] != size).any() or (ends_b[to_b - 1] != size).any():
+            return None
+        last_a = ends_b[np.searchsorted(ends_b, ends_a)] == ends_a  # ends a group
+        last_b = ends_a[np.searchsorted(ends_a, ends_b)] == ends_b
+        done_a, done_b = np.cumsum(last_a), np.cumsum(last_b)
+        starts_b = np.append(0, np.flatnonzero(last_b) + 1)  # of the groups
+        starts_a = np.append(0, np.flatnonzero(last_a) + 1)
+        # a group's tokens of A, then those of B
+        out = np.empty(len(flat_a) + len(flat_b), object)
+        out[np.arange(len(flat_a)) + starts_b[done_a - last_a]] = np.where(last_a, self.text["|"][flat_a], self.text[","][flat_a])
+        out[np.arange(len(flat_b)) + starts_a[done_b - last_b + 1]] = np.where(last_b, self.text[";"][flat_b], self.text[","][flat_b])
+        out = out.tolist()
+        links = (flat_b[last_b] << 32 | flat_a[last_a]).astype("<i8").tobytes()
+        tokens, groups = [0, *(to_a + to_b).tolist()], [0, *done_a[to_a - 1].tolist()]
+        return [(x, y, g - f, "".join(out[s:e])[:-1], links[8 * f: 8 * g])
+                for x, y, f, g, s, e in zip(n_a.tolist(), n_b.tolist(), groups, groups[1:], tokens, tokens[1:])]
 
     def align(self, text: str | None) -> tuple:
         if not text:
