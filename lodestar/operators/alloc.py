@@ -1,22 +1,41 @@
 """Budget-limited assignment of an ordered query stream to bidders.
 
-The sequential rule "give each query to the best-ranked bidder whose
-remaining budget covers the bid" is computed as a fixed point: given the
-previous round's assignment, every candidate sees the budget its advertiser
-has spent on earlier queries (a running sum), and every query re-ranks its
-eligible bidders. Round r settles at least the first r queries, and the
-sequential answer is the only fixed point; in practice few rounds suffice.
+The sequential rule is "give each query to the best-ranked bidder whose
+remaining budget covers the bid". The stream is cut into blocks of ``CHUNK``
+queries and settled in rounds, all trials in one plan. A round
+
+* finds, under the budgets left, every keyword's best bidder. With greedy that
+  winner stays until a budget runs out, so running sums of (queries of the
+  keyword in a block x its bid) tell the first block in which some advertiser
+  would be overdrawn; all blocks before it are settled by one join;
+* settles the block in question query by query, one bounded group a trial: its
+  queries and, per keyword, the ``CHUNK`` best bidders that can pay (within a
+  block no more than ``CHUNK`` of them can fall back or run out).
+
+Rounds therefore follow the blocks in which budgets run out, not queries. With
+balance and MSVV every win changes the ranks, so each block with a bidder that
+can pay takes a round; blocks without one are skipped. The stream ends for a
+trial when no keyword that is still to come has a bidder that can pay.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
+import uuid
+
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions.scalar import scaled_bid
-from lodestar.plans.iterate import discard, materialize
+from lodestar.plans.iterate import NotConverged, discard, materialize, materialize_partitioned
+from lodestar.plans.ranking import global_row_number, top_k_per_group
+from lodestar.session import checkpoint_dir
 
-CHUNK = 4096  # queries per prefix-sum block (bounds the per-task window)
+CHUNK = 4096  # queries of a block
+FOLDER = 64  # blocks of one folder of the written stream
 
 
 def candidate_bids(queries: DataFrame, bids: DataFrame) -> DataFrame:
@@ -50,7 +69,6 @@ def best_static_bid(queries: DataFrame, bids: DataFrame) -> DataFrame:
     bidders are ranked once per keyword on the bids table (salted top-1 for
     hot keywords) and the winners joined to the query stream: no
     query x bidder intermediate."""
-    from lodestar.plans.ranking import top_k_per_group
     top = top_k_per_group(bids.select("keyword", "advertiser", "bid"), ["keyword"],
                           [F.col("bid").desc(), F.col("advertiser")], 1, salt_key=["advertiser"])
     return queries.join(top.drop("rank"), "keyword")
@@ -64,53 +82,180 @@ def bids_per_query(queries: DataFrame, bids: DataFrame) -> DataFrame:
     return queries.join(per_kw, "keyword")
 
 
-def _spent_before(cands: DataFrame, assigned: DataFrame, keys: list[str]) -> DataFrame:
-    """Budget spent by each candidate's advertiser on queries strictly
-    before the candidate's query, in two levels so no window holds a hot
-    advertiser's whole stream: (1) block totals (CHUNK queries per block)
-    with a running sum over the blocks of each (trial, advertiser) -- one row
-    per block; (2) a running sum inside each (trial, advertiser, block)."""
-    grp = [k for k in keys if k != "seq"] + ["advertiser"]
-    blk = F.floor(F.col("seq") / CHUNK)
-    a = assigned.select(*grp, "seq", F.col("bid").alias("amt")).withColumn("blk", blk)
-    btot = a.groupBy(*grp, "blk").agg(F.sum("amt").alias("bt"))
-    blocks = cands.select(*grp, blk.alias("blk")).distinct().join(btot, grp + ["blk"], "left")
-    w1 = Window.partitionBy(*grp).orderBy("blk").rowsBetween(Window.unboundedPreceding, -1)
-    boff = blocks.select(*grp, "blk", F.coalesce(F.sum(F.coalesce("bt", F.lit(0))).over(w1), F.lit(0)).alias("off"))
-    c = cands.withColumn("blk", blk).withColumn("kind", F.lit(0)).withColumn("amt", F.lit(0).cast(a.schema["amt"].dataType))
-    u = c.unionByName(a.withColumn("kind", F.lit(1)), allowMissingColumns=True)
-    w2 = Window.partitionBy(*grp, "blk").orderBy("seq", "kind").rowsBetween(Window.unboundedPreceding, 0)
-    u = u.withColumn("inblk", F.sum("amt").over(w2)).where(F.col("kind") == 0)
-    u = u.join(boff, grp + ["blk"], "left")
-    return u.withColumn("spent", F.coalesce("off", F.lit(0)) + F.col("inblk")).drop("off", "inblk", "kind", "amt", "blk")
+def settle_block(queries: pd.DataFrame, cands: pd.DataFrame, strategy: str) -> list[tuple]:
+    """``(seq, advertiser, bid)`` of one block, query by query. A keyword's
+    bidders stand in a heap by rank; a win only ever worsens an advertiser's
+    rank, so an entry is ranked anew when it comes up with an old balance."""
+    left = dict(zip(cands["advertiser"], cands["remaining"]))
+
+    def rank(adv, bid, budget):
+        if strategy == "greedy":
+            return -bid
+        if strategy == "balance":
+            return -left[adv]
+        initial = float(budget)
+        return -(float(bid) * (1.0 - math.exp((initial - float(left[adv])) / initial - 1.0)))
+
+    heaps: dict = {}
+    for k, adv, bid, budget in zip(cands["keyword"], cands["advertiser"], cands["bid"], cands["budget"]):
+        heaps.setdefault(k, []).append((rank(adv, bid, budget), adv, bid, left[adv], budget))
+    for heap in heaps.values():
+        heapq.heapify(heap)
+    out = []
+    for seq, keyword in zip(queries["seq"], queries["keyword"]):
+        heap = heaps.get(keyword, [])
+        while heap:
+            _, adv, bid, seen, budget = heap[0]
+            if left[adv] < bid:
+                heapq.heappop(heap)
+            elif left[adv] != seen:
+                heapq.heapreplace(heap, (rank(adv, bid, budget), adv, bid, left[adv], budget))
+            else:
+                left[adv] -= bid
+                out.append((seq, adv, bid))
+                break
+    return out
+
+
+def _blocks(queries: DataFrame, trial: str) -> DataFrame:
+    """The stream ``(trial, seq, keyword, blk)``, written in folders of
+    neighbouring blocks."""
+    numbered = global_row_number(queries.select(trial, "seq", "keyword"), [F.col(trial), F.col("seq")], "__rn")
+    numbered = materialize(numbered)
+    first = numbered.groupBy(trial).agg(F.min("__rn").alias("__first"))  # one row a trial
+    blk = F.floor((F.col("__rn") - F.col("__first")) / F.lit(CHUNK)).cast("int")
+    out = materialize_partitioned(numbered.join(F.broadcast(first), trial)
+                                  .select(trial, "seq", "keyword", blk.alias("blk"))
+                                  .withColumn("folder", F.floor(F.col("blk") / FOLDER).cast("int")), "folder")
+    discard(numbered)
+    return out
+
+
+def allocate_rounds(queries: DataFrame, bids: DataFrame, budgets: DataFrame, strategy: str = "greedy",
+                    trial_col: str | None = None, max_rounds: int | None = None) -> tuple[DataFrame, int]:
+    """K1: ``(trial?, seq, advertiser, bid)`` of the assigned queries, and the
+    number of rounds it took.
+
+    ``queries(seq, keyword[, trial])``, ``bids(advertiser, keyword, bid)``,
+    ``budgets(advertiser, budget)``, amounts as decimals. Every trial starts
+    with the whole budgets. Bidders without a budget cannot win; equal ranks go
+    by advertiser. Queries without a bidder that can pay are left out. The
+    result stands in the checkpoint folder, a folder a round."""
+    spark = queries.sparkSession
+    trial = trial_col or "__trial"
+    q = queries if trial_col else queries.withColumn(trial, F.lit(0))
+    stream = _blocks(q, trial)
+    counts = materialize(stream.groupBy(trial, "blk", "keyword").agg(F.count(F.lit(1)).alias("n")))
+    offers = materialize(bids.select("advertiser", "keyword", "bid").join(budgets, "advertiser"))
+    purse = budgets.select("advertiser", F.col("budget").alias("remaining"))
+    left = materialize(stream.select(trial).distinct().join(purse))  # trials x advertisers
+    result = T.StructType([stream.schema[trial], stream.schema["seq"], offers.schema["advertiser"], offers.schema["bid"]])
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lodestar-state/{uuid.uuid4().hex}"
+    spark.createDataFrame([], result).write.parquet(f"{path}/round=0")
+    at = {r[trial]: 0 for r in stream.select(trial).distinct().collect()}  # next block of every trial
+    rounds = 0
+    while at:
+        if max_rounds is not None and rounds >= max_rounds:
+            raise NotConverged(f"the stream is not settled after {max_rounds} rounds")
+        rounds += 1
+        here = spark.createDataFrame(list(at.items()), T.StructType([stream.schema[trial], T.StructField("lo", T.IntegerType())]))
+        payable = offers.join(left, "advertiser").where(F.col("remaining") >= F.col("bid"))
+        best = materialize(payable.groupBy(trial, "keyword")
+                           .agg(F.min_by(F.struct("advertiser", "bid", "remaining"),
+                                         F.struct(-F.col("bid"), F.col("advertiser"))).alias("w"))
+                           .select(trial, "keyword", "w.*"))
+        todo = counts.join(F.broadcast(here), trial).where(F.col("blk") >= F.col("lo")).join(best, [trial, "keyword"])
+        if strategy == "greedy":
+            spend = todo.groupBy(trial, "blk", "advertiser", "remaining").agg(F.sum(F.col("n") * F.col("bid")).alias("spend"))
+            run = F.sum("spend").over(Window.partitionBy(trial, "advertiser").orderBy("blk"))
+            spend = spend.withColumn("over", run > F.col("remaining"))
+            stops = {r[trial]: r["v"] for r in spend.groupBy(trial).agg(F.min(F.when(F.col("over"), F.col("blk"))).alias("v")).collect()}
+        else:
+            stops = {r[trial]: r["v"] for r in todo.groupBy(trial).agg(F.min("blk").alias("v")).collect()}
+        if not stops:
+            discard(best)
+            break
+        spans = {t: (at[t], v) for t, v in stops.items()}
+        if strategy == "greedy":  # what the fixed winners pay before the block that is settled query by query
+            ahead = todo.join(F.broadcast(_bounds(spark, spans, result).drop("lo")), trial).where(F.col("v").isNull() | (F.col("blk") < F.col("v")))
+            paid = ahead.groupBy(trial, "advertiser").agg(F.sum(F.col("n") * F.col("bid")).alias("paid"))
+            payable = offers.join(_less(left, paid, trial), "advertiser").where(F.col("remaining") >= F.col("bid"))
+        part = _settle(stream, best, payable, spans, strategy, trial, result)
+        part.write.parquet(f"{path}/round={rounds}")
+        spent = spark.read.schema(result).parquet(f"{path}/round={rounds}").groupBy(trial, "advertiser").agg(F.sum("bid").alias("paid"))
+        after = materialize(_less(left, spent, trial))
+        discard(left, best)
+        left = after
+        at = {t: v + 1 for t, v in stops.items() if v is not None}
+    discard(stream, counts, offers, left)
+    done = spark.read.schema(result).parquet(*[f"{path}/round={r}" for r in range(rounds + 1) if r == 0 or _written(spark, f"{path}/round={r}")])
+    return (done if trial_col else done.drop(trial)), rounds
+
+
+def _written(spark, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
+def _less(left: DataFrame, paid: DataFrame, trial: str) -> DataFrame:
+    """Balances after payments."""
+    rest = (F.col("remaining") - F.coalesce("paid", F.lit(0))).cast(left.schema["remaining"].dataType)
+    return left.join(paid, [trial, "advertiser"], "left").select(trial, "advertiser", rest.alias("remaining"))
+
+
+def _bounds(spark, spans: dict, result: T.StructType) -> DataFrame:
+    """``(trial, lo, v)``, one row a trial."""
+    table = T.StructType([result.fields[0], T.StructField("lo", T.IntegerType()), T.StructField("v", T.IntegerType())])
+    return spark.createDataFrame([(t, *x) for t, x in spans.items()], table)
+
+
+def _settle(stream: DataFrame, best: DataFrame, payable: DataFrame, spans: dict, strategy: str, trial: str,
+            result: T.StructType) -> DataFrame:
+    """Assigned queries of the blocks ``lo .. v - 1`` (greedy: by the fixed
+    winners ``best``; ``v`` None: to the end) and of block ``v`` of every trial,
+    for which ``payable`` holds the bidders with their balances by then."""
+    bounds = _bounds(stream.sparkSession, spans, result)
+    lowest = min(lo for lo, _ in spans.values()) // FOLDER
+    ahead = stream.where(F.col("folder") >= lowest).join(F.broadcast(bounds), trial)
+    names = result.names
+    out = None
+    if strategy == "greedy":
+        fixed = ahead.where((F.col("blk") >= F.col("lo")) & (F.col("v").isNull() | (F.col("blk") < F.col("v"))))
+        out = fixed.join(best, [trial, "keyword"]).select(*names)
+    folders = sorted({v // FOLDER for _, v in spans.values() if v is not None})
+    if folders:
+        block = ahead.where(F.col("folder").isin(folders) & (F.col("blk") == F.col("v"))).select(trial, "seq", "keyword")
+        wanted = payable.join(block.select(trial, "keyword").distinct(), [trial, "keyword"])
+        if strategy == "msvv":
+            wanted = wanted.withColumn("scaled", scaled_bid(F.col("bid"), F.col("budget"), F.col("remaining")))
+        cands = top_k_per_group(wanted, [trial, "keyword"], _order(strategy), CHUNK, "rank", salt_key=["advertiser"]) \
+            .select(trial, "keyword", "advertiser", "bid", "budget", "remaining")
+
+        def run(own: pd.DataFrame, bidders: pd.DataFrame) -> pd.DataFrame:
+            rows = settle_block(own.sort_values("seq"), bidders, strategy)
+            out = pd.DataFrame(rows, columns=names[1:])
+            out.insert(0, trial, own[trial].iloc[0] if len(own) else None)
+            return out
+
+        exact = block.groupBy(trial).cogroup(cands.groupBy(trial)).applyInPandas(run, result)
+        out = exact if out is None else out.unionByName(exact)
+    return out
 
 
 def allocate(queries: DataFrame, bids: DataFrame, budgets: DataFrame, strategy: str = "greedy",
              trial_col: str | None = None) -> DataFrame:
-    """K1: ``(trial?, seq, advertiser, bid)`` for assigned queries.
+    """K1 without the number of rounds."""
+    return allocate_rounds(queries, bids, budgets, strategy, trial_col)[0]
 
-    ``queries(seq, keyword[, trial])``, ``bids(advertiser, keyword, bid)``,
-    ``budgets(advertiser, budget)``, amounts as decimals. Bidders without a
-    budget cannot win. Whole-stream rounds of joins and windows run until the
-    assignment stops changing; every round settles a query at least, so they
-    end."""
-    keys = ([trial_col] if trial_col else []) + ["seq"]
-    cands = candidate_bids(queries, bids).join(budgets, "advertiser")
-    cands = materialize(cands.select(*keys, "advertiser", "bid", "budget"))
-    assigned = materialize(cands.limit(0).select(*keys, "advertiser", "bid"))
-    while True:
-        sp = _spent_before(cands, assigned, keys)
-        sp = sp.withColumn("remaining", F.col("budget") - F.col("spent")).where(F.col("remaining") >= F.col("bid"))
-        ranked = rank_bids(sp, strategy, keys)
-        new = materialize(ranked.where(F.col("rank") == 1).select(*keys, "advertiser", "bid"))
-        settled = (new.select(*keys, F.col("advertiser").alias("a1"))
-                   .join(assigned.select(*keys, F.col("advertiser").alias("a0")), keys, "full_outer")
-                   .where(~F.col("a1").eqNullSafe(F.col("a0"))).isEmpty())
-        discard(assigned)
-        assigned = new
-        if settled:
-            discard(cands)
-            return assigned
+
+def trial_revenues(queries: DataFrame, bids: DataFrame, budgets: DataFrame, trials: int, strategy: str = "greedy",
+                   seed: int = 0) -> DataFrame:
+    """K2: ``(trial, revenue)`` of ``trials`` shuffled copies of the stream; a
+    trial that sells nothing has revenue 0."""
+    won = allocate(permute(queries, trials, seed), bids, budgets, strategy, "trial") \
+        .groupBy("trial").agg(F.sum("bid").alias("revenue"))
+    every = queries.sparkSession.range(trials).select(F.col("id").cast(won.schema["trial"].dataType).alias("trial"))
+    return every.join(won, "trial", "left").fillna(0, ["revenue"])
 
 
 def best_affordable_bid(queries: DataFrame, bids: DataFrame, budgets: DataFrame, spent: DataFrame,
@@ -119,7 +264,6 @@ def best_affordable_bid(queries: DataFrame, bids: DataFrame, budgets: DataFrame,
     when each advertiser has already spent ``spent(advertiser, spent)``;
     bidders that cannot pay their bid are out. The rank does not depend on
     the query, so bidders are ranked once per keyword (salted top-1)."""
-    from lodestar.plans.ranking import top_k_per_group
     c = bids.select("keyword", "advertiser", "bid").join(budgets, "advertiser").join(spent, "advertiser", "left")
     c = c.withColumn("remaining", F.col("budget") - F.coalesce("spent", F.lit(0))).where(F.col("remaining") >= F.col("bid"))
     if strategy == "msvv":
@@ -137,7 +281,6 @@ def permute(queries: DataFrame, trials: int, seed: int = 0) -> DataFrame:
     """E9 + K2: ``trials`` shuffled copies of the query stream; the new
     ``seq`` is the rank of an MD5 of (old seq, seed, trial) inside the trial,
     computed by a distributed row number (no per-trial window)."""
-    from lodestar.plans.ranking import global_row_number
     t = queries.withColumn("trial", F.explode(F.sequence(F.lit(0), F.lit(trials - 1))))
     t = t.withColumn("__h", F.md5(F.concat_ws(":", F.col("seq"), F.lit(seed), F.col("trial"))))
     t = global_row_number(t, [F.col("trial"), F.col("__h"), F.col("seq")], "__rn")

@@ -96,3 +96,76 @@ def permuted_stream(spark, d):
     q, _, _ = _parts(spark, d)
     p = A.permute(q.withColumn("old_seq", F.col("seq")), 4, seed=0)
     return p.select(F.col("trial").cast("long").alias("trial"), "old_seq", "keyword", "seq")
+
+
+def _allocate_sql(pick: str, stream: str = "SELECT 0 AS trial, seq, keyword FROM q") -> str:
+    """The rule query by query: the state is the list of remaining budgets; it
+    ends when nobody can pay their least bid."""
+    return f"""WITH RECURSIVE {BASE_SQL}, s AS ({stream}),
+adv AS (SELECT advertiser, budget, row_number() OVER (ORDER BY advertiser) AS k FROM bu),
+start AS (SELECT list(budget ORDER BY k) AS rem, list(CAST(budget AS DOUBLE) ORDER BY k) AS whole, list(least_bid ORDER BY k) AS least
+  FROM adv LEFT JOIN (SELECT advertiser, min(bid) AS least_bid FROM b GROUP BY advertiser) USING (advertiser)),
+kw AS (SELECT keyword, list(struct_pack(a := advertiser, k := k, b := bid) ORDER BY bid DESC, advertiser) AS c
+  FROM b JOIN adv USING (advertiser) GROUP BY keyword),
+n AS (SELECT trial, seq, keyword, row_number() OVER (PARTITION BY trial ORDER BY seq) AS rn FROM s),
+run(trial, rn, seq, rem, won) AS (
+  SELECT trial, 0::BIGINT, NULL::BIGINT, rem, NULL::STRUCT(a BIGINT, k BIGINT, b DECIMAL(12,2)) FROM (SELECT DISTINCT trial FROM s), start
+  UNION ALL
+  SELECT trial, rn, seq, CASE WHEN won IS NULL THEN rem
+    ELSE list_transform(rem, lambda r, i: CASE WHEN i = won.k THEN r - won.b ELSE r END) END, won
+  FROM (SELECT n.trial, n.rn, n.seq, run.rem, {pick} AS won
+    FROM run JOIN n ON n.trial = run.trial AND n.rn = run.rn + 1 LEFT JOIN kw ON kw.keyword = n.keyword, start
+    WHERE list_bool_or([z[1] >= z[2] FOR z IN list_zip(run.rem, least)])))"""
+
+
+_FIRST = "list_filter(kw.c, lambda x: run.rem[x.k] >= x.b)[1]"
+
+
+def _first_by(key: str) -> str:
+    return f"""list_sort(list_transform(list_filter(kw.c, lambda x: run.rem[x.k] >= x.b),
+      lambda x: struct_pack(o := -({key}), x := x)))[1].x"""
+
+
+_MSVV = ("CAST(x.b AS DOUBLE) * (1.0::DOUBLE - exp((whole[x.k] - CAST(run.rem[x.k] AS DOUBLE)) / whole[x.k] - 1.0::DOUBLE))")
+_WON = "\nSELECT seq, won.a AS advertiser, CAST(won.b AS DOUBLE) AS bid FROM run WHERE won IS NOT NULL"
+
+
+def _allocate(spark, d, strategy):
+    q, b, bu = _parts(spark, d)
+    return A.allocate(q, b, bu, strategy).select("seq", "advertiser", F.col("bid").cast("double").alias("bid"))
+
+
+@query("allocate_greedy", _allocate_sql(_FIRST) + _WON)
+def allocate_greedy(spark, d):
+    """K1: the stream in arrival order, best bid first."""
+    return _allocate(spark, d, "greedy")
+
+
+@query("allocate_balance", _allocate_sql(_first_by("run.rem[x.k]")) + _WON)
+def allocate_balance(spark, d):
+    """K1, most remaining budget first."""
+    return _allocate(spark, d, "balance")
+
+
+@query("allocate_msvv", _allocate_sql(_first_by(_MSVV)) + _WON)
+def allocate_msvv(spark, d):
+    """K1, best bid scaled by the spent share first."""
+    return _allocate(spark, d, "msvv")
+
+
+_TRIALS_SQL = """SELECT trial, row_number() OVER (PARTITION BY trial
+  ORDER BY md5(CAST(seq AS VARCHAR) || ':0:' || CAST(trial AS VARCHAR)), seq) AS seq, keyword
+  FROM (SELECT seq, keyword, unnest(range(0, 4)) AS trial FROM q)"""
+
+
+@query("competitive_ratio", _allocate_sql(_FIRST, _TRIALS_SQL) + """,
+r AS (SELECT trial, sum(won.b) AS revenue FROM run GROUP BY trial)
+SELECT round(CAST(avg(revenue) AS DOUBLE), 6) AS mean_revenue, count(*) AS trials,
+  (SELECT CAST(sum(budget) AS DOUBLE) FROM bu) AS best,
+  round(CAST(avg(revenue) AS DOUBLE) / (SELECT CAST(sum(budget) AS DOUBLE) FROM bu), 6) AS ratio FROM r""")
+def competitive_ratio(spark, d):
+    """D18 + K2: four shuffled streams, greedy."""
+    q, b, bu = _parts(spark, d)
+    r = A.competitive_ratio(A.trial_revenues(q, b, bu, 4), bu)
+    return r.select(F.round(F.col("mean_revenue").cast("double"), 6).alias("mean_revenue"), "trials",
+                    F.col("best").cast("double").alias("best"), F.round(F.col("ratio").cast("double"), 6).alias("ratio"))
