@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from lodestar.functions.text import tokenize, tokens
 from lodestar.operators import classify as C
+from lodestar.operators import embed as E
 from lodestar.operators import text as X
+from lodestar.operators import vectors as VS
 from lodestar.plans.iterate import materialize
 from lodestar.plans.registry import query
+from lodestar.session import checkpoint_dir
 from lodestar.sources import files
 from lodestar.sources import standins as S
 from lodestar.sources.tables import Tables
@@ -296,3 +301,65 @@ def q_logistic_dense(spark, d):
     e = Tables(spark, d).embeddings.select("vec_id", "label", array_to_vector(F.col("embedding").cast("array<double>")).alias("features"))
     model = C.fit_logistic(e.where("vec_id % 5 <> 0"), "features", "label")
     return C.accuracy(model.transform(e.where("vec_id % 5 = 0")).select("label", F.col("prediction").cast("int").alias("pred")))
+
+
+@query("saved_model", NB_SQL + " SELECT doc_id, label, pred FROM pred")
+def q_saved_model(spark, d):
+    """A fitted naive Bayes model is saved, loaded and then predicts."""
+    ld, train, feats, bf = _nb_parts(spark, d)
+    model = C.fit_bernoulli_nb(bf.join(train.select("doc_id"), "doc_id", "left_semi"), train.select("doc_id", "label"), feats)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/lodestar-files/{uuid.uuid4().hex}"
+    files.save_model(path, model=model)
+    loaded = files.load_model(spark, path, "model")["model"]
+    test = ld.where(F.col("split") == "test")
+    pred = C.predict_bernoulli_nb(loaded, bf.join(test.select("doc_id"), "doc_id", "left_semi"), test)
+    return test.select("doc_id", "label").join(pred, "doc_id")
+
+
+def _embed_docs(spark, d):
+    return Tables(spark, d).documents.select("doc_id", tokenize(F.col("text")).alias("tokens"))
+
+
+SMALL = E.Config(dim=16, epochs=2, min_count=5, alpha=0.05)  # of the catalogue's trainers
+
+
+def _near(vectors, top: int = 3):
+    """The nearest words of the 50 most frequent ones."""
+    first = X.restrict_vocab(X.build_vocab(vectors.select("word", "n"), 0), 50).select("word")
+    q = first.select(F.col("word").alias("qid"), F.col("word").alias("key"), F.lit(1.0).alias("weight"))
+    near = VS.most_similar(vectors.select(F.col("word").alias("key"), F.col("vin").alias("vec")), q, top)
+    return near.select(F.col("qid").alias("word"), "rank", F.col("key").alias("near"), F.round("score", 6).alias("score"))
+
+
+@query("cbow_neighbours")
+def q_cbow(spark, d):
+    """H2: continuous bag of words with negative sampling on all documents."""
+    return _near(E.train(_embed_docs(spark, d), SMALL, mode="cbow").words)
+
+
+@query("skipgram_neighbours")
+def q_skipgram(spark, d):
+    """H2: skip-gram with negative sampling on all documents."""
+    return _near(E.train(_embed_docs(spark, d), SMALL, mode="sg", epochs=1).words)
+
+
+@query("document_vectors_dbow")
+def q_dbow(spark, d):
+    """H3: a vector per document, trained with the words (PV-DBOW)."""
+    return E.train(_embed_docs(spark, d), SMALL, mode="dbow").docs
+
+
+@query("document_vectors_dm")
+def q_dm(spark, d):
+    """H3: a vector per document, trained with the words (PV-DM)."""
+    return E.train(_embed_docs(spark, d), SMALL, mode="dm").docs
+
+
+@query("document_vectors_frozen")
+def q_frozen(spark, d):
+    """H4: words learned on the training split are read only; every document's
+    vector is fitted against them by itself."""
+    ids = Tables(spark, d).labels.where("doc_id % 5 <> 0").select("doc_id").distinct()
+    docs = _embed_docs(spark, d)
+    words = E.train(docs.join(ids, "doc_id", "left_semi"), SMALL, mode="cbow").words
+    return E.infer(docs, words, SMALL, mode="dbow", epochs=3)
