@@ -10,12 +10,16 @@ cosine to the members), so no vertex pairs are formed.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions.vector import dot, l2_normalize
 from lodestar.operators.vectors import mean_vector
-from lodestar.plans.iterate import discard, materialize
+from lodestar.plans.blocks import block_apply, matrix
+from lodestar.plans.iterate import NotConverged, discard, materialize
 
 
 def degrees(edges: DataFrame) -> DataFrame:
@@ -79,73 +83,132 @@ def relabel(membership: DataFrame) -> DataFrame:
     return membership.join(ranked, "community").select("id", F.col("label").alias("community"))
 
 
-def local_moving(vertices: DataFrame, edges: DataFrame, alpha: float, max_rounds: int = 15,
-                 seed: int = 0, membership: DataFrame | None = None) -> tuple[DataFrame, int]:
-    """Synchronous local moving with gain
-    ``alpha * dQ_newman + (1 - alpha) * dQ_attr``.
+def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: float) -> DataFrame:
+    """``(id, community, gain)``: for every mover the community with the
+    greatest gain among all ``targets``, taken as if no edge led there.
+
+    ``movers(id, A, k, kxa, dA, have, u)`` with ``have`` the best gain among the
+    neighbours' communities, ``targets(community, dB, centroid)``. Movers and
+    targets meet by blocks; a mover whose bound over a block (its degree term at
+    the block's least ``dB``, the attribute term at the block's longest centroid)
+    does not exceed ``have`` and 0 is not multiplied at all."""
+    schema = T.StructType([T.StructField("id", movers.schema["id"].dataType), T.StructField("community", targets.schema["community"].dataType),
+                           T.StructField("gain", T.DoubleType())])
+
+    def run(x: pa.Table, c: pa.Table) -> pa.Table:
+        empty = pa.table({"id": x.column("id").slice(0, 0), "community": c.column("community").slice(0, 0), "gain": pa.array([], pa.float64())})
+        if not (x.num_rows and c.num_rows):
+            return empty
+        k, kxa, d_a, have = (x.column(n).to_numpy(zero_copy_only=False) for n in ("k", "kxa", "dA", "have"))
+        d_b, cen = c.column("dB").to_numpy(zero_copy_only=False), matrix(c.column("centroid"))
+        leave = alpha * (-kxa / m - k * (k - d_a) / (2 * m * m))
+        bound = leave - alpha * k * d_b.min() / (2 * m * m) + (1 - alpha) * np.sqrt((cen * cen).sum(axis=1).max())
+        open_ = np.flatnonzero(bound > np.maximum(have, 0.0))
+        if not len(open_):
+            return empty
+        u = matrix(x.column("u").take(pa.array(open_)))
+        gain = leave[open_, None] - alpha * k[open_, None] * d_b / (2 * m * m) + (1 - alpha) * np.einsum("xd,cd->xc", u, cen)
+        names = c.column("community").to_pylist()
+        order = np.array(sorted(range(len(names)), key=lambda i: names[i]))  # equal gains: the least community
+        at = {n: i for i, n in enumerate(names)}
+        own = [(r, at[a]) for r, a in enumerate(x.column("A").take(pa.array(open_)).to_pylist()) if a in at]
+        if own:
+            gain[tuple(np.array(own).T)] = -np.inf
+        pick = order[gain[:, order].argmax(axis=1)]
+        best = gain[np.arange(len(open_)), pick]
+        good = np.flatnonzero(best > 0)
+        return pa.table({"id": x.column("id").take(pa.array(open_[good])), "community": c.column("community").take(pa.array(pick[good])),
+                         "gain": pa.array(best[good])})
+
+    return block_apply(movers.select("id", "A", "k", "kxa", "dA", "have", "u"), targets, ["id"], ["community"], run, schema)
+
+
+def best_moves(mem: DataFrame, both: DataFrame, deg: DataFrame, unit: DataFrame, alpha: float, m: float, moving) -> DataFrame:
+    """``(id, community, gain)``: the best strictly positive move of every
+    vertex that ``moving(column)`` picks, over all communities that keep a
+    member which does not move. ``both`` has every edge in both directions."""
+    cen = mean_vector(unit.join(mem, "id").select("community", F.col("u").alias("vec")), ["community"], "vec") \
+        .select("community", F.col("mean").alias("centroid"))
+    per = mem.join(deg, "id", "left").groupBy("community").agg(
+        F.sum(F.coalesce("k", F.lit(0.0))).alias("d"), F.max((~moving(F.col("id"))).cast("int")).alias("stays"))
+    com = materialize(per.join(cen, "community"))
+    targets = com.where("stays = 1").select("community", F.col("d").alias("dB"), "centroid")
+    kxc = (both.join(mem.select(F.col("id").alias("dst"), "community"), "dst").where(moving(F.col("src")))
+               .groupBy(F.col("src").alias("id"), "community").agg(F.sum("weight").alias("kxc")))
+    x = (mem.where(moving(F.col("id"))).select("id", F.col("community").alias("A"))
+            .join(deg, "id", "left").fillna(0.0, ["k"])
+            .join(com.select(F.col("community").alias("A"), F.col("d").alias("dA")), "A").join(unit, "id"))
+    near = kxc.join(x, "id")
+    own = near.where(F.col("community") == F.col("A")).select("id", F.col("kxc").alias("kxa"))
+    near = near.where(F.col("community") != F.col("A")).join(own, "id", "left").fillna(0.0, ["kxa"]).join(targets, "community")
+    dq = (F.col("kxc") - F.col("kxa")) / m - F.col("k") * (F.col("dB") - F.col("dA") + F.col("k")) / (2 * m * m)
+    near = materialize(near.select("id", "community", (F.lit(alpha) * dq + F.lit(1 - alpha) * dot("u", "centroid")).alias("gain")))
+    have = near.groupBy("id").agg(F.max("gain").alias("have"))
+    movers = x.join(own, "id", "left").join(have, "id", "left").fillna(0.0, ["kxa", "have"])
+    far = best_by_attributes(movers, targets, alpha, m)
+    best = near.unionByName(far).where(F.col("gain") > 0).groupBy("id").agg(
+        F.max_by(F.struct("community", "gain"), F.struct(F.col("gain"), -F.col("community"))).alias("b")).select("id", "b.*")
+    out = materialize(best)
+    discard(com, near)
+    return out
+
+
+def local_moving(vertices: DataFrame, edges: DataFrame, alpha: float, sweeps: int = 15, seed: int = 0,
+                 membership: DataFrame | None = None, strict: bool = False) -> tuple[DataFrame, int]:
+    """Local moving with gain ``alpha * dQ_newman + (1 - alpha) * dQ_attr``
+    over all communities.
 
     dQ_newman for moving x from A to B (k = degree of x, m = total weight,
     d_C = community degree with x counted in A):
     ``(k_xB - k_xA\\x) / m - k * (d_B - d_A + k) / (2 m^2)``;
-    dQ_attr = affinity of x to B. Each round the half of the vertices picked
-    by a round-salted hash moves to its best strictly positive target among
-    the communities of its neighbours that keep a non-moving member (moving
-    everyone at once lets neighbours swap forever). Stops when nothing moves
-    or after ``max_rounds``. Returns (membership, rounds)."""
-    mem = vertices.select("id", F.col("id").alias("community")) if membership is None else membership
-    mem = materialize(mem)
-    deg = materialize(degrees(edges))
-    m_tot = edges.agg(F.sum("weight")).first()[0] or 0.0
-    if m_tot == 0:
+    dQ_attr = affinity of x to B (the gain has no term for leaving A).
+
+    A sweep visits every vertex once, in two halves dealt by a hash of id, seed
+    and sweep: a half moves at once, each vertex to its best strictly positive
+    target that keeps a member of the other half (moving everyone at once lets
+    neighbours swap forever). The method ends when a sweep moves nothing, and by
+    its own definition after ``sweeps`` sweeps; with ``strict`` that raises
+    :class:`NotConverged`. Returns (membership, sweeps made)."""
+    mem = materialize(vertices.select("id", F.col("id").alias("community")) if membership is None else membership.select("id", "community"))
+    m = float(edges.agg(F.sum("weight")).first()[0] or 0.0)
+    if m == 0:
         return mem, 0
+    deg = materialize(degrees(edges))
     both = edges.where(F.col("src") != F.col("dst")).select("src", "dst", "weight")
     both = materialize(both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")))
     unit = materialize(vertices.select("id", l2_normalize(F.col("attrs")).alias("u")))
-    m = float(m_tot)
-    rounds = 0
-    for r in range(1, max_rounds + 1):
-        rounds = r
-        cur = mem.select("id", F.col("community").alias("A"))
-        kxc = (both.join(mem.select(F.col("id").alias("dst"), "community"), "dst")
-                   .groupBy(F.col("src").alias("id"), "community").agg(F.sum("weight").alias("kxc")))
-        dcom = deg.join(mem, "id").groupBy("community").agg(F.sum("k").alias("d"))
-        cen = centroids(vertices, mem)
-        x = cur.join(deg, "id", "left").fillna(0.0, ["k"])
-        own = kxc.join(cur, "id").where(F.col("community") == F.col("A")).select("id", F.col("kxc").alias("kxa"))
-        x = (x.join(own, "id", "left").fillna(0.0, ["kxa"])
-              .join(dcom.select(F.col("community").alias("A"), F.col("d").alias("dA")), "A"))
-        cand = (kxc.join(x, "id").where(F.col("community") != F.col("A"))
-                   .join(dcom.select("community", F.col("d").alias("dB")), "community")
-                   .join(cen, "community").join(unit, "id"))
-        dq = (F.col("kxc") - F.col("kxa")) / m - F.col("k") * (F.col("dB") - F.col("dA") + F.col("k")) / (2 * m * m)
-        gain = F.lit(alpha) * dq + F.lit(1 - alpha) * dot("u", "centroid")
-        def moving(c):
-            return F.pmod(F.xxhash64(c, F.lit(seed), F.lit(r)), F.lit(2)) == 0
-        # a target must keep a member this round: some neighbour that stays
-        stable = (both.join(mem.select(F.col("id").alias("dst"), "community"), "dst")
-                      .where(~moving(F.col("dst"))).select(F.col("src").alias("id"), "community").distinct())
-        cand = cand.join(stable, ["id", "community"], "left_semi")
-        best = (cand.withColumn("gain", gain).where((F.col("gain") > 0) & moving(F.col("id")))
-                    .groupBy("id").agg(F.max_by("community", F.struct(F.col("gain"), -F.col("community"))).alias("B")))
-        new = materialize(mem.join(best, "id", "left")
-                          .select("id", F.coalesce("B", "community").alias("community"),
-                                  F.col("B").isNotNull().alias("moved")))
-        moved = new.where("moved").count()
-        discard(mem)
-        mem = new.drop("moved")
+    made = 0
+    for sweep in range(1, sweeps + 1):
+        made, moved = sweep, 0
+        for half in range(2):
+            def moving(c):
+                return F.pmod(F.xxhash64(c, F.lit(seed), F.lit(sweep)), F.lit(2)) == half  # noqa: B023  used before the next half
+            best = best_moves(mem, both, deg, unit, alpha, m, moving)
+            n = best.count()
+            if n:
+                after = materialize(mem.join(best.select("id", F.col("community").alias("B")), "id", "left")
+                                    .select("id", F.coalesce("B", "community").alias("community")))
+                discard(mem)
+                mem = after
+            discard(best)
+            moved += n
         if moved == 0:
             break
-    return mem, rounds
+    else:
+        if strict:
+            raise NotConverged(f"vertices still move after {sweeps} sweeps")
+    discard(deg, both, unit)
+    return mem, made
 
 
-def sac(vertices: DataFrame, edges: DataFrame, alpha: float, max_rounds: int = 15, seed: int = 0) -> DataFrame:
+def sac(vertices: DataFrame, edges: DataFrame, alpha: float, sweeps: int = 15, seed: int = 0) -> DataFrame:
     """Local moving, contraction, local moving on the contracted graph,
     then expansion to the original vertices; dense labels (E6)."""
-    m1, _ = local_moving(vertices, edges, alpha, max_rounds, seed)
+    m1, _ = local_moving(vertices, edges, alpha, sweeps, seed)
     m1 = materialize(relabel(m1))
     cv, ce = contract(vertices, edges, m1)
     cv, ce = materialize(cv), materialize(ce)
-    m2, _ = local_moving(cv, ce, alpha, max_rounds, seed + 1)
+    m2, _ = local_moving(cv, ce, alpha, sweeps, seed + 1)
     final = m1.join(m2.select(F.col("id").alias("community"), F.col("community").alias("c2")), "community")
     return relabel(final.select("id", F.col("c2").alias("community")))
 

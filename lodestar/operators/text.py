@@ -39,7 +39,7 @@ def doc_frequency(docs: DataFrame, stopwords: list[str] | DataFrame, tokens: str
     stop words removed (label 1 = positive)."""
     d = docs.select(label, F.explode(F.array_distinct(tokens)).alias("word"))
     if isinstance(stopwords, DataFrame):
-        d = d.join(F.broadcast(stopwords.select(F.col(stopwords.columns[0]).alias("word"))), "word", "left_anti")
+        d = d.join(stopwords.select(F.col(stopwords.columns[0]).alias("word")), "word", "left_anti")
     else:
         d = d.where(~F.col("word").isin(list(stopwords)))
     return d.groupBy("word").agg(F.count(F.when(F.col(label) == 1, 1)).alias("n_pos"),

@@ -7,11 +7,14 @@ broadcast, so the number of queries has no limit.
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.functions.vector import dot, l2_normalize, norm
-from lodestar.plans.blocks import block_pairs
+from lodestar.plans.blocks import block_apply, matrix
 from lodestar.plans.ranking import top_k_per_group
 
 
@@ -61,15 +64,63 @@ def _query_vectors(unit: DataFrame, queries: DataFrame, key: str) -> DataFrame:
     return m.select("qid", l2_normalize(F.col("mean")).alias("q"))
 
 
+def _best(scores: np.ndarray, keys: list, rank: np.ndarray, left_out: list[list], topn: int) -> tuple[list, list, list]:
+    """(query row, key row, score) of the ``topn`` best keys of every query of
+    a block, equal scores by key."""
+    place = {k: i for i, k in enumerate(keys)}
+    rows, cols, values = [], [], []
+    for q, own in enumerate(left_out):
+        s = scores[q].copy()
+        s[[place[k] for k in own if k in place]] = -np.inf
+        s[np.isnan(s)] = -np.inf
+        at = np.arange(len(s)) if len(s) <= topn else np.flatnonzero(s >= np.partition(s, len(s) - topn)[len(s) - topn])
+        at = at[np.lexsort((rank[at], -s[at]))][:topn]
+        at = at[s[at] > -np.inf]
+        rows += [q] * len(at)
+        cols += at.tolist()
+        values += s[at].tolist()
+    return rows, cols, values
+
+
+def _search(vectors: DataFrame, queries: DataFrame, score, topn: int, key: str) -> DataFrame:
+    """Top ``topn`` keys per query: ``queries(qid, terms, inputs)`` and the unit
+    vectors meet by blocks, ``score(unit matrix, terms)`` gives a block's
+    scores, and only the best of every block pair become rows."""
+    unit = vectors.select(F.col(key), l2_normalize(F.col("vec")).alias("u"))
+    schema = T.StructType([T.StructField("qid", queries.schema["qid"].dataType), T.StructField(key, unit.schema[key].dataType),
+                           T.StructField("score", T.DoubleType())])
+
+    def run(a: pa.Table, b: pa.Table) -> pa.Table:
+        keys = a.column(key).to_pylist()
+        rank = np.empty(len(keys), np.int64)
+        rank[sorted(range(len(keys)), key=lambda i: (keys[i] is None, keys[i]))] = np.arange(len(keys))
+        u = matrix(a.column("u"))
+        scores = np.zeros((b.num_rows, 0)) if not len(keys) else score(u, b)
+        rows, cols, values = _best(scores, keys, rank, [x or [] for x in b.column("inputs").to_pylist()], topn)
+        return pa.table({"qid": b.column("qid").take(pa.array(rows, pa.int64())),
+                         key: a.column(key).take(pa.array(cols, pa.int64())), "score": pa.array(values, pa.float64())})
+
+    found = block_apply(unit, queries, [key], ["qid"], run, schema)
+    return top_k_per_group(found, ["qid"], [F.col("score").desc(), F.col(key)], topn, salt_key=[key])
+
+
+def _inputs(queries: DataFrame, key: str) -> DataFrame:
+    """The keys that a query names: they are left out of its result."""
+    return queries.groupBy("qid").agg(F.collect_set(key).alias("inputs"))
+
+
 def most_similar(vectors: DataFrame, queries: DataFrame, topn: int = 10, key: str = "key") -> DataFrame:
     """``queries(qid, key, weight)`` with weight +1 (positive) or -1
     (negative). Cosine of every vector to the unit mean of the weighted unit
     query vectors, inputs excluded, top ``topn`` per query (ties by key)."""
     unit = vectors.select(F.col(key), l2_normalize(F.col("vec")).alias("u"))
-    qv = _query_vectors(unit, queries, key)
-    scored = block_pairs(unit, qv, [key], ["qid"]).select("qid", key, dot("u", "q").alias("score"))
-    scored = scored.join(queries.select("qid", key), ["qid", key], "left_anti")
-    return top_k_per_group(scored, ["qid"], [F.col("score").desc(), F.col(key)], topn, salt_key=[key])
+    qv = _query_vectors(unit, queries, key).join(_inputs(queries, key), "qid")
+
+    def score(u: np.ndarray, b: pa.Table) -> np.ndarray:
+        # summed in the same order wherever a vector stands, so equal vectors tie
+        return np.einsum("qd,kd->qk", matrix(b.column("q")), u)
+
+    return _search(vectors, qv, score, topn, key)
 
 
 def most_similar_cosmul(vectors: DataFrame, queries: DataFrame, topn: int = 10, key: str = "key") -> DataFrame:
@@ -77,27 +128,30 @@ def most_similar_cosmul(vectors: DataFrame, queries: DataFrame, topn: int = 10,
     unit = vectors.select(F.col(key), l2_normalize(F.col("vec")).alias("u"))
     terms = queries.join(unit, key).groupBy("qid").agg(
         F.collect_list(F.struct("weight", "u")).alias("terms"))  # a query's own few vectors
+    terms = terms.join(_inputs(queries, key), "qid")
 
-    def product(sign: int):
-        own = F.filter("terms", lambda t: t["weight"] * sign > 0)
-        return F.aggregate(own, F.lit(1.0), lambda acc, t: acc * (1 + dot(F.col("u"), t["u"])) / 2)
+    def score(u: np.ndarray, b: pa.Table) -> np.ndarray:
+        out = []
+        for own in b.column("terms").to_pylist():
+            near = (1 + np.einsum("td,kd->tk", np.array([t["u"] for t in own], float), u)) / 2
+            sign = np.array([t["weight"] for t in own])
+            out.append(near[sign > 0].prod(axis=0) / (near[sign < 0].prod(axis=0) + 1e-6))
+        return np.array(out).reshape(b.num_rows, len(u))
 
-    scored = block_pairs(unit, terms, [key], ["qid"]).select(
-        "qid", key, (product(1) / (product(-1) + F.lit(1e-6))).alias("score"))
-    scored = scored.join(queries.select("qid", key), ["qid", key], "left_anti")
-    return top_k_per_group(scored, ["qid"], [F.col("score").desc(), F.col(key)], topn, salt_key=[key])
+    return _search(vectors, terms, score, topn, key)
 
 
 def doesnt_match(vectors: DataFrame, groups: DataFrame, key: str = "key") -> DataFrame:
     """Per ``qid`` the key whose unit vector has the lowest cosine to
-    the unit mean of the group's unit vectors; unknown keys are dropped;
-    ties go to the smallest key."""
+    the unit mean of the group's unit vectors; unknown keys are dropped, and a
+    group without a known key has a null; ties go to the smallest key."""
     unit = vectors.select(F.col(key), l2_normalize(F.col("vec")).alias("u"))
     j = groups.select("qid", key).join(unit, key)
     m = mean_vector(j.select("qid", F.col("u").alias("vec")), ["qid"], "vec") \
         .select("qid", l2_normalize(F.col("mean")).alias("m"))
     s = j.join(m, "qid").select("qid", key, dot("u", "m").alias("score"))
-    return s.groupBy("qid").agg(F.min_by(key, F.struct("score", key)).alias("odd"))
+    odd = s.groupBy("qid").agg(F.min_by(key, F.struct("score", key)).alias("odd"))
+    return groups.select("qid").distinct().join(odd, "qid", "left")
 
 
 def analogy_accuracy(vectors: DataFrame, questions: DataFrame, counts: DataFrame | None = None,

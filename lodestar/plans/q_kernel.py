@@ -40,12 +40,34 @@ def kernel_regress(spark, d):
     return r.select("id", F.round("pred", 6).alias("pred"))
 
 
-@query("stacked_kernel_regress")
+def _stacked_sql() -> str:
+    """The fit by successive residuals: each horizon's prediction less its fit
+    on the ones before it, so that the slopes are those of simple regressions."""
+    hs = [16, 32, 64]
+    w = "w AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x, CAST(label AS DOUBLE) AS y, vec_id % 3 AS part FROM embeddings)"
+    kr = [f"""c{h} AS (SELECT id, y, part, list_transform(x[1:{h}], lambda e: e - list_avg(x[1:{h}])) AS c, {h} AS n FROM w),
+s{h} AS (SELECT *, sqrt(list_dot_product(c, c) / (n - 1)) AS sd FROM c{h}),
+k{h} AS (SELECT t.id, t.part, t.y, sum(r.y * exp(2 * list_dot_product(t.c, r.c) / (t.n * t.sd * r.sd)))
+  / sum(exp(2 * list_dot_product(t.c, r.c) / (t.n * t.sd * r.sd))) AS p FROM s{h} t CROSS JOIN s{h} r
+  WHERE t.part <> 0 AND r.part = 0 GROUP BY t.id, t.part, t.y)""" for h in hs]
+    return f"""WITH {w}, {', '.join(kr)},
+f AS (SELECT a.id, a.part, a.y, a.p AS x1, b.p AS x2, c.p AS x3 FROM k16 a JOIN k32 b ON b.id = a.id JOIN k64 c ON c.id = a.id),
+g1 AS (SELECT avg(y) AS my, avg(x1) AS m1, avg(x2) AS m2, avg(x3) AS m3 FROM f WHERE part = 1),
+z1 AS (SELECT id, part, y, x1 - m1 AS q1, x2 - m2 AS x2, x3 - m3 AS x3, my FROM f, g1),
+g2 AS (SELECT sum(q1 * x2) / sum(q1 * q1) AS r12, sum(q1 * x3) / sum(q1 * q1) AS r13 FROM z1 WHERE part = 1),
+z2 AS (SELECT id, part, y, my, q1, x2 - r12 * q1 AS q2, x3 - r13 * q1 AS x3 FROM z1, g2),
+g3 AS (SELECT sum(q2 * x3) / sum(q2 * q2) AS r23 FROM z2 WHERE part = 1),
+z3 AS (SELECT id, part, y, my, q1, q2, x3 - r23 * q2 AS q3 FROM z2, g3),
+b AS (SELECT sum(q1 * y) / sum(q1 * q1) AS b1, sum(q2 * y) / sum(q2 * q2) AS b2, sum(q3 * y) / sum(q3 * q3) AS b3 FROM z3 WHERE part = 1)
+SELECT round(avg((y - my - b1 * q1 - b2 * q2 - b3 * q3) ** 2), 6) AS mse, count(*) AS n_test FROM z3, b WHERE part = 2"""
+
+
+@query("stacked_kernel_regress", _stacked_sql())
 def stacked(spark, d):
     """Horizons 16 / 32 / 64 components; OLS on train2; MSE on test."""
     w = _windows(spark, d)
     ft, coef = K.stacked_kernel_regress(w.where("part = 0"), w.where("part = 1"), w.where("part = 2"), [16, 32, 64])
-    return ft.agg(F.avg((F.col("y") - F.col("pred")) ** 2).alias("mse"), F.count(F.lit(1)).alias("n_test"))
+    return ft.agg(F.round(F.avg((F.col("y") - F.col("pred")) ** 2), 6).alias("mse"), F.count(F.lit(1)).alias("n_test"))
 
 
 LI_SQL = "li AS (SELECT l_quantity AS x, l_extendedprice AS y FROM lineitem)"

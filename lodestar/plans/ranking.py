@@ -78,15 +78,19 @@ def global_prefix_sum(df: DataFrame, order: list[Column], value: Column | None,
 def top_k_per_group(df: DataFrame, group: list[str], order: list[Column], k: Column | int,
                     rank_name: str = "rank", salt_buckets: int = 16,
                     salt_key: list[str] | None = None) -> DataFrame:
-    """Top-``k`` rows per group in ``order`` with a salted first stage.
+    """Top-``k`` rows per group in ``order``.
 
-    Stage 1 keeps the top k of each (group, salt) slice, so a hot group is
-    split over ``salt_buckets`` tasks; stage 2 ranks at most
-    ``salt_buckets * k`` survivors per group. ``k`` may be a column (per-group
-    size). The order must be total (add a unique tie-break).
+    For a number up to Spark's window-group-limit threshold every task keeps its
+    own k best rows of a group before the shuffle, so a hot group arrives as k
+    rows a task and one window does. A larger ``k``, or one that is a column
+    (per-group size), takes a salted first stage: the top k of each (group, salt)
+    slice, so that a hot group is split over ``salt_buckets`` tasks, then at most
+    ``salt_buckets * k`` survivors per group. The order must be total (add a
+    unique tie-break).
     """
     kc = F.lit(k) if isinstance(k, int) else k
-    if salt_buckets and salt_buckets > 1:
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if not (isinstance(k, int) and k <= limit) and salt_buckets and salt_buckets > 1:
         keys = salt_key or [c for c in df.columns if c not in group][:2]
         salted = df.withColumn("__salt", F.pmod(F.xxhash64(*[F.col(c) for c in keys]), F.lit(salt_buckets)))
         w1 = Window.partitionBy(*group, "__salt").orderBy(*order)
