@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestar.plans.iterate import discard, fixpoint, materialize
+from lodestar.plans.ranking import global_row_number
 
 FOLD = 12  # levels of a search kept as tables of their own
 
@@ -238,15 +241,52 @@ def shortest_paths(edges: DataFrame, landmarks: DataFrame, max_hops: int | None
     return reduce(DataFrame.unionByName, levels)
 
 
-def closeness(edges: DataFrame, landmarks: DataFrame | None = None) -> DataFrame:
-    """``1 / sum(distances to the vertex)``; null when the sum is 0.
+BITS = 64
+
 
-    With ``landmarks=None`` every vertex is a landmark (all pairs, O(V*E));
-    pass a landmark table to bound the cost."""
-    lm = vertices_of(edges) if landmarks is None else landmarks
-    d = shortest_paths(edges, lm)
-    return d.groupBy(F.col("landmark").alias("id")).agg(F.sum("dist").alias("total")) \
-            .select("id", F.try_divide(F.lit(1.0), F.col("total").cast("double")).alias("closeness"))
+def closeness(edges: DataFrame, landmarks: DataFrame | None = None) -> DataFrame:
+    """``1 / sum(distances to the vertex)``; null when the sum is 0. With
+    ``landmarks=None`` every vertex is a landmark.
+
+    Bit-parallel search: landmarks are numbered and stand for the bits of 64-bit
+    words; a vertex has one row per word with the landmarks it has met. A round
+    sends the bits that were new in the last one over the edges (``bit_or``) and
+    keeps, of all distances, only how many vertices each landmark reached in it.
+    The state is V x landmarks / 64 rows at most."""
+    e = materialize(edges.select("src", "dst").distinct())
+    lm = (vertices_of(e) if landmarks is None else landmarks).select("id").where(F.col("id").isNotNull()).distinct()
+    numbered = materialize(global_row_number(lm, [F.col("id")], "rn").select(
+        "id", F.floor((F.col("rn") - 1) / BITS).alias("word"), F.pmod(F.col("rn") - 1, F.lit(BITS)).cast("int").alias("bit")))
+    one = F.expr("shiftleft(1L, bit)")
+    state = materialize(numbered.select("id", "word", one.alias("seen"), one.alias("new")))
+    met = F.array(*[F.sum(F.shiftrightunsigned("new", i).bitwiseAND(F.lit(1))) for i in range(BITS)])
+    rounds, dist = [], 0
+    while True:
+        dist += 1
+        sent = state.where("new <> 0").join(e.select("src", F.col("dst").alias("id")), "id") \
+                    .groupBy(F.col("src").alias("id"), "word").agg(F.bit_or("new").alias("sent"))
+        seen = F.coalesce("seen", F.lit(0).cast("long"))
+        sent_ = F.coalesce("sent", F.lit(0).cast("long"))
+        after = materialize(state.select("id", "word", "seen").join(sent, ["id", "word"], "full_outer").select(
+            "id", "word", seen.bitwiseOR(sent_).alias("seen"), sent_.bitwiseAND(F.bitwise_not(seen)).alias("new")))
+        discard(state)
+        state = after
+        count = materialize(state.where("new <> 0").groupBy("word").agg(met.alias("met")).withColumn("dist", F.lit(dist)))
+        if count.isEmpty():
+            discard(count)
+            break
+        rounds.append(count)
+        if len(rounds) > FOLD:
+            folded = materialize(reduce(DataFrame.unionByName, rounds))
+            discard(*rounds)
+            rounds = [folded]
+    discard(state, e)
+    if not rounds:
+        return numbered.select("id", F.lit(None).cast("double").alias("closeness"))
+    per = reduce(DataFrame.unionByName, rounds).select("word", F.posexplode("met").alias("bit", "n"), "dist") \
+        .groupBy("word", "bit").agg(F.sum(F.col("n") * F.col("dist")).alias("total"))
+    return numbered.join(per, ["word", "bit"], "left").select(
+        "id", F.try_divide(F.lit(1.0), F.col("total").cast("double")).alias("closeness"))
 
 # ------------------------------------------------------- articulation
 
@@ -378,33 +418,70 @@ def _pair_of(k: Column, n: int) -> tuple[Column, Column]:
     return i, (k - before(i)).cast("long") + i + 1
 
 
-def gnm(spark, n: int, m: int, seed: int = 0) -> DataFrame:
-    """G(n, m): m distinct pairs. Numbers of pairs are drawn by hash in
-    rounds until m different ones are there; rows grow with m, not with n^2."""
+def _bernoulli_positions(total: int, p: float, seed: int, parts: int):
+    """Positions of 0..total-1 taken with probability ``p`` each: a range of
+    positions walks from one taken position to the next by geometric gaps."""
+    bounds = [total * i // parts for i in range(parts + 1)]
+
+    def run(batches):
+        for b in batches:
+            for i in b.column("id").to_pylist():
+                rng = np.random.Generator(np.random.Philox(key=(seed << 32) + i))
+                at, end = bounds[i] - 1, bounds[i + 1]
+                while at < end:
+                    n = int(min(1_000_000, 1.05 * (end - at) * p + 64))
+                    steps = at + np.cumsum(np.minimum(rng.geometric(p, n), end - at + 1))
+                    taken = steps[steps < end]
+                    yield pa.RecordBatch.from_arrays([pa.array(taken, pa.int64())], names=["k"])
+                    at = end if len(taken) < n else int(steps[-1])
+
+    return run
+
+
+def _pairs_by_chance(spark, n: int, p: float, seed: int) -> DataFrame:
     total = n * (n - 1) // 2
-    if m > total:
-        raise ValueError(f"{m} edges asked of {total} pairs")
-    if 2 * m > total:
-        return complete(spark, n).orderBy(F.xxhash64("src", "dst", F.lit(seed)), "src", "dst").limit(m)
-    draws = 2 * m + 64
-    while True:
-        k = spark.range(draws).select("id", F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(total)).alias("k"))
-        k = k.groupBy("k").agg(F.min("id").alias("first"))
-        if k.count() >= m:
-            break
-        draws *= 2
-    src, dst = _pair_of(F.col("k"), n)
-    return k.orderBy("first").limit(m).select(src.alias("src"), dst.alias("dst"))
+    if total == 0 or p <= 0:
+        return spark.createDataFrame([], "k long")
+    parts = int(max(1, min(total, spark.sparkContext.defaultParallelism + total * p // 2_000_000)))
+    return spark.range(parts, numPartitions=parts).mapInArrow(_bernoulli_positions(total, min(1.0, p), seed, parts), "k long")
 
 
 def gnp(spark, n: int, p: float, seed: int = 0) -> DataFrame:
-    """Erdos-Renyi G(n, p): the number of edges is drawn from the
-    binomial's normal form, then that many pairs."""
-    import random
+    """Erdos-Renyi G(n, p): every pair i < j by itself with probability
+    ``p``, at every size; rows grow with the edges, not with n^2."""
+    src, dst = _pair_of(F.col("k"), n)
+    return _pairs_by_chance(spark, n, p, seed).select(src.alias("src"), dst.alias("dst"))
+
+
+def gnm(spark, n: int, m: int, seed: int = 0) -> DataFrame:
+    """G(n, m), uniform over the sets of m pairs. A G(n, p) with slightly
+    more pairs expected than asked is written and counted; whatever its number,
+    all sets of that size are equally likely, so taking away the surplus by the
+    least hashes leaves a uniform set of m. Only the candidates for removal, some
+    multiple of the square root of m, are put in order."""
     total = n * (n - 1) // 2
-    rng = random.Random(seed)
-    if total <= 1 << 16:
-        m = sum(rng.random() < p for _ in range(total))
-    else:
-        m = round(min(total, max(0.0, rng.gauss(total * p, (total * p * (1 - p)) ** 0.5))))
-    return gnm(spark, n, m, seed)
+    if not 0 <= m <= total:
+        raise ValueError(f"{m} edges asked of {total} pairs")
+    if m == 0:
+        return spark.createDataFrame([], "src long, dst long")
+    p = min(1.0, (m + 6 * m ** 0.5 + 10) / total)
+    for attempt in range(64):
+        drawn = materialize(_pairs_by_chance(spark, n, p, seed + (attempt << 20)))
+        have = drawn.count()
+        if have >= m:
+            break
+        discard(drawn)
+    surplus = have - m
+    if surplus:
+        h = F.xxhash64("k", F.lit(seed))
+        share = min(1.0, (surplus + 6 * surplus ** 0.5 + 16) / have)
+        while True:  # hashes below this bound hold the least ``surplus`` ones
+            bound = min((1 << 63) - 1, int(share * (1 << 64)) - (1 << 63))
+            low = drawn.withColumn("h", h).where(F.col("h") <= bound)
+            ranked = materialize(global_row_number(low, [F.col("h"), F.col("k")], "rn"))
+            if share == 1.0 or ranked.count() >= surplus:
+                break
+            share = min(1.0, 2 * share)
+        drawn = drawn.join(ranked.where(F.col("rn") <= surplus).select("k"), "k", "left_anti")
+    src, dst = _pair_of(F.col("k"), n)
+    return drawn.select(src.alias("src"), dst.alias("dst"))

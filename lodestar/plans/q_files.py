@@ -7,7 +7,9 @@ import uuid
 from pyspark.sql import functions as F
 
 from lodestar.operators import graph as G
+from lodestar.operators import vectors as VS
 from lodestar.plans.q_graph import PS, SIMPLE_PS
+from lodestar.plans.ranking import global_row_number
 from lodestar.plans.registry import query
 from lodestar.session import checkpoint_dir
 from lodestar.sources import files
@@ -144,3 +146,88 @@ def file_models(spark, d):
     model = Tables(spark, d).embeddings.groupBy("label").agg(F.count(F.lit(1)).alias("n"))
     files.save_model(path, classes=model)
     return files.load_model(spark, path, "classes")["classes"]
+
+
+@query("file_lines", """
+SELECT row_number() OVER (ORDER BY p_partkey) - 1 AS doc_id, array_to_string(string_split(p_name, ' '), ' ') AS text,
+  'T_' || CAST(row_number() OVER (ORDER BY p_partkey) - 1 AS VARCHAR) AS tag FROM part""")
+def file_lines(spark, d):
+    """Lines written in order over several files, numbered and tagged."""
+    path = _folder(spark)
+    Tables(spark, d).part.orderBy("p_partkey").select(F.col("p_name").alias("value")).write.text(path)
+    r = files.read_lines(spark, path, tag_prefix="T")
+    return r.select("doc_id", F.concat_ws(" ", "tokens").alias("text"), F.col("tags")[0].alias("tag"))
+
+
+@query("file_tagged", """
+SELECT lower(n_name) || ' nation' AS text, count(*) AS n FROM nation GROUP BY 1""")
+def file_tagged(spark, d):
+    """``token/TAG`` lines; pairs without a proper tag and lines without
+    pairs go."""
+    path = _folder(spark)
+    n = Tables(spark, d).nation.select(F.regexp_replace("n_name", " ", "/").alias("n"), F.col("n_name"))
+    good = n.select(F.concat(F.regexp_replace("n_name", " ", "\u00a0"), F.lit("/NP Nation/NN x/1 y bare/")).alias("value"))
+    good.unionByName(n.select(F.lit("none/9 plain").alias("value"))).write.text(path)
+    r = files.read_tagged_corpus(spark, path)
+    text = F.regexp_replace(F.concat_ws(" ", "tokens"), "\u00a0", " ")
+    return r.groupBy(text.alias("text")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("file_coo", """
+SELECT l_partkey AS src, l_suppkey + 10000000 AS dst FROM lineitem UNION SELECT l_suppkey + 10000000, l_partkey FROM lineitem""")
+def file_coo(spark, d):
+    """A sparse (row, column, value) table, written and read, as edges."""
+    path = _folder(spark)
+    li = Tables(spark, d).lineitem
+    files.write_table(li.select(F.col("l_partkey").alias("row"), (F.col("l_suppkey") + 10000000).alias("col"), "l_quantity"), path)
+    return G.edges_from_coo(files.read_table(spark, path, "row long, col long, l_quantity double"))
+
+
+# questions: four vectors in a row, in the section of their label
+QUESTIONS_SQL = """v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+voc AS (SELECT vec_id, label, list_transform(v, lambda x: x / sqrt(list_dot_product(v, v))) AS u FROM v
+  WHERE vec_id % 4 <> 3 OR vec_id % 8 = 3),
+qs AS (SELECT vec_id AS a, vec_id + 1 AS b, vec_id + 2 AS c, vec_id + 3 AS e, label FROM v
+  WHERE vec_id % 3 = 0 AND vec_id + 3 IN (SELECT vec_id FROM v))"""
+
+
+@query("analogies", f"""WITH {QUESTIONS_SQL},
+q AS (SELECT qs.*, x.u AS ua, y.u AS ub, z.u AS uc FROM qs JOIN voc x ON x.vec_id = a JOIN voc y ON y.vec_id = b
+  JOIN voc z ON z.vec_id = c JOIN voc w ON w.vec_id = e),
+t AS (SELECT a, b, c, e, label, [ub[i] + uc[i] - ua[i] FOR i IN range(1, len(ua) + 1)] AS t FROM q),
+s AS (SELECT t.label, a, e, vec_id, row_number() OVER (PARTITION BY a ORDER BY list_dot_product(u, t) DESC, 'v' || vec_id) AS rk
+  FROM t CROSS JOIN voc WHERE vec_id NOT IN (a, b, c)),
+r AS (SELECT 'label' || label AS section, (vec_id = e)::INT AS ok FROM s WHERE rk = 1)
+SELECT section, CAST(sum(ok) AS BIGINT) AS correct, count(*) AS total FROM r GROUP BY section
+UNION ALL SELECT 'total', CAST(sum(ok) AS BIGINT), count(*) FROM r""")
+def analogies(spark, d):
+    """A question file in sections, answered by vectors; one in
+    eight vectors is below the frequency that counts."""
+    path = _folder(spark)
+    e = Tables(spark, d).embeddings.select("vec_id", "label", "embedding")
+    name = lambda c: F.concat(F.lit("V"), c.cast("string"))  # noqa: E731  the reader lowers words
+    last = e.select((F.col("vec_id") - 3).alias("vec_id"))
+    rows = e.where("vec_id % 3 = 0").join(last, "vec_id", "left_semi").select(
+        "label", F.lit(1).alias("o"), "vec_id", F.concat_ws(" ", *[name(F.col("vec_id") + i) for i in range(4)]).alias("value"))
+    heads = e.select("label").distinct().select("label", F.lit(0).alias("o"), F.lit(0).cast("long").alias("vec_id"),
+                                                F.concat(F.lit(": label"), F.col("label").cast("string")).alias("value"))
+    heads.unionByName(rows).orderBy("label", "o", "vec_id").select("value").write.text(path)
+    vectors = e.select(F.lower(name(F.col("vec_id"))).alias("key"), F.col("embedding").cast("array<double>").alias("vec"))
+    common = F.when((F.pmod("vec_id", F.lit(4)) != 3) | (F.pmod("vec_id", F.lit(8)) == 3), 1000).otherwise(1)
+    counts = e.select(F.lower(name(F.col("vec_id"))).alias("key"), common.alias("n"))
+    r = VS.analogy_accuracy(vectors, files.read_analogies(spark, path), counts, restrict=counts.where("n > 1").count())
+    return r.select("section", F.col("correct").cast("long").alias("correct"), "total")
+
+
+@query("sorted_orders", """
+SELECT row_number() OVER (ORDER BY o_totalprice DESC, o_orderkey) AS place, o_orderkey, o_totalprice FROM orders""")
+def sorted_orders(spark, d):
+    """E5: the whole table in a total order; the places are taken from the
+    sorted files."""
+    path = _folder(spark)
+    Tables(spark, d).orders.select("o_orderkey", "o_totalprice").orderBy(F.col("o_totalprice").desc(), "o_orderkey") \
+        .write.option("header", True).csv(path)
+    r = files.read_delimited(spark, path, ",", ["o_orderkey", "o_totalprice"], ["long", "double"], skip_header=True)
+    lines = r.withColumn("__f", F.input_file_name()).withColumn("__m", F.monotonically_increasing_id())
+    placed = global_row_number(lines, [F.col("__f"), F.col("__m")], "place")
+    return placed.select("place", "o_orderkey", "o_totalprice")

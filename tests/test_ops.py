@@ -98,7 +98,7 @@ def test_modularity_small(spark):
     q = sum(3 / m - (sum(deg[i] for i in c) / (2 * m)) ** 2 for c in [(0, 1, 2), (3, 4, 5)])
     assert CM.modularity(edges, mem).first()["q"] == pytest.approx(q)
     v = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(6)], "id long, attrs array<double>")
-    lm, rounds = CM.local_moving(v, edges, alpha=1.0, max_rounds=15)
+    lm, rounds = CM.local_moving(v, edges, alpha=1.0)
     labels = {r["id"]: r["community"] for r in lm.collect()}
     assert set(labels) == set(range(6)) and rounds <= 15
     rel = {r["id"]: r["community"] for r in CM.relabel(mem.withColumn("community", F.col("community") + 7)).collect()}
