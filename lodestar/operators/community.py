@@ -83,7 +83,7 @@ def relabel(membership: DataFrame) -> DataFrame:
     return membership.join(ranked, "community").select("id", F.col("label").alias("community"))
 
 
-def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: float) -> DataFrame:
+def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: float, n: int | None = None) -> DataFrame:
     """``(id, community, gain)``: for every mover the community with the
     greatest gain among all ``targets``, taken as if no edge led there.
 
@@ -120,13 +120,16 @@ def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: f
         return pa.table({"id": x.column("id").take(pa.array(open_[good])), "community": c.column("community").take(pa.array(pick[good])),
                          "gain": pa.array(best[good])})
 
-    return block_apply(movers.select("id", "A", "k", "kxa", "dA", "have", "u"), targets, ["id"], ["community"], run, schema)
+    return block_apply(movers.select("id", "A", "k", "kxa", "dA", "have", "u"), targets, ["id"], ["community"], run, schema,
+                       sizes=None if n is None else (n, n))
 
 
-def best_moves(mem: DataFrame, both: DataFrame, deg: DataFrame, unit: DataFrame, alpha: float, m: float, moving) -> DataFrame:
+def best_moves(mem: DataFrame, both: DataFrame, deg: DataFrame, unit: DataFrame, alpha: float, m: float, moving,
+               n: int | None = None) -> DataFrame:
     """``(id, community, gain)``: the best strictly positive move of every
     vertex that ``moving(column)`` picks, over all communities that keep a
-    member which does not move. ``both`` has every edge in both directions."""
+    member which does not move. ``both`` has every edge in both directions, ``n``
+    is the number of vertices, if known."""
     cen = mean_vector(unit.join(mem, "id").select("community", F.col("u").alias("vec")), ["community"], "vec") \
         .select("community", F.col("mean").alias("centroid"))
     per = mem.join(deg, "id", "left").groupBy("community").agg(
@@ -142,14 +145,15 @@ def best_moves(mem: DataFrame, both: DataFrame, deg: DataFrame, unit: DataFrame,
     own = near.where(F.col("community") == F.col("A")).select("id", F.col("kxc").alias("kxa"))
     near = near.where(F.col("community") != F.col("A")).join(own, "id", "left").fillna(0.0, ["kxa"]).join(targets, "community")
     dq = (F.col("kxc") - F.col("kxa")) / m - F.col("k") * (F.col("dB") - F.col("dA") + F.col("k")) / (2 * m * m)
-    near = materialize(near.select("id", "community", (F.lit(alpha) * dq + F.lit(1 - alpha) * dot("u", "centroid")).alias("gain")))
-    have = near.groupBy("id").agg(F.max("gain").alias("have"))
-    movers = x.join(own, "id", "left").join(have, "id", "left").fillna(0.0, ["kxa", "have"])
-    far = best_by_attributes(movers, targets, alpha, m)
-    best = near.unionByName(far).where(F.col("gain") > 0).groupBy("id").agg(
-        F.max_by(F.struct("community", "gain"), F.struct(F.col("gain"), -F.col("community"))).alias("b")).select("id", "b.*")
-    out = materialize(best)
-    discard(com, near)
+    near = near.select("id", "community", (F.lit(alpha) * dq + F.lit(1 - alpha) * dot("u", "centroid")).alias("gain"))
+    order = F.struct(F.col("gain"), -F.col("community"))
+    have = near.groupBy("id").agg(F.max_by("community", order).alias("at"), F.max("gain").alias("have"))
+    movers = materialize(x.join(own, "id", "left").join(have, "id", "left").fillna(0.0, ["kxa", "have"]))
+    far = best_by_attributes(movers, targets, alpha, m, n)
+    found = movers.where("at IS NOT NULL").select("id", F.col("at").alias("community"), F.col("have").alias("gain")).unionByName(far)
+    out = materialize(found.where(F.col("gain") > 0).groupBy("id").agg(F.max_by(F.struct("community", "gain"), order).alias("b"))
+                      .select("id", "b.*"))
+    discard(com, movers)
     return out
 
 
@@ -177,13 +181,14 @@ def local_moving(vertices: DataFrame, edges: DataFrame, alpha: float, sweeps: in
     both = edges.where(F.col("src") != F.col("dst")).select("src", "dst", "weight")
     both = materialize(both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")))
     unit = materialize(vertices.select("id", l2_normalize(F.col("attrs")).alias("u")))
+    size = unit.count()
     made = 0
     for sweep in range(1, sweeps + 1):
         made, moved = sweep, 0
         for half in range(2):
             def moving(c):
                 return F.pmod(F.xxhash64(c, F.lit(seed), F.lit(sweep)), F.lit(2)) == half  # noqa: B023  used before the next half
-            best = best_moves(mem, both, deg, unit, alpha, m, moving)
+            best = best_moves(mem, both, deg, unit, alpha, m, moving, size)
             n = best.count()
             if n:
                 after = materialize(mem.join(best.select("id", F.col("community").alias("B")), "id", "left")

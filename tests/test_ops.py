@@ -304,3 +304,45 @@ def test_dense_classifiers(spark):
     p = 1 / (1 + np.exp(-(x @ w + b)))
     # gradient of the mean loss plus the penalty 1 / (C n) * w
     assert np.abs(x.T @ (p - y) / 100 + w / 100).max() < 1e-4 and abs((p - y).mean()) < 1e-4
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_best_moves_equal_scoring_every_community(spark, seed):
+    """30 vertices, some isolated, against the formula over all communities."""
+    rng = np.random.default_rng(seed)
+    n = 30
+    attrs = rng.random((n, 3))
+    pairs = {tuple(sorted(rng.choice(n - 4, 2, replace=False).tolist())) for _ in range(40)}  # the last four are isolated
+    edges = [(a, b, float(rng.integers(1, 4))) for a, b in sorted(pairs)]
+    member = {i: int(rng.integers(0, 9)) for i in range(n)}
+    v = spark.createDataFrame([(i, attrs[i].tolist()) for i in range(n)], "id long, attrs array<double>")
+    e = spark.createDataFrame(edges, "src long, dst long, weight double")
+    mem = spark.createDataFrame(list(member.items()), "id long, community long")
+    both = e.unionByName(e.selectExpr("dst as src", "src as dst", "weight"))
+    unit = v.select("id", CM.l2_normalize(F.col("attrs")).alias("u"))
+    got = {r["id"]: (r["community"], r["gain"]) for r in
+           CM.best_moves(mem, both, CM.degrees(e), unit, 0.5, sum(w for *_, w in edges), lambda c: c % 2 == 0).collect()}
+    u, m = attrs / np.linalg.norm(attrs, axis=1, keepdims=True), sum(w for *_, w in edges)
+    k = {i: sum(w for a, b, w in edges if i in (a, b)) for i in range(n)}
+    want = {}
+    for x in range(0, n, 2):
+        best = (0.0, None)
+        for c in sorted({member[i] for i in range(1, n, 2)} - {member[x]}):
+            inside = [i for i in range(n) if member[i] == c]
+            to = {t: sum(w for a, b, w in edges if x in (a, b) and member[a if b == x else b] == t and a != b) for t in (c, member[x])}
+            d = {t: sum(k[i] for i in range(n) if member[i] == t) for t in (c, member[x])}
+            dq = (to[c] - to[member[x]]) / m - k[x] * (d[c] - d[member[x]] + k[x]) / (2 * m * m)
+            gain = 0.5 * dq + 0.5 * float(np.mean([u[x] @ u[i] for i in inside]))
+            if gain > best[0] + 1e-12:
+                best = gain, c
+        if best[1] is not None:
+            want[x] = best[1], best[0]
+    assert {i: c for i, (c, _) in got.items()} == {i: c for i, (c, _) in want.items()} and any(i >= n - 4 for i in got)
+    assert all(g == pytest.approx(want[i][1]) for i, (_, g) in got.items())
+
+
+def test_local_moving_limit(spark):
+    v = spark.createDataFrame([(i, [1.0, float(i)]) for i in range(6)], "id long, attrs array<double>")
+    e = spark.createDataFrame([(0, 1, 1.0), (2, 3, 1.0), (4, 5, 1.0)], "src long, dst long, weight double")
+    with pytest.raises(CM.NotConverged):
+        CM.local_moving(v, e, alpha=0.5, sweeps=1, strict=True)
