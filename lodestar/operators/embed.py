@@ -10,7 +10,8 @@ shard of sentences, the rows its words and its noise words need:
   (D19) by MD5 numbers, joined on slices of its cumulative bounds;
 * the shard's words and pool are joined to the parameter table, cogrouped with
   its documents, and trained sentence by sentence in order (batches of ``batch``
-  positions see the same parameters; 1 is the plain loop);
+  positions, or about as many examples, see the same parameters; 1 is the plain
+  loop);
 * a shard returns the change of every word it touched; changes are averaged over
   the shards that touched a word (parameter mixing) and added to the table,
   which is written for the next epoch.
@@ -111,8 +112,10 @@ def train_sentence(idx: np.ndarray, doc: np.ndarray | None, vin: np.ndarray, vou
     """One pass over a sentence; ``vin``, ``vout`` and ``doc`` change in place.
     Returns (loss, examples)."""
     loss, count = 0.0, 0
-    for lo in range(0, len(idx), c.batch):
-        pos = np.arange(lo, min(lo + c.batch, len(idx)))
+    # with ``sg`` a position has an example per word of its window
+    step = max(1, c.batch // (2 * c.window)) if c.mode == "sg" else c.batch
+    for lo in range(0, len(idx), step):
+        pos = np.arange(lo, min(lo + step, len(idx)))
         target, around, mask = examples(idx, pos, c, rng)
         if not len(target):
             continue
@@ -132,7 +135,7 @@ def train_sentence(idx: np.ndarray, doc: np.ndarray | None, vin: np.ndarray, vou
         sign = np.where(np.arange(out.shape[1]) == 0, 1.0, -1.0)
         loss -= float((_log_sigmoid(sign * x) * use).sum())
         count += len(target)
-        g = ((sign > 0) - 1.0 / (1.0 + np.exp(-x))) * alpha * use
+        g = ((sign > 0) - 0.5 * (1.0 + np.tanh(x / 2))) * alpha * use
         err = np.einsum("ek,ekd->ed", g, o)
         if not c.frozen:
             np.add.at(vout, out, g[:, :, None] * h[:, None, :])

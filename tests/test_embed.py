@@ -125,7 +125,7 @@ def test_synonyms_are_neighbours(spark, mode):
             words += [f"{kind}{rng.randint(0, 1)}", f"{kind}ctx{rng.randint(0, 4)}", f"{kind}ctx{rng.randint(0, 4)}"]
         rows.append((i, words))
     df = spark.createDataFrame(rows, "doc_id long, tokens array<string>")
-    got = E.train(df, mode=mode, dim=16, window=3, epochs=6, alpha=0.2, min_count=1, pool=500, shard_tokens=6000, batch=8)
+    got = E.train(df, mode=mode, dim=16, window=3, epochs=5, alpha=0.2 if mode == "cbow" else 0.05, min_count=1, pool=500, shard_tokens=6000, batch=8)
     assert all(a > b for a, b in zip(got.losses, got.losses[1:]))
     vecs = got.words.selectExpr("word key", "vin vec")
     q = spark.createDataFrame([(w, w, 1.0) for w in ("x0", "x1", "y0", "y1")], "qid string, key string, weight double")
