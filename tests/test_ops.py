@@ -81,6 +81,18 @@ def test_most_similar_and_odd_one_out(spark):
     assert VS.doesnt_match(vecs, g).first()["odd"] == "c"
 
 
+def test_most_similar_with_blocks_without_queries(spark):
+    vecs = spark.createDataFrame([(f"k{i}", [float(i + 1), 1.0]) for i in range(40)], "key string, vec array<double>")
+    q = spark.createDataFrame([(i, f"k{i}", 1.0) for i in range(8)], "qid long, key string, weight double")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "100")  # up to ten blocks a side
+    try:
+        for search in (VS.most_similar, VS.most_similar_cosmul):
+            assert {r["qid"] for r in search(vecs, q, topn=1).collect()} == set(range(8))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_argmax_star_ties_and_nulls(spark):
     s = spark.createDataFrame([(1, 1, 0.5), (1, 2, 0.5), (1, 3, 0.1), (2, 1, -1.0), (2, 2, -1.0)],
                               "user int, star int, score double")
