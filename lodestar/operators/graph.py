@@ -252,15 +252,46 @@ def closeness(edges: DataFrame, landmarks: DataFrame | None = None) -> DataFrame
     words; a vertex has one row per word with the landmarks it has met. A round
     sends the bits that were new in the last one over the edges (``bit_or``) and
     keeps, of all distances, only how many vertices each landmark reached in it.
-    The state is V x landmarks / 64 rows at most."""
-    e = materialize(edges.select("src", "dst").distinct())
-    lm = (vertices_of(e) if landmarks is None else landmarks).select("id").where(F.col("id").isNotNull()).distinct()
+
+    A leaf, from which one edge leaves to a vertex p and which no edge, or only
+    p's, enters, needs no rows, exactly: it lies on no other path, is one hop
+    further than p from everything, and p counts it (``leaves``). Nothing reaches
+    a leaf without an entering edge; all that reach p reach any other, in one hop
+    more. The state is (vertices x landmarks without leaves) / 64 rows at most."""
+    e0 = materialize(edges.select("src", "dst").distinct())
+    every = materialize((vertices_of(e0) if landmarks is None else landmarks).select("id").where(F.col("id").isNotNull()).distinct())
+    e = e0.where("dst IS NOT NULL AND NOT (src <=> dst)")
+    out = e.where("src IS NOT NULL").groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("n_out"), F.min("dst").alias("p"))
+    into = e.groupBy(F.col("dst").alias("id")).agg(F.count(F.lit(1)).alias("n_in"), F.min("src").alias("q"))
+    one_way = F.col("n_in").isNull()
+    leaf = materialize(out.where("n_out = 1").join(into, "id", "left").where(one_way | ((F.col("n_in") == 1) & (F.col("p") == F.col("q"))))
+                       .select("id", "p", one_way.alias("one_way")))
+    pairs = leaf.select(F.col("p").alias("id"), F.col("id").alias("p"))  # two leaves of each other: neither is folded
+    after = materialize(leaf.join(pairs, ["id", "p"], "left_anti"))
+    discard(leaf)
+    leaf = after
+    leaves = materialize(leaf.groupBy(F.col("p").alias("id")).agg(F.count(F.lit(1)).alias("leaves")))
+    out_of, to = leaf.select(F.col("id").alias("src")), leaf.select(F.col("id").alias("dst"))
+    core = materialize(e.join(out_of, "src", "left_anti").join(to, "dst", "left_anti").select("src", "dst"))
+    discard(e0)
+    e = core
+    asked = every.join(leaf, "id", "left")
+    lm = asked.where("p IS NULL").select("id").unionByName(asked.where("NOT one_way").select(F.col("p").alias("id"))).distinct()
     numbered = materialize(global_row_number(lm, [F.col("id")], "rn").select(
         "id", F.floor((F.col("rn") - 1) / BITS).alias("word"), F.pmod(F.col("rn") - 1, F.lit(BITS)).cast("int").alias("bit")))
     one = F.expr("shiftleft(1L, bit)")
     state = materialize(numbered.select("id", "word", one.alias("seen"), one.alias("new")))
-    met = F.array(*[F.sum(F.shiftrightunsigned("new", i).bitwiseAND(F.lit(1))) for i in range(BITS)])
-    rounds, dist = [], 0
+    dist = 0
+
+    def met(now: DataFrame, dist: int) -> DataFrame:
+        """Per word what a round brings each landmark: distances and vertices."""
+        more = F.coalesce("leaves", F.lit(0))
+        hit = [F.shiftrightunsigned("new", i).bitwiseAND(F.lit(1)) for i in range(BITS)]
+        far, number = F.lit(dist) + more * F.lit(dist + 1), more + 1
+        sums = F.array(*[F.struct(F.sum(x * far).alias("far"), F.sum(x * number).alias("n")) for x in hit])
+        return materialize(now.where("new <> 0").join(leaves, "id", "left").groupBy("word").agg(sums.alias("met")))
+
+    rounds = [met(state, 0)]
     while True:
         dist += 1
         sent = state.where("new <> 0").join(e.select("src", F.col("dst").alias("id")), "id") \
@@ -271,7 +302,7 @@ def closeness(edges: DataFrame, landmarks: DataFrame | None = None) -> DataFrame
             "id", "word", seen.bitwiseOR(sent_).alias("seen"), sent_.bitwiseAND(F.bitwise_not(seen)).alias("new")))
         discard(state)
         state = after
-        count = materialize(state.where("new <> 0").groupBy("word").agg(met.alias("met")).withColumn("dist", F.lit(dist)))
+        count = met(state, dist)
         if count.isEmpty():
             discard(count)
             break
@@ -280,13 +311,15 @@ def closeness(edges: DataFrame, landmarks: DataFrame | None = None) -> DataFrame
             folded = materialize(reduce(DataFrame.unionByName, rounds))
             discard(*rounds)
             rounds = [folded]
-    discard(state, e)
-    if not rounds:
-        return numbered.select("id", F.lit(None).cast("double").alias("closeness"))
-    per = reduce(DataFrame.unionByName, rounds).select("word", F.posexplode("met").alias("bit", "n"), "dist") \
-        .groupBy("word", "bit").agg(F.sum(F.col("n") * F.col("dist")).alias("total"))
-    return numbered.join(per, ["word", "bit"], "left").select(
-        "id", F.try_divide(F.lit(1.0), F.col("total").cast("double")).alias("closeness"))
+    discard(state, e, leaves)
+    per = reduce(DataFrame.unionByName, rounds).select("word", F.posexplode("met").alias("bit", "m")) \
+        .groupBy("word", "bit").agg(F.sum("m.far").alias("total"), F.sum("m.n").alias("n"))
+    found = materialize(numbered.join(per, ["word", "bit"], "left").select("id", "total", "n"))
+    discard(numbered, *rounds)
+    own = asked.join(found.select("id", "total"), "id", "left") \
+        .join(found.select(F.col("id").alias("p"), (F.col("total") + F.col("n") - 2).alias("over")), "p", "left")
+    total = F.when(F.col("p").isNull(), F.col("total")).when(~F.col("one_way"), F.col("over"))
+    return own.select("id", F.try_divide(F.lit(1.0), total.cast("double")).alias("closeness"))
 
 # ------------------------------------------------------- articulation
 

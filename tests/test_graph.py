@@ -58,6 +58,48 @@ def test_closeness_gold(spark):
         assert got[k] == pytest.approx(v, rel=1e-12)
 
 
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_closeness_with_leaves(spark, monkeypatch, seed):
+    rng = random.Random(seed)
+    arcs = {(f"h{i}", f"h{rng.randrange(5)}") for i in range(5) for _ in range(2)}  # a few loops among them
+    for i in range(40):
+        p = f"h{rng.randrange(5)}"
+        arcs |= [{(f"l{i}", p), (p, f"l{i}")}, {(f"l{i}", p)}, {(p, f"l{i}")}][i % 3]
+    arcs |= {("x", "y"), ("y", "x"), ("o", "o")}
+    verts = sorted({v for a in arcs for v in a})
+    want = {}
+    for v in verts:  # hops of every vertex to v
+        far, queue = {v: 0}, [v]
+        for u in queue:
+            for a, b in arcs:
+                if b == u and a not in far:
+                    far[a] = far[u] + 1
+                    queue.append(a)
+        want[v] = 1 / sum(far.values()) if sum(far.values()) else None
+    df = spark.createDataFrame(sorted(arcs), "src string, dst string")
+    assert {r["id"]: r["closeness"] for r in G.closeness(df).collect()} == pytest.approx(want)
+    some = spark.createDataFrame([(v,) for v in verts[::3]] + [("unknown",)], "id string")
+    got = {r["id"]: r["closeness"] for r in G.closeness(df, some).collect()}
+    assert got == pytest.approx({v: want[v] for v in verts[::3]} | {"unknown": None})
+
+
+def test_closeness_of_a_star_has_no_row_per_leaf_pair(spark, monkeypatch):
+    n, most = 2000, []
+    write = G.materialize
+
+    def counted(df):
+        out = write(df)
+        if "seen" in out.columns:
+            most.append(out.count())
+        return out
+
+    monkeypatch.setattr(G, "materialize", counted)
+    star = G.simple(spark.range(n).selectExpr("id as src", "cast(-1 as long) as dst"))
+    got = {r["id"]: r["closeness"] for r in G.closeness(star).collect()}
+    assert got[-1] == pytest.approx(1 / n) and got[0] == pytest.approx(1 / (2 * n - 1)) and len(got) == n + 1
+    assert max(most) < n
+
+
 def test_simple_and_degrees(spark):
     e = edges_df(spark, [("a", "b"), ("b", "a"), ("a", "a"), ("a", "c"), ("a", "c")])
     s = sorted(tuple(r) for r in G.simple(e).collect())
