@@ -157,3 +157,37 @@ def test_empty_and_null_documents(spark):
     assert E.train(df.limit(0), mode="cbow", dim=4, epochs=1).words.count() == 0
     with pytest.raises(ValueError):
         E.train(df, mode="dm", frozen=True)
+
+
+def test_a_group_of_shards_is_its_shards(spark, monkeypatch):
+    rng = random.Random(5)
+    docs = spark.createDataFrame([(i, ws) for i, ws in enumerate(texts(rng, 30, [f"w{k}" for k in range(12)]))],
+                                 "doc_id long, tokens array<string>")
+    c = E.Config(mode="dm", dim=4, epochs=2, min_count=1, pool=20, shard_tokens=40)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for partitions in ("1", "50"):  # one group of all shards, a group per shard
+            spark.conf.set("spark.sql.shuffle.partitions", partitions)
+            got = E.train(docs, c)
+            found.append(({r["word"]: (r["vin"], r["vout"]) for r in got.words.collect()},
+                          {r["doc_id"]: r["vec"] for r in got.docs.collect()}, E._shards(docs, c, "doc_id", "tokens")[1:]))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    (a, x, one), (b, y, many) = found
+    assert one[1] == 1 and many[1] == many[0] == one[0] > 3
+    assert a.keys() == b.keys() and x.keys() == y.keys()
+    assert all(np.allclose(a[w], b[w], atol=1e-12) for w in a) and all(np.allclose(x[i], y[i], atol=1e-12) for i in x)
+
+
+def test_a_written_state_leaves_no_shuffle(spark):
+    from lodestar.plans.iterate import discard, materialize
+
+    def files():
+        found = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {found.apply(i).getName() for i in range(found.size())}
+
+    before = files()
+    out = materialize(spark.range(50_000).groupBy("id").count())
+    assert not [f for f in files() - before if f.startswith("shuffle")]
+    discard(out)
