@@ -100,6 +100,18 @@ def test_argmax_star_ties_and_nulls(spark):
     assert got == {1: 1, 2: None}
 
 
+def test_predict_rating_moves_no_pair_per_star(spark):
+    vecs = spark.createDataFrame([("u1", [1.0, 0.0]), ("u2", [0.0, 1.0]), ("u3", [0.0, 0.0]), ("m7_1", [0.9, 0.1]),
+                                  ("m7_4", [0.1, 0.9]), ("m8_2", [1.0, 0.0]), ("m8_3", [1.0, 0.0])], "key string, vec array<double>")
+    pairs = spark.createDataFrame([(1, 7, 1.0), (1, 7, 1.0), (2, 7, 4.0), (3, 7, 2.0), (1, 8, 5.0), (1, 9, 5.0), (None, 7, 1.0)],
+                                  "user long, movie long, rating double")
+    got = W.predict_rating(vecs, pairs)
+    want = [(1, 7, 1), (1, 7, 1), (2, 7, 4), (3, 7, None), (1, 8, 2), (1, 9, None), (None, 7, None)]
+    assert sorted(map(str, ((r["user"], r["movie"], r["pred"]) for r in got.collect()))) == sorted(map(str, want))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1  # the movies' stars, once
+
+
 def test_modularity_small(spark):
     # two triangles joined by one edge, split in the obvious way
     e = [(0, 1), (1, 2), (0, 2), (3, 4), (4, 5), (3, 5), (2, 3)]
