@@ -16,9 +16,10 @@ from lodestar.sources.tables import Tables
 
 def part_supplier_edges(t: Tables) -> DataFrame:
     """Bipartite part-supplier edges: one per distinct (part, supplier) sold."""
-    return (t.lineitem.select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("src"),
-                              F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst"))
-            .distinct())
+    # distinct on the numbers, whose rows in a hash table are smaller than the names'
+    return (t.lineitem.select("l_partkey", "l_suppkey").distinct()
+            .select(F.concat(F.lit("p"), F.col("l_partkey").cast("string")).alias("src"),
+                    F.concat(F.lit("s"), F.col("l_suppkey").cast("string")).alias("dst")))
 
 
 PART_SUPPLIER_EDGES_SQL = """
