@@ -10,7 +10,7 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -119,6 +119,8 @@ class RidgeSGD:
     """
 
     LOCAL = 65_536
+    DIGITS = 4  # of the draws, by which rows are counted
+    FOLDERS = 64  # steps that every task writes for itself
 
     def __init__(self, lr: float = 0.001, l2: float = 0.1, batch: int = 1, epochs: int = 50, seed: int = 100,
                  init: np.ndarray | None = None):
@@ -145,6 +147,12 @@ class RidgeSGD:
         cols = [f"x{i}" for i in range(k)]
         for epoch in range(self.epochs):
             key = F.md5(F.concat_ws(":", F.lit(self.seed), F.lit(epoch), F.to_json(F.struct("rid"))))
+            if per_folder == 1:
+                dealt = self._deal(base.withColumn("__k", key), cols, batch, steps)
+                for step in range(steps):
+                    w = self._read(dealt.where(F.col("folder") == step), w, cols, per_folder)
+                discard(dealt)
+                continue
             placed = global_row_number(base.withColumn("__k", key), [F.col("__k"), F.col("rid")], "__rn")
             step = F.least(F.floor((F.col("__rn") - 1) / F.lit(batch)), F.lit(steps - 1)).cast("int")
             placed = placed.select(*cols, "y", F.col("__rn").alias("rn"), step.alias("step")) \
@@ -157,6 +165,31 @@ class RidgeSGD:
         self.w = w
         return self
 
+    def _deal(self, keyed: DataFrame, cols: list[str], batch: int, steps: int) -> DataFrame:
+        """The rows in folders, one a step of ``batch`` rows in the order of
+        ``(__k, rid)``, as :func:`global_row_number` would number them, without
+        sorting them all: rows are counted by the first digits of ``__k``, and
+        only the groups in which one step ends and the next begins are sorted."""
+        keyed = keyed.withColumn("__g", F.substring("__k", 1, self.DIGITS))
+        before = Window.orderBy("__g").rowsBetween(Window.unboundedPreceding, -1)  # over the groups, at most 16 ** DIGITS
+
+        def step(rn: Column) -> Column:
+            return F.least(F.floor((rn - 1) / F.lit(batch)), F.lit(steps - 1)).cast("int")
+
+        groups = keyed.groupBy("__g").agg(F.count(F.lit(1)).alias("__n")) \
+            .withColumn("__before", F.coalesce(F.sum("__n").over(before), F.lit(0)))
+        groups = materialize(groups.select("__g", "__before", step(F.col("__before") + 1).alias("folder"),
+                                           step(F.col("__before") + F.col("__n")).alias("__last")))
+        rows = keyed.join(F.broadcast(groups), "__g")
+        whole = rows.where(F.col("folder") == F.col("__last")).select(*cols, "y", "folder")
+        at = F.row_number().over(Window.partitionBy("__g").orderBy("__k", "rid"))
+        cut = rows.where(F.col("folder") < F.col("__last")).withColumn("folder", step(F.col("__before") + at)).select(*cols, "y", "folder")
+        if steps > self.FOLDERS:  # else a task writes a file for each of the few steps
+            whole = whole.repartition("folder")
+        dealt = materialize_partitioned(whole.unionByName(cut), "folder")
+        discard(groups)
+        return dealt
+
     def _read(self, rows: DataFrame, w: np.ndarray, cols: list[str], per_folder: int) -> np.ndarray:
         """The weights after the steps of one folder."""
         if per_folder == 1:  # one step of many rows: one distributed sum
