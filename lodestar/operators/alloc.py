@@ -8,14 +8,16 @@ queries and settled in rounds, all trials in one plan. A round
   winner stays until a budget runs out, so running sums of (queries of the
   keyword in a block x its bid) tell the first block in which some advertiser
   would be overdrawn; all blocks before it are settled by one join;
-* settles the block in question query by query, one bounded group a trial: its
-  queries and, per keyword, the ``CHUNK`` best bidders that can pay (within a
-  block no more than ``CHUNK`` of them can fall back or run out).
-
-Rounds therefore follow the blocks in which budgets run out, not queries. With
-balance and MSVV every win changes the ranks, so each block with a bidder that
-can pay takes a round; blocks without one are skipped. The stream ends for a
-trial when no keyword that is still to come has a bidder that can pay.
+* settles the next ``SPAN`` blocks query by query, one bounded group a trial:
+  their queries and, per keyword, its best bidders that can pay, ``OFFERS`` in
+  all. Ranks only ever worsen, so a bidder that ranks before the first one left
+  out is the winner; a round ends at the first query without such a bidder, and
+  the next one goes on from there with new lists.
+
+Rounds therefore follow the number of bidders that come up over the ``OFFERS``
+of a round, not queries. Blocks without a bidder that can pay are skipped. The
+stream ends for a trial when no keyword that is still to come has a bidder that
+can pay.
 """
 
 from __future__ import annotations
@@ -36,6 +38,9 @@ from lodestar.session import checkpoint_dir
 
 CHUNK = 4096  # queries of a block
 FOLDER = 64  # blocks of one folder of the written stream
+SPAN = 64  # blocks that are settled query by query in one round
+OFFERS = 400_000  # offers of such a round, over all keywords
+LEAST = 16  # offers of a keyword, however many keywords there are
 
 
 def candidate_bids(queries: DataFrame, bids: DataFrame) -> DataFrame:
@@ -82,10 +87,13 @@ def bids_per_query(queries: DataFrame, bids: DataFrame) -> DataFrame:
     return queries.join(per_kw, "keyword")
 
 
-def settle_block(queries: pd.DataFrame, cands: pd.DataFrame, strategy: str) -> list[tuple]:
-    """``(seq, advertiser, bid)`` of one block, query by query. A keyword's
-    bidders stand in a heap by rank; a win only ever worsens an advertiser's
-    rank, so an entry is ranked anew when it comes up with an old balance."""
+def settle_block(queries: pd.DataFrame, cands: pd.DataFrame, strategy: str, most: int) -> tuple[list[tuple], int | None]:
+    """``(seq, advertiser, bid, rn)`` of queries in order, query by query, and the
+    place of the first one that ``cands`` cannot settle. A keyword's bidders
+    stand in a heap by rank; a win only ever worsens an advertiser's rank, so an
+    entry is ranked anew when it comes up with an old balance. ``cands`` holds
+    the best ``most`` bidders of a keyword, and the next one as a bound: nobody
+    left out ranks before it."""
     left = dict(zip(cands["advertiser"], cands["remaining"]))
 
     def rank(adv, bid, budget):
@@ -97,35 +105,44 @@ def settle_block(queries: pd.DataFrame, cands: pd.DataFrame, strategy: str) -> l
         return -(float(bid) * (1.0 - math.exp((initial - float(left[adv])) / initial - 1.0)))
 
     heaps: dict = {}
-    for k, adv, bid, budget in zip(cands["keyword"], cands["advertiser"], cands["bid"], cands["budget"]):
-        heaps.setdefault(k, []).append((rank(adv, bid, budget), adv, bid, left[adv], budget))
+    bound = {}
+    for k, adv, bid, budget, place in zip(cands["keyword"], cands["advertiser"], cands["bid"], cands["budget"], cands["rank"]):
+        if place > most:
+            bound[k] = (rank(adv, bid, budget), adv)
+        else:
+            heaps.setdefault(k, []).append((rank(adv, bid, budget), adv, bid, left[adv], budget))
     for heap in heaps.values():
         heapq.heapify(heap)
     out = []
-    for seq, keyword in zip(queries["seq"], queries["keyword"]):
+    for i, (seq, keyword, rn) in enumerate(zip(queries["seq"], queries["keyword"], queries["rn"])):
         heap = heaps.get(keyword, [])
+        last = bound.get(keyword)
         while heap:
-            _, adv, bid, seen, budget = heap[0]
+            now, adv, bid, seen, budget = heap[0]
             if left[adv] < bid:
                 heapq.heappop(heap)
             elif left[adv] != seen:
                 heapq.heapreplace(heap, (rank(adv, bid, budget), adv, bid, left[adv], budget))
+            elif last is not None and (now, adv) > last:
+                return out, i
             else:
                 left[adv] -= bid
-                out.append((seq, adv, bid))
+                out.append((seq, adv, bid, rn))
                 break
-    return out
+        if not heap and last is not None:
+            return out, i
+    return out, None
 
 
 def _blocks(queries: DataFrame, trial: str) -> DataFrame:
-    """The stream ``(trial, seq, keyword, blk)``, written in folders of
+    """The stream ``(trial, seq, keyword, rn, blk)``, written in folders of
     neighbouring blocks."""
     numbered = global_row_number(queries.select(trial, "seq", "keyword"), [F.col(trial), F.col("seq")], "__rn")
     numbered = materialize(numbered)
     first = numbered.groupBy(trial).agg(F.min("__rn").alias("__first"))  # one row a trial
     blk = F.floor((F.col("__rn") - F.col("__first")) / F.lit(CHUNK)).cast("int")
     out = materialize_partitioned(numbered.join(F.broadcast(first), trial)
-                                  .select(trial, "seq", "keyword", blk.alias("blk"))
+                                  .select(trial, "seq", "keyword", F.col("__rn").alias("rn"), blk.alias("blk"))
                                   .withColumn("folder", F.floor(F.col("blk") / FOLDER).cast("int")), "folder")
     discard(numbered)
     return out
@@ -149,17 +166,21 @@ def allocate_rounds(queries: DataFrame, bids: DataFrame, budgets: DataFrame, str
     offers = materialize(bids.select("advertiser", "keyword", "bid").join(budgets, "advertiser"))
     purse = budgets.select("advertiser", F.col("budget").alias("remaining"))
     left = materialize(stream.select(trial).distinct().join(purse))  # trials x advertisers
-    result = T.StructType([stream.schema[trial], stream.schema["seq"], offers.schema["advertiser"], offers.schema["bid"]])
+    # a row without an advertiser tells where a trial goes on: ``rn`` and ``blk``
+    result = T.StructType([stream.schema[trial], stream.schema["seq"], offers.schema["advertiser"], offers.schema["bid"],
+                           T.StructField("rn", T.LongType()), T.StructField("blk", T.IntegerType())])
     path = f"{checkpoint_dir(spark).rstrip('/')}/lodestar-state/{uuid.uuid4().hex}"
     spark.createDataFrame([], result).write.parquet(f"{path}/round=0")
-    at = {r[trial]: 0 for r in stream.select(trial).distinct().collect()}  # next block of every trial
+    # of every trial the next block and, where a round ended inside it, the next query
+    at = {r[trial]: (0, None) for r in stream.select(trial).distinct().collect()}
     rounds = 0
     while at:
         if max_rounds is not None and rounds >= max_rounds:
             raise NotConverged(f"the stream is not settled after {max_rounds} rounds")
         rounds += 1
-        here = spark.createDataFrame(list(at.items()), T.StructType([stream.schema[trial], T.StructField("lo", T.IntegerType())]))
-        payable = offers.join(left, "advertiser").where(F.col("remaining") >= F.col("bid"))
+        here = spark.createDataFrame([(t, lo) for t, (lo, _) in at.items()], T.StructType([stream.schema[trial], T.StructField("lo", T.IntegerType())]))
+        # balances are as many as advertisers: joined without a broadcast
+        payable = offers.join(left.hint("merge"), "advertiser").where(F.col("remaining") >= F.col("bid"))
         best = materialize(payable.groupBy(trial, "keyword")
                            .agg(F.min_by(F.struct("advertiser", "bid", "remaining"),
                                          F.struct(-F.col("bid"), F.col("advertiser"))).alias("w"))
@@ -175,20 +196,26 @@ def allocate_rounds(queries: DataFrame, bids: DataFrame, budgets: DataFrame, str
         if not stops:
             discard(best)
             break
-        spans = {t: (at[t], v) for t, v in stops.items()}
+        # inside a block the round goes on query by query at once
+        stops = {t: v if at[t][1] is None else at[t][0] for t, v in stops.items()}
+        spans = {t: (at[t][0], v, at[t][1]) for t, v in stops.items()}
+        most = max(LEAST, OFFERS // best.select("keyword").distinct().count())
         if strategy == "greedy":  # what the fixed winners pay before the block that is settled query by query
-            ahead = todo.join(F.broadcast(_bounds(spark, spans, result).drop("lo")), trial).where(F.col("v").isNull() | (F.col("blk") < F.col("v")))
+            ahead = todo.join(F.broadcast(_bounds(spark, spans, result).drop("lo", "from")), trial).where(F.col("v").isNull() | (F.col("blk") < F.col("v")))
             paid = ahead.groupBy(trial, "advertiser").agg(F.sum(F.col("n") * F.col("bid")).alias("paid"))
-            payable = offers.join(_less(left, paid, trial), "advertiser").where(F.col("remaining") >= F.col("bid"))
-        part = _settle(stream, best, payable, spans, strategy, trial, result)
+            payable = offers.join(_less(left, paid, trial).hint("merge"), "advertiser").where(F.col("remaining") >= F.col("bid"))
+        part = _settle(stream, best, payable, spans, strategy, trial, result, most)
         part.write.parquet(f"{path}/round={rounds}")
-        spent = spark.read.schema(result).parquet(f"{path}/round={rounds}").groupBy(trial, "advertiser").agg(F.sum("bid").alias("paid"))
+        part = spark.read.schema(result).parquet(f"{path}/round={rounds}")
+        spent = part.where("advertiser IS NOT NULL").groupBy(trial, "advertiser").agg(F.sum("bid").alias("paid"))
         after = materialize(_less(left, spent, trial))
         discard(left, best)
         left = after
-        at = {t: v + 1 for t, v in stops.items() if v is not None}
+        at = {t: (v + SPAN, None) for t, v in stops.items() if v is not None}
+        at |= {r[trial]: (r["blk"], r["rn"]) for r in part.where("advertiser IS NULL").collect()}  # at most one a trial
     discard(stream, counts, offers, left)
     done = spark.read.schema(result).parquet(*[f"{path}/round={r}" for r in range(rounds + 1) if r == 0 or _written(spark, f"{path}/round={r}")])
+    done = done.where("advertiser IS NOT NULL").drop("rn", "blk")
     return (done if trial_col else done.drop(trial)), rounds
 
 
@@ -200,40 +227,47 @@ def _written(spark, path: str) -> bool:
 def _less(left: DataFrame, paid: DataFrame, trial: str) -> DataFrame:
     """Balances after payments."""
     rest = (F.col("remaining") - F.coalesce("paid", F.lit(0))).cast(left.schema["remaining"].dataType)
-    return left.join(paid, [trial, "advertiser"], "left").select(trial, "advertiser", rest.alias("remaining"))
+    return left.join(paid.hint("merge"), [trial, "advertiser"], "left").select(trial, "advertiser", rest.alias("remaining"))
 
 
 def _bounds(spark, spans: dict, result: T.StructType) -> DataFrame:
-    """``(trial, lo, v)``, one row a trial."""
-    table = T.StructType([result.fields[0], T.StructField("lo", T.IntegerType()), T.StructField("v", T.IntegerType())])
+    """``(trial, lo, v, from)``, one row a trial."""
+    table = T.StructType([result.fields[0], T.StructField("lo", T.IntegerType()), T.StructField("v", T.IntegerType()),
+                          T.StructField("from", T.LongType())])
     return spark.createDataFrame([(t, *x) for t, x in spans.items()], table)
 
 
 def _settle(stream: DataFrame, best: DataFrame, payable: DataFrame, spans: dict, strategy: str, trial: str,
-            result: T.StructType) -> DataFrame:
+            result: T.StructType, most: int) -> DataFrame:
     """Assigned queries of the blocks ``lo .. v - 1`` (greedy: by the fixed
-    winners ``best``; ``v`` None: to the end) and of block ``v`` of every trial,
+    winners ``best``; ``v`` None: to the end) and of the ``SPAN`` blocks from
+    ``v`` on, as far as ``most`` bidders a keyword settle them, of every trial,
     for which ``payable`` holds the bidders with their balances by then."""
     bounds = _bounds(stream.sparkSession, spans, result)
-    lowest = min(lo for lo, _ in spans.values()) // FOLDER
+    lowest = min(lo for lo, _, _ in spans.values()) // FOLDER
     ahead = stream.where(F.col("folder") >= lowest).join(F.broadcast(bounds), trial)
     names = result.names
     out = None
     if strategy == "greedy":
         fixed = ahead.where((F.col("blk") >= F.col("lo")) & (F.col("v").isNull() | (F.col("blk") < F.col("v"))))
         out = fixed.join(best, [trial, "keyword"]).select(*names)
-    folders = sorted({v // FOLDER for _, v in spans.values() if v is not None})
+    folders = sorted({f for _, v, _ in spans.values() if v is not None for f in range(v // FOLDER, (v + SPAN - 1) // FOLDER + 1)})
     if folders:
-        block = ahead.where(F.col("folder").isin(folders) & (F.col("blk") == F.col("v"))).select(trial, "seq", "keyword")
+        block = ahead.where(F.col("folder").isin(folders) & (F.col("blk") >= F.col("v")) & (F.col("blk") < F.col("v") + SPAN)
+                            & (F.col("from").isNull() | (F.col("rn") >= F.col("from")))).select(trial, "seq", "keyword", "rn", "blk")
         wanted = payable.join(block.select(trial, "keyword").distinct(), [trial, "keyword"])
         if strategy == "msvv":
             wanted = wanted.withColumn("scaled", scaled_bid(F.col("bid"), F.col("budget"), F.col("remaining")))
-        cands = top_k_per_group(wanted, [trial, "keyword"], _order(strategy), CHUNK, "rank", salt_key=["advertiser"]) \
-            .select(trial, "keyword", "advertiser", "bid", "budget", "remaining")
+        cands = top_k_per_group(wanted, [trial, "keyword"], _order(strategy), most + 1, "rank", salt_key=["advertiser"]) \
+            .select(trial, "keyword", "advertiser", "bid", "budget", "remaining", "rank")
 
         def run(own: pd.DataFrame, bidders: pd.DataFrame) -> pd.DataFrame:
-            rows = settle_block(own.sort_values("seq"), bidders, strategy)
-            out = pd.DataFrame(rows, columns=names[1:])
+            own = own.sort_values("rn")
+            rows, stop = settle_block(own, bidders, strategy, most)
+            out = pd.DataFrame(rows, columns=names[1:5])
+            out["blk"] = None
+            if stop is not None:
+                out.loc[len(out)] = [own["seq"].iloc[stop], None, None, own["rn"].iloc[stop], own["blk"].iloc[stop]]
             out.insert(0, trial, own[trial].iloc[0] if len(own) else None)
             return out
 
