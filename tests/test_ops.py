@@ -370,3 +370,26 @@ def test_local_moving_limit(spark):
     e = spark.createDataFrame([(0, 1, 1.0), (2, 3, 1.0), (4, 5, 1.0)], "src long, dst long, weight double")
     with pytest.raises(CM.NotConverged):
         CM.local_moving(v, e, alpha=0.5, sweeps=1, strict=True)
+
+
+def test_als_top_x_is_exact_without_a_product_of_rows(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    plays = [(int(a), int(b), int(rng.integers(1, 9))) for a, b in {(rng.integers(0, 40), rng.integers(0, 300)) for _ in range(1500)}]
+    train = spark.createDataFrame(plays, "user long, item long, plays long")
+    sizes = spark.createDataFrame([(a, 1 + a % 7 if a else 290) for a in range(39)] + [(77, 3)], "user long, x long")  # 77 has no factors
+    model = R.fit_als(train, rank=4)
+    monkeypatch.setattr(R, "ITEMS", 90)
+    monkeypatch.setattr(R, "USERS", 16)
+    top = R.als_top_x(model, train, sizes)
+    got = {}
+    for r in sorted(top.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["user"], []).append((r["item"], r["score"]))
+    u, v = ({r["id"]: np.array(r["features"]) for r in f.collect()} for f in (model.userFactors, model.itemFactors))
+    seen = {(a, b) for a, b, _ in plays}
+    for a in range(39):
+        scores = sorted(((-float(np.float32((u[a] * v[b]).sum())), b) for b in v if (a, b) not in seen))[:1 + a % 7 if a else 290]
+        assert [b for b, _ in got[a]] == [b for _, b in scores]
+        assert np.allclose([s for _, s in got[a]], [-s for s, _ in scores])
+    assert 77 not in got
+    plan = top._jdf.queryExecution().toString()
+    assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
