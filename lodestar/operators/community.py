@@ -21,6 +21,9 @@ from lodestar.operators.vectors import mean_vector
 from lodestar.plans.blocks import block_apply, matrix
 from lodestar.plans.iterate import NotConverged, discard, materialize
 
+BLOCK = 1 << 22  # numbers in a block of attribute vectors: 32 MB
+STRIP = 1024  # vertices and communities multiplied at a time
+
 
 def degrees(edges: DataFrame) -> DataFrame:
     """Weighted degree; a self-loop of weight w adds 2w."""
@@ -83,7 +86,8 @@ def relabel(membership: DataFrame) -> DataFrame:
     return membership.join(ranked, "community").select("id", F.col("label").alias("community"))
 
 
-def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: float, n: int | None = None) -> DataFrame:
+def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: float, n: int | None = None,
+                       block: int = 2048) -> DataFrame:
     """``(id, community, gain)``: for every mover the community with the
     greatest gain among all ``targets``, taken as if no edge led there.
 
@@ -91,7 +95,8 @@ def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: f
     neighbours' communities, ``targets(community, dB, centroid)``. Movers and
     targets meet by blocks; a mover whose bound over a block (its degree term at
     the block's least ``dB``, the attribute term at the block's longest centroid)
-    does not exceed ``have`` and 0 is not multiplied at all."""
+    does not exceed ``have`` and 0 is not multiplied at all. A row is sent once
+    per block of the other side, so blocks are large and multiplied in strips."""
     schema = T.StructType([T.StructField("id", movers.schema["id"].dataType), T.StructField("community", targets.schema["community"].dataType),
                            T.StructField("gain", T.DoubleType())])
 
@@ -106,30 +111,38 @@ def best_by_attributes(movers: DataFrame, targets: DataFrame, alpha: float, m: f
         open_ = np.flatnonzero(bound > np.maximum(have, 0.0))
         if not len(open_):
             return empty
-        u = matrix(x.column("u").take(pa.array(open_)))
-        gain = leave[open_, None] - alpha * k[open_, None] * d_b / (2 * m * m) + (1 - alpha) * np.einsum("xd,cd->xc", u, cen)
         names = c.column("community").to_pylist()
         order = np.array(sorted(range(len(names)), key=lambda i: names[i]))  # equal gains: the least community
-        at = {n: i for i, n in enumerate(names)}
-        own = [(r, at[a]) for r, a in enumerate(x.column("A").take(pa.array(open_)).to_pylist()) if a in at]
-        if own:
-            gain[tuple(np.array(own).T)] = -np.inf
-        pick = order[gain[:, order].argmax(axis=1)]
-        best = gain[np.arange(len(open_)), pick]
+        names, d_b, cen = c.column("community").take(pa.array(order)), d_b[order], cen[order]
+        at = {n: i for i, n in enumerate(names.to_pylist())}
+        own = np.array([at.get(a, -1) for a in x.column("A").take(pa.array(open_)).to_pylist()])
+        u = matrix(x.column("u").take(pa.array(open_)))
+        pick, best = np.zeros(len(open_), np.int64), np.full(len(open_), -np.inf)
+        for r in range(0, len(open_), STRIP):
+            rows = open_[r:r + STRIP]
+            for s in range(0, len(d_b), STRIP):
+                gain = (leave[rows, None] - alpha * k[rows, None] * d_b[s:s + STRIP] / (2 * m * m)
+                        + (1 - alpha) * np.einsum("xd,cd->xc", u[r:r + STRIP], cen[s:s + STRIP]))
+                inside = np.flatnonzero((own[r:r + STRIP] >= s) & (own[r:r + STRIP] < s + STRIP))
+                gain[inside, own[r + inside] - s] = -np.inf
+                top = gain.argmax(axis=1)
+                value = gain[np.arange(len(rows)), top]
+                better = np.flatnonzero(value > best[r:r + STRIP])
+                pick[r + better], best[r + better] = s + top[better], value[better]
         good = np.flatnonzero(best > 0)
-        return pa.table({"id": x.column("id").take(pa.array(open_[good])), "community": c.column("community").take(pa.array(pick[good])),
+        return pa.table({"id": x.column("id").take(pa.array(open_[good])), "community": names.take(pa.array(pick[good])),
                          "gain": pa.array(best[good])})
 
     return block_apply(movers.select("id", "A", "k", "kxa", "dA", "have", "u"), targets, ["id"], ["community"], run, schema,
-                       sizes=None if n is None else (n, n))
+                       block, sizes=None if n is None else (n, n))
 
 
 def best_moves(mem: DataFrame, both: DataFrame, deg: DataFrame, unit: DataFrame, alpha: float, m: float, moving,
-               n: int | None = None) -> DataFrame:
+               n: int | None = None, block: int = 2048) -> DataFrame:
     """``(id, community, gain)``: the best strictly positive move of every
     vertex that ``moving(column)`` picks, over all communities that keep a
     member which does not move. ``both`` has every edge in both directions, ``n``
-    is the number of vertices, if known."""
+    is the number of vertices, if known, ``block`` the rows of a block."""
     cen = mean_vector(unit.join(mem, "id").select("community", F.col("u").alias("vec")), ["community"], "vec") \
         .select("community", F.col("mean").alias("centroid"))
     per = mem.join(deg, "id", "left").groupBy("community").agg(
@@ -149,7 +162,7 @@ def best_moves(mem: DataFrame, both: DataFrame, deg: DataFrame, unit: DataFrame,
     order = F.struct(F.col("gain"), -F.col("community"))
     have = near.groupBy("id").agg(F.max_by("community", order).alias("at"), F.max("gain").alias("have"))
     movers = materialize(x.join(own, "id", "left").join(have, "id", "left").fillna(0.0, ["kxa", "have"]))
-    far = best_by_attributes(movers, targets, alpha, m, n)
+    far = best_by_attributes(movers, targets, alpha, m, n, block)
     found = movers.where("at IS NOT NULL").select("id", F.col("at").alias("community"), F.col("have").alias("gain")).unionByName(far)
     out = materialize(found.where(F.col("gain") > 0).groupBy("id").agg(F.max_by(F.struct("community", "gain"), order).alias("b"))
                       .select("id", "b.*"))
@@ -181,14 +194,15 @@ def local_moving(vertices: DataFrame, edges: DataFrame, alpha: float, sweeps: in
     both = edges.where(F.col("src") != F.col("dst")).select("src", "dst", "weight")
     both = materialize(both.unionByName(both.select(F.col("dst").alias("src"), F.col("src").alias("dst"), "weight")))
     unit = materialize(vertices.select("id", l2_normalize(F.col("attrs")).alias("u")))
-    size = unit.count()
+    size, width = unit.agg(F.count(F.lit(1)), F.max(F.size("u"))).first()
+    block = max(BLOCK // max(width or 1, 1), 2048)
     made = 0
     for sweep in range(1, sweeps + 1):
         made, moved = sweep, 0
         for half in range(2):
             def moving(c):
                 return F.pmod(F.xxhash64(c, F.lit(seed), F.lit(sweep)), F.lit(2)) == half  # noqa: B023  used before the next half
-            best = best_moves(mem, both, deg, unit, alpha, m, moving, size)
+            best = best_moves(mem, both, deg, unit, alpha, m, moving, size, block)
             n = best.count()
             if n:
                 after = materialize(mem.join(best.select("id", F.col("community").alias("B")), "id", "left")

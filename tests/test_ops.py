@@ -393,3 +393,22 @@ def test_als_top_x_is_exact_without_a_product_of_rows(spark, monkeypatch):
     assert 77 not in got
     plan = top._jdf.queryExecution().toString()
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
+
+
+def test_local_moving_blocks_are_large_and_multiplied_in_strips(spark, monkeypatch):
+    """A row is sent once per block of the other side, so blocks have some
+    millions of numbers; strips of any size give the same moves."""
+    seen, apply = [], CM.block_apply
+
+    def recorded(a, b, a_keys, b_keys, func, schema, block=2048, **more):
+        seen.append(block)
+        return apply(a, b, a_keys, b_keys, func, schema, block, **more)
+
+    monkeypatch.setattr(CM, "block_apply", recorded)
+    rng = np.random.default_rng(4)
+    v = spark.createDataFrame([(i, rng.random(8).tolist()) for i in range(60)], "id long, attrs array<double>")
+    e = spark.createDataFrame([(i, i + 1, 1.0) for i in range(0, 58, 2)], "src long, dst long, weight double")
+    whole = {tuple(r) for r in CM.local_moving(v, e, 0.5, sweeps=1)[0].collect()}
+    monkeypatch.setattr(CM, "STRIP", 7)
+    assert {tuple(r) for r in CM.local_moving(v, e, 0.5, sweeps=1)[0].collect()} == whole and len(whole) == 60
+    assert len({c for _, c in whole}) < 60 and min(seen) * 8 >= 1 << 21
