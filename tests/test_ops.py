@@ -412,3 +412,22 @@ def test_local_moving_blocks_are_large_and_multiplied_in_strips(spark, monkeypat
     monkeypatch.setattr(CM, "STRIP", 7)
     assert {tuple(r) for r in CM.local_moving(v, e, 0.5, sweeps=1)[0].collect()} == whole and len(whole) == 60
     assert len({c for _, c in whole}) < 60 and min(seen) * 8 >= 1 << 21
+
+
+@pytest.mark.parametrize("hot", [1 << 16, 4])
+def test_subsample_moves_no_tokens_of_frequent_words_and_broadcasts_none(spark, monkeypatch, hot):
+    monkeypatch.setattr(X, "HOT", hot, raising=False)
+    rng = np.random.default_rng(5)
+    lines = [[f"w{int(w)}" for w in rng.zipf(1.4, 30) % 60] for _ in range(40)]
+    docs = spark.createDataFrame([(i if i % 9 else None, x) for i, x in enumerate(lines)] + [(2, lines[2]), (99, None)],
+                                 "doc_id long, tokens array<string>")
+    count = {f"w{i}": 5 + 900 // (i + 1) for i in range(55)} | {f"other{i}": 5 for i in range(3000)}
+    vocab = spark.createDataFrame(list(count.items()), "word string, n long")
+    out = X.subsample(docs, vocab)
+    rows = [tuple(r) for r in out.collect()]
+    want = {}
+    for i, x in list(enumerate(lines)) + [(2, lines[2])]:
+        want.setdefault(i if i % 9 else None, []).extend((p, w) for p, w in enumerate(x) if w in count)
+    assert sorted(rows, key=str) == sorted(((i, [w for _, w in sorted(x)]) for i, x in want.items()), key=str)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "BuildRight" in plan and "BuildLeft" not in plan  # the tokens are not the side that is sent around
