@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestar.plans.iterate import discard, fixpoint, materialize
 from lodestar.plans.ranking import global_row_number
@@ -169,14 +170,22 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
 
     Large-star / small-star rounds (Kiveris et al., 2014): O(log^2 n)
     rounds, each a group-by and a join (no hot-key window; AQE splits skewed
-    join partitions). The round stops when the edge set is unchanged, checked
-    with an order-free checksum in the action that materialises the state.
+    join partitions). Ids that are not integers go by their rank, so a round
+    sorts and compares no names. The round stops when the edge set is unchanged,
+    checked with an order-free checksum in the action that materialises the state.
     """
-    e0 = simple(edges)
-    state = e0
+    edges = materialize(edges.select("src", "dst"))  # read by ranks, rounds and vertices
+    state, ranks = edges, None
+    if not all(isinstance(edges.schema[c].dataType, T.IntegralType) for c in ("src", "dst")):
+        ends = edges.where(F.col("src") != F.col("dst"))
+        ranks = materialize(global_row_number(vertices_of(ends), [F.col("id")], "rank"))
+        state = (ends.join(ranks.select(F.col("id").alias("src"), F.col("rank").alias("a")), "src")
+                     .join(ranks.select(F.col("id").alias("dst"), F.col("rank").alias("b")), "dst")
+                     .select(F.col("a").alias("src"), F.col("b").alias("dst")))
+    state = simple(state)
 
     def both(df: DataFrame) -> DataFrame:
-        return df.unionByName(flip(df)).distinct()
+        return _both_ways(df).distinct()
 
     prev = {"sig": None}
 
@@ -196,6 +205,10 @@ def connected_components(edges: DataFrame, vertices: DataFrame | None = None) ->
     # stars: every edge links a vertex and its component minimum
     labels = stars.groupBy("src").agg(F.min("dst").alias("m")) \
                   .select(F.col("src").alias("id"), F.least("id", "m").alias("component"))
+    if ranks is not None:
+        labels = (labels.join(ranks.select(F.col("rank").alias("id"), F.col("id").alias("name")), "id")
+                        .join(ranks.select(F.col("rank").alias("component"), F.col("id").alias("least")), "component")
+                        .select(F.col("name").alias("id"), F.col("least").alias("component")))
     v = vertices_of(edges) if vertices is None else vertices.select("id")
     return v.join(labels, "id", "left").select("id", F.coalesce("component", "id").alias("component"))
 

@@ -201,3 +201,19 @@ def test_generators(spark):
     assert len(set(e)) == 500 and all(0 <= a < b < 200 for a, b in e)
     assert G.gnm(spark, 6, 14).distinct().count() == 14
     assert 300 < G.gnp(spark, 100, 0.1, seed=2).count() < 700
+
+
+def test_component_rounds_compare_no_names(spark, monkeypatch):
+    """Names (with loops, repeats and nulls) are ranked first; every round's state is numbers."""
+    states, fixpoint = [], G.fixpoint
+
+    def recorded(state, step, changes, **more):
+        states.append(state)
+        return fixpoint(state, step, changes, **more)
+
+    monkeypatch.setattr(G, "fixpoint", recorded)
+    e = spark.createDataFrame([("p10", "s1"), ("p9", "s1"), ("p9", "s1"), ("p2", "s7"), ("x", "x"), (None, "s3"), ("s9", "p2"), ("s7", "b")],
+                              "src string, dst string")
+    got = {r["id"]: r["component"] for r in G.connected_components(e).collect()}
+    assert got == {"p10": "p10", "p9": "p10", "s1": "p10", "p2": "b", "s7": "b", "s9": "b", "b": "b", "x": "x", None: None, "s3": "s3"}
+    assert [t for _, t in states[0].dtypes] == ["bigint", "bigint"]
