@@ -463,6 +463,19 @@ def _may_have(bloom: np.ndarray, sid: int) -> bool:
     return all(int(bloom[(h >> 6) % len(bloom)]) >> (h & 63) & 1 for h in (sid, sid >> 24))
 
 
+def _those_of(rows: DataFrame, ids: DataFrame) -> DataFrame:
+    """``rows`` (set, tokens) without most of those whose set ``ids`` lacks, so
+    that few of them are shuffled for a join with ``ids``."""
+    bc = rows.sparkSession.sparkContext.broadcast(_bloom(ids))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bloom = bc.value
+        for b in batches:
+            yield b.filter(pa.array([_may_have(bloom, sid) for sid in b.column("set").to_pylist()], pa.bool_()))
+
+    return rows.mapInArrow(lean(run), rows.schema)
+
+
 def _refine(cand: DataFrame, percent: int, put) -> DataFrame:
     """``(a, b)`` links among ``cand`` (set, n, tokens) by the prefix rule:
     with shingles ordered from rare to frequent, linked sets share one of
@@ -481,8 +494,8 @@ def _refine(cand: DataFrame, percent: int, put) -> DataFrame:
 
 
 def _with_tokens(docs: DataFrame, clusters: DataFrame, k: int, text_col: str) -> DataFrame:
-    """``(set, n, tokens, cluster)`` for the sets of ``clusters``, from the
-    texts again: the filter leaves few, and only those are shuffled."""
+    """``(set, n, tokens)`` and the columns of ``clusters`` for its sets, from
+    the texts again: the filter leaves few, and only those are shuffled."""
     bc = docs.sparkSession.sparkContext.broadcast(_bloom(clusters))
     src = docs.select(F.col(text_col).cast("string").alias("text"))
     schema = T.StructType([T.StructField("set", T.LongType()), T.StructField("n", T.LongType()),
@@ -557,39 +570,40 @@ def _named_sets(docs: DataFrame, k: int, percent: int, id_col: str, text_col: st
         temp.append(path)
         return out
 
-    rows = put(document_sets(docs, k, id_col, text_col))
+    rows, path = write_state(document_sets(docs, k, id_col, text_col))
     members = put(rows.where("chunk IS NULL").groupBy("id", "n", "set").agg(F.count(F.lit(1)).alias("rows")))
     heavy = heavy_counters(frequency_sketch(rows))
+    drop_state(spark, path)
+    release(spark)  # the sketches of all tasks
     total = members.agg(F.sum("n")).first()[0] or 0
     buckets = max(1, -(-total // (2 * block)), min(64, -(-total // 50_000)))
     pairs = put(part_links(docs, k, percent, text_col, buckets, heavy))
     release(spark)  # the parts are the largest shuffle
-    clusters = components(pairs, temp).toDF("set", "cluster")
-    cand = put(_with_tokens(docs, clusters, k, text_col))
-    release(spark)
 
     def weighed(rows: DataFrame) -> DataFrame:
         w = rows.groupBy("cluster").agg(F.sum("n").alias("w"))
         return rows.join(w, "cluster")
 
-    sized = weighed(cand.select("set", "n", "cluster"))
-    big = put(sized.where(F.col("w") > block).select("set"))
-    closer = put(_refine(cand.join(big, "set", "left_semi").select("set", "n", "tokens"), percent, put))
+    # clusters are weighed by the sizes of their sets before tokens are read, so that tokens need no further join to tell
+    # large clusters from small ones, whatever the planner would broadcast
+    sizes = members.where("set IS NOT NULL").select("set", "n").dropDuplicates(["set"])
+    clusters = put(weighed(components(pairs, temp).toDF("set", "cluster").join(sizes, "set")))
+    cand = put(_with_tokens(docs, clusters.select("set", "cluster", "w"), k, text_col))
+    release(spark)
+    small, large = cand.where(F.col("w") <= block), cand.where(F.col("w") > block)
+    closer = put(_refine(large.select("set", "n", "tokens"), percent, put))
     release(spark)
-    finer = components(closer, temp)
-    finer = finer.toDF("set", "finer")
     # a set of a big cluster that the prefix rule leaves alone links with nothing
-    placed = cand.select("set", "n", "cluster").join(big, "set", "left_anti").unionByName(
-        cand.select("set", "n").join(finer, "set").select("set", "n", F.col("finer").alias("cluster")))
-    placed = weighed(placed)
+    finer = put(weighed(components(closer, temp).toDF("set", "cluster").join(clusters.select("set", "n"), "set")))
     # small clusters share tasks by hash; a large one is cut into blocks
     blocks = F.ceil(F.col("w") / block)
-    tasks = placed.agg(F.sum("n")).first()[0] or 0
+    tasks = sum(x.agg(F.sum("n")).first()[0] or 0 for x in (clusters.where(F.col("w") <= block), finer))
     tasks = max(1, -(-tasks // (block // 4)))
     task = F.when(blocks <= 1, F.concat(F.lit("s"), F.pmod(F.xxhash64("cluster"), F.lit(tasks)))).otherwise(
         F.concat_ws(":", F.lit("b"), "cluster", F.pmod(F.xxhash64("set"), blocks.cast("long"))))
-    placed = put(placed.select("set", "cluster", (blocks > 1).alias("cut"), task.alias("task")))
-    rows = cand.select("set", "tokens").join(placed, "set")
+    placed = put(finer.select("set", "cluster", (blocks > 1).alias("cut"), task.alias("task")))
+    rows = small.select(task.alias("task"), "set", "tokens").unionByName(
+        _those_of(large.select("set", "tokens"), placed).join(placed, "set").select("task", "set", "tokens"))
     links = put(_search(rows.select("task", "set", F.lit(True).alias("indexed"), F.col("set").alias("known"), "tokens"), percent))
     release(spark)
     # second pass: what is outside a cut cluster's largest component searches the cluster's other blocks
@@ -600,7 +614,7 @@ def _named_sets(docs: DataFrame, k: int, percent: int, id_col: str, text_col: st
             "set", "cluster", "task", F.coalesce("root", "set").alias("known")))
         parts = state.groupBy("cluster", "known").agg(F.count(F.lit(1)).alias("c"))
         main = parts.groupBy("cluster").agg(F.max_by("known", F.struct("c", "known")).alias("main"))
-        rest = weighed(state.join(main, "cluster").where("known <> main").join(cand.select("set", "n"), "set"))
+        rest = weighed(state.join(main, "cluster").where("known <> main").join(clusters.select("set", "n"), "set"))
         # the asking sets are cut as the indexed ones are; a task is a pair of blocks
         query = F.pmod(F.xxhash64("set", F.lit(1)), F.ceil(F.col("w") / block).cast("long"))
         rest = put(rest.select("set", "cluster", "known", F.col("task").alias("home"), query.alias("query")))
@@ -610,7 +624,7 @@ def _named_sets(docs: DataFrame, k: int, percent: int, id_col: str, text_col: st
         need = asks.select("task", "query").distinct()
         asks = asks.select(pair, "set", F.lit(False).alias("indexed"), "known")
         own = state.join(need, "task").select(pair, "set", F.lit(True).alias("indexed"), "known")
-        again = own.unionByName(asks).join(cand.select("set", "tokens"), "set")
+        again = own.unionByName(asks).join(_those_of(large.select("set", "tokens"), cut), "set")
         links = links.unionByName(put(_search(again, percent)))
     root = put(components(links, temp)).toDF("set", "root")
     named = members.join(root, "set", "left").withColumn("root", F.coalesce("root", "set"))

@@ -478,6 +478,48 @@ def test_second_pass_holds_two_blocks(spark, monkeypatch):
     assert len(heaviest) == 2 and max(heaviest) < 4 * block
 
 
+def test_tokens_of_clusters_are_not_joined_again(spark, monkeypatch):
+    """Where nothing is broadcast, tokens go to the refinement without a
+    shuffle before it, and only those of refined clusters are shuffled for a
+    join before the search."""
+    template = [f"t{i}" for i in range(60)]
+    texts = [" ".join([*template[:30], *(f"a{d}x{i}" for i in range(20)), *template[30:]]) for d in range(80)]
+    texts += [t + " end" for t in texts[:3]] + near_texts(random.Random(4), 4, 5, 40)
+    plans, kept = {}, []
+    refine, those, search = jaccard._refine, jaccard._those_of, jaccard._search
+
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    def refined(cand, percent, put):
+        plans["refine"] = plan(cand)
+        return refine(cand, percent, put)
+
+    def filtered(rows, ids):
+        out = those(rows, ids)
+        have, wanted, got = ({r.set for r in x.select("set").collect()} for x in (rows, ids, out))
+        kept.append((len(have), len(got)))
+        assert have & wanted <= got
+        return out
+
+    def searched(rows, percent):
+        plans.setdefault("search", plan(rows))
+        return search(rows, percent)
+
+    for name, f in (("_refine", refined), ("_those_of", filtered), ("_search", searched)):
+        monkeypatch.setattr(jaccard, name, f)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = jaccard.jaccard_components(frame(spark, texts), k=1, percent=80, block=600).collect()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    want = components_by_hand(list(enumerate(texts)), 1, 80)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == want
+    assert "Exchange" not in plans["refine"] and "Join" not in plans["refine"]
+    assert "Union" in plans["search"] and kept[0][1] < kept[0][0]
+
+
 def test_quality_fit_reads_long_texts_whole(spark):
     """The classes differ only in features past the first 20,000 by bucket."""
     from lodestar.llm.common import WordHashes
