@@ -191,3 +191,58 @@ def test_a_written_state_leaves_no_shuffle(spark):
     out = materialize(spark.range(50_000).groupBy("id").count())
     assert not [f for f in files() - before if f.startswith("shuffle")]
     discard(out)
+
+
+@pytest.mark.parametrize("mode", ["cbow", "sg", "dbow"])
+@pytest.mark.parametrize("n,pool,window,batch", [(1, 7, 3, 4), (41, 9, 3, 8), (64, 5000, 5, 32), (23, 1, 2, 4), (23, 6, 1, 4)])
+def test_draws_are_the_generators(mode, n, pool, window, batch):
+    c = E.Config(mode=mode, window=window, negative=3, batch=batch)
+    reach, noise, examples = E.draws(n, pool, c, 5, 0, "id")
+    rng, step, at, done = E.generator(5, 0, "id"), E.positions(c), 0, 0
+    for k, lo in enumerate(range(0, n, step)):
+        p = np.arange(lo, min(lo + step, n))
+        e = len(p)
+        if mode != "dbow":
+            r = window - rng.integers(0, window, len(p))
+            assert (reach[lo:lo + len(p)] == r).all()
+            if mode == "sg":
+                e = sum(int(0 <= q < n and q != i) for i, x in zip(p, r) for q in range(i - x, i + x + 1))
+        assert examples[k] == e
+        assert (noise[at:at + e] == rng.integers(0, pool, (e, 3))).all()
+        at += e
+    assert at == len(noise)
+
+
+@pytest.mark.parametrize("mode", ["cbow", "sg", "dbow", "dm"])
+def test_shards_side_by_side_are_shards_alone(mode):
+    rng = np.random.default_rng(4)
+    c = E.Config(mode=mode, dim=5, window=2, negative=2, batch=4)
+    rows = 6
+
+    def shard(base, sizes):
+        return ([(base + k, base + rng.integers(0, rows, s), s + 1, None) for k, s in enumerate(sizes)], base + rng.integers(0, rows, 9))
+
+    shards = [shard(0, [3, 0, 20]), shard(rows, [1]), shard(2 * rows, [7, 30]), ([], np.zeros(0, np.int64))]
+    first = rng.random((3 * rows + 1, 5)), rng.random((3 * rows + 1, 5))
+    first[0][-1] = 0
+    together, alone = ([m.copy() for m in first] for _ in range(2))
+    vecs, loss, n = E.train_shards(shards, *together, c, 0)
+    parts = [E.train_shards([s], *alone, c, 0) for s in shards]
+    for a, b in zip(together, alone):
+        assert np.allclose(a[:-1], b[:-1], atol=1e-12) and not np.allclose(a, first[1])
+    assert loss == pytest.approx(sum(p[1] for p in parts)) and n == sum(p[2] for p in parts) > 0
+    assert [len(v) for v in vecs] == [3, 1, 2, 0]
+    if c.documents:
+        assert all(np.allclose(x, y) for v, p in zip(vecs, parts) for x, y in zip(v, p[0][0]))
+
+
+def test_words_are_sent_to_few_groups(spark):
+    """Every group is sent most words: no more groups than tasks at a time,
+    however many partitions there are, until a group's shards are too many."""
+    docs = spark.range(400).selectExpr("id doc_id", "array('a', 'b', cast(id AS string), cast(null AS string), 'a') tokens")
+    own, n, groups = E._shards(docs, E.Config(shard_tokens=10), "doc_id", "tokens")
+    assert n == 200 and groups == spark.sparkContext.defaultParallelism == own.select("grp").distinct().count()
+    counts = {r["word"]: r["n"] for r in own.where("kind = 'word'").groupBy("word").sum("n").toDF("word", "n").collect()}
+    assert counts == {"a": 800, "b": 400, None: 400} | {str(k): 1 for k in range(400)}
+    got = E.train(docs, mode="cbow", dim=4, epochs=2, min_count=2, pool=5, shard_tokens=10)
+    assert sorted((r["n"], r["word"] or "") for r in got.words.collect()) == [(400, ""), (400, "b"), (800, "a")]
