@@ -395,6 +395,25 @@ def test_als_top_x_is_exact_without_a_product_of_rows(spark, monkeypatch):
     assert "CartesianProduct" not in plan and "NestedLoopJoin" not in plan
 
 
+def test_seen_items_go_to_the_block_that_scores_them():
+    """What users have seen comes as pairs, of this block's items only: also of
+    users that stand twice or are not there, and of items that are not there."""
+    import pyarrow as pa
+    rng = np.random.default_rng(8)
+    u, v = rng.normal(size=(5, 3)).astype(np.float32), rng.normal(size=(40, 3)).astype(np.float32)
+    names, x, ids = [7, 3, 9, 3, 11], [4, 2, 40, 5, 1], rng.permutation(100)[:40]
+    users = pa.table({"user": pa.array(names, pa.int32()), "x": pa.array(x, pa.int64()), "features": pa.array(u.tolist(), pa.list_(pa.float32()))})
+    items = pa.table({"item": pa.array(ids, pa.int32()), "features": pa.array(v.tolist(), pa.list_(pa.float32()))})
+    pairs = [(n, int(i)) for n in (3, 7, 9, 50) for i in rng.choice(100, 30, replace=False)]
+    seen = tuple(np.array(c, np.int32) for c in zip(*pairs))
+    got = R._best_unseen(users, items, "user", "item", seen)
+    want = []
+    for n, k, w in zip(names, x, u.astype(float)):
+        best = sorted(((-np.float32((w * v[j]).sum()), int(ids[j])) for j in range(40) if (n, int(ids[j])) not in set(pairs)))[:k]
+        want += [(n, i) for _, i in best]
+    assert sorted(zip(got.column("user").to_pylist(), got.column("item").to_pylist())) == sorted(want)
+
+
 def test_local_moving_blocks_are_large_and_multiplied_in_strips(spark, monkeypatch):
     """A row is sent once per block of the other side, so blocks have some
     millions of numbers; strips of any size give the same moves."""
