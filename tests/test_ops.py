@@ -450,3 +450,13 @@ def test_subsample_moves_no_tokens_of_frequent_words_and_broadcasts_none(spark,
     assert sorted(rows, key=str) == sorted(((i, [w for _, w in sorted(x)]) for i, x in want.items()), key=str)
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BuildRight" in plan and "BuildLeft" not in plan  # the tokens are not the side that is sent around
+
+
+def test_a_length_is_worked_out_once_a_vector(spark):
+    from pyspark.sql import functions as F
+
+    from lodestar.functions.vector import l2_normalize
+    df = spark.createDataFrame([([3.0, 4.0],), ([0.0, 0.0],), ([],), (None,), ([2.0, None],)], "v array<double>")
+    unit = df.select(l2_normalize(F.col("v")).alias("u"))
+    assert unit._jdf.queryExecution().optimizedPlan().toString().count("aggregate(") == 1
+    assert [r["u"] for r in unit.collect()] == [[0.6, 0.8], [0.0, 0.0], [], None, [None, None]]
